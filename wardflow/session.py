@@ -15,6 +15,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles a method above 8,000 bytecodes. A projection over
+    # twenty repaired columns exceeds that and would run interpreted, so such
+    # stages use Spark's split projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _own_dirs: dict[str, str] = {}

@@ -37,7 +37,7 @@ def query(function: Query) -> Query:
     """Register a query under its function's name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(configure(spark), folder)
+        return portable(function(configure(spark), folder))
 
     QUERIES[function.__name__] = run
     return function
@@ -67,6 +67,22 @@ def masked(spark: SparkSession, folder: str) -> DataFrame:
     return admissions.masquer(cleaned(spark, folder), SALT)
 
 
+# Integer columns that may be missing, in the results below.
+MAYBE_MISSING = ("annee_naissance", "mois", "lits", "sejours_an_passe")
+
+
+def portable(df: DataFrame) -> DataFrame:
+    """Dates as text, integers that may be missing as doubles.
+
+    These are the types that clients show differently; all others are kept.
+    """
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {c: F.col(c).cast("string") for c in df.columns if kinds[c] == "date"}
+        | {c: F.col(c).cast("double") for c in MAYBE_MISSING if c in kinds}
+    )
+
+
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned and enriched rows, handed over as Parquet between the steps."""
     rows = hand_off(masked(spark, folder), work_path(spark, "cleaned"))
@@ -79,7 +95,7 @@ def prepared(spark: SparkSession, folder: str) -> DataFrame:
 def event_returns(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
     return returns.flag_returns(
-        events, "user_id", "ts", ["event_id"], "delai_j", "est_retour_30j"
+        events, "user_id", "ts", ["event_id"], "delai_j", "est_retour_1j", days=1
     )
 
 
@@ -87,14 +103,14 @@ def event_returns(spark: SparkSession, folder: str) -> DataFrame:
 def event_return_delay(spark, folder):
     return event_returns(spark, folder).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("evenements"),
-        F.count_if("est_retour_30j").alias("retours_30j"),
+        F.count_if("est_retour_1j").alias("retours_1j"),
         F.max("delai_j").alias("delai_max_j"),
     )
 
 
 @query
 def event_return_rows(spark, folder):
-    return event_returns(spark, folder).select("event_id", "delai_j", "est_retour_30j")
+    return event_returns(spark, folder).select("event_id", "delai_j", "est_retour_1j")
 
 
 @query
@@ -102,8 +118,8 @@ def event_return_rows_sliced(spark, folder):
     """As above, with every busy user cut along time."""
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
     return returns.flag_returns(
-        events, "user_id", "ts", ["event_id"], "delai_j", "est_retour_30j", hot_rows=8
-    ).select("event_id", "delai_j", "est_retour_30j")
+        events, "user_id", "ts", ["event_id"], "delai_j", "est_retour_1j", days=1, hot_rows=8
+    ).select("event_id", "delai_j", "est_retour_1j")
 
 
 @query
@@ -361,9 +377,9 @@ def long_stay_p90(spark, folder):
 def long_lines_p90(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-        F.date_format("l_shipdate", "yyyy-MM").alias("mois"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("mois_envoi"),
     )
-    return enrich.add_long_flag(lines, "mois", "l_quantity", "prolonge").drop("l_quantity")
+    return enrich.add_long_flag(lines, "mois_envoi", "l_quantity", "prolonge").drop("l_quantity")
 
 
 @query

@@ -48,9 +48,8 @@ union all select 2*{REISSUE}+k, k, o_custkey, e, duree, pathologie, service,
 
 
 def _one_of(number: str, texts: list[str], other: str) -> str:
-    """CASE expression that picks a text by number."""
-    arms = " ".join(f"when {i} then '{text}'" for i, text in enumerate(texts))
-    return f"case {number} {arms} else '{other}' end"
+    """Expression that picks a text by its place in the list, from 0."""
+    return f"split_part('{'|'.join([*texts, other])}', '|', cast({number} as int) + 1)"
 
 
 RAW_DIAGNOSES = [text.capitalize() for text in ref.DIAGNOSIS_LABELS]
@@ -72,7 +71,7 @@ d as (
          else e + m*144 * interval '1' minute
               - (case when k % 125 = 0 then 30 else 0 end) * interval '1' day end as s,
     {_one_of('k*7 % 32', RAW_DIAGNOSES, 'Mal inconnu')} as patho,
-    {_one_of('k*3 % 19', RAW_TOWNS, 'Ailleurs')} as town,
+    {_one_of('k*5 % 18', RAW_TOWNS, 'Ailleurs')} as town,
     {_one_of('k*5 % 9', RAW_SERVICES, 'Accueil')} as unit
   from b),
 f as (
