@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardflow.functions.times import whole_years
 from wardflow.operators.attach import attach
-from wardflow.operators.quantiles import value_counts_by
+from wardflow.operators.quantiles import quantile, value_counts_by
+from wardflow.session import materialise
 
 
 def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -33,22 +34,49 @@ def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:
     return per_key.select(key, F.coalesce("__median", overall.scalar()).alias("__fill"))
 
 
+def continuous_medians(df: DataFrame, key: str, value: str) -> DataFrame:
+    """As :func:`group_medians`, for values that lie on no grid.
+
+    The overall median needs the whole filled column, so it is looked for only
+    when a missing value belongs to no group that has a median.
+    """
+    keyed = df.select(key, value)
+    medians = materialise(
+        quantile(keyed.where(F.col(key).isNotNull()), [key], value, 0.5, "__fill")
+    )
+    left_over = (
+        keyed.where(F.col(value).isNull())
+        .select(F.col(key).alias("__key"))
+        .distinct()
+        .join(medians, F.col("__key") == F.col(key), "left_anti")
+    )
+    left_over = materialise(left_over)
+    if left_over.isEmpty():
+        return medians
+    filled = attach(keyed, medians, [key]).select(
+        F.lit(0).alias("__all"), F.coalesce(value, "__fill").alias("__value")
+    )
+    overall = quantile(filled, ["__all"], "__value", 0.5, "__overall").select("__overall")
+    return medians.unionByName(
+        left_over.select(F.col("__key").alias(key), overall.scalar().alias("__fill"))
+    )
+
+
 def impute_group_median(
     df: DataFrame,
     key: str,
     value: str,
     flag: str | None = None,
     max_groups: int | None = None,
-    medians: DataFrame | None = None,
+    on_grid: bool = True,
 ) -> DataFrame:
     """Fill a missing value with its group's median.
 
-    For values on a grid (see :mod:`wardflow.operators.quantiles`). ``flag``
-    names a column that marks the filled rows. ``max_groups`` is a proved
-    bound on the number of keys, ``medians`` a table computed earlier.
+    ``flag`` names a column that marks the filled rows, ``max_groups`` is a
+    proved bound on the number of keys, and ``on_grid`` says that values have a
+    fixed number of decimals (see :mod:`wardflow.operators.quantiles`).
     """
-    if medians is None:
-        medians = group_medians(df, key, value)
+    medians = (group_medians if on_grid else continuous_medians)(df, key, value)
     columns = df.columns
     filled = attach(df, medians, [key], max_rows=max_groups, null_safe=True)
     if flag:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.operators.attach import attach
-from wardflow.operators.quantiles import grid_quantile, quantile
+from wardflow.operators.quantiles import quantile
 
 
 def bed_days(df: DataFrame, unit: str, start: str, end: str) -> DataFrame:
@@ -64,19 +64,33 @@ def burden(
     cost: str,
     outcome: str,
     death: str,
-    max_groups: int | None = None,
     on_grid: bool = True,
 ) -> DataFrame:
-    """Per label: stays, share, deaths, lethality, durations, total cost."""
-    medians = (grid_quantile if on_grid else quantile)(df, [label], duration, 0.5, "__median")
-    groups = df.groupBy(label).agg(
-        F.count(F.lit(1)).alias("sejours"),
-        F.count_if(F.col(outcome) == death).alias("deces"),
-        F.avg(duration).alias("__mean"),
+    """Per label: stays, share, deaths, lethality, durations, total cost.
+
+    ``on_grid`` says that durations have a fixed number of decimals: one table
+    of label and duration then gives every figure in a single pass.
+    """
+    by_duration = df.groupBy(label, duration).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.count_if(F.col(outcome) == death).alias("__deaths"),
         F.sum(cost).alias("__cost"),
     )
-    everything = groups.agg(F.sum("sejours")).scalar()
-    return attach(groups, medians, [label], max_rows=max_groups, null_safe=True).select(
+    known = F.when(F.col(duration).isNotNull(), F.col("__n"))
+    figures = [
+        F.sum("__n").alias("sejours"),
+        F.sum("__deaths").alias("deces"),
+        ratio(F.sum(F.col(duration) * known), F.sum(known)).alias("__mean"),
+        F.sum("__cost").alias("__cost"),
+    ]
+    if on_grid:
+        median = F.percentile(duration, 0.5, F.col("__n")).alias("__median")
+        groups = by_duration.groupBy(label).agg(*figures, median)
+    else:
+        medians = quantile(df, [label], duration, 0.5, "__median")
+        groups = attach(by_duration.groupBy(label).agg(*figures), medians, [label], null_safe=True)
+    everything = df.agg(F.count(F.lit(1))).scalar()
+    return groups.select(
         label,
         "sejours",
         round_even(ratio(F.col("sejours"), everything) * 100, 2).alias("part_pct"),

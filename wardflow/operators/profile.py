@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardflow.functions.numbers import round_even
+from wardflow.operators.attach import attach
 
 # Names of the profile's columns (fixed values).
 TYPE, PRESENT, MISSING, MISSING_RATE, DISTINCT, EXAMPLE = (
@@ -30,14 +31,13 @@ def column_profile(df: DataFrame, order: str, approx: bool = False) -> DataFrame
 
     The example is the first present value in ``order``. Cells are turned into
     (column, value) pairs, which merge before the shuffle, so a column with
-    few values costs next to nothing and no column is counted on its own scan.
-    With ``approx`` distinct values are estimated in a single aggregation.
+    few values costs next to nothing. With ``approx`` distinct values are
+    estimated and no value is shuffled.
     """
     fields = _content(df, order)
     if approx:
-        return _approx_profile(df, order, fields)
+        return _described(_one_pass(df, order, fields, with_counts=True), fields)
     cells = df.select(
-        F.col(order).alias("__at"),
         F.inline(
             F.array(
                 *[
@@ -47,37 +47,34 @@ def column_profile(df: DataFrame, order: str, approx: bool = False) -> DataFrame
             )
         ),
     )
-    values = cells.groupBy("__col", "__value").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first")
-    )
+    values = cells.groupBy("__col", "__value").agg(F.count(F.lit(1)).alias("__n"))
     known = F.col("__value").isNotNull()
     per_column = values.groupBy("__col").agg(
         F.coalesce(F.sum(F.when(known, F.col("__n"))), F.lit(0)).alias(PRESENT),
         F.coalesce(F.sum(F.when(~known, F.col("__n"))), F.lit(0)).alias(MISSING),
         F.count("__value").alias(DISTINCT),
-        F.min_by("__value", F.when(known, F.col("__first"))).alias(EXAMPLE),
     )
-    return _described(per_column, fields)
-
-
-def _approx_profile(df: DataFrame, order: str, fields) -> DataFrame:
-    totals = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("__col"),
-                    F.count(field.name).alias(PRESENT),
-                    F.count_if(F.col(field.name).isNull()).alias(MISSING),
-                    F.approx_count_distinct(_text(field)).alias(DISTINCT),
-                    F.min_by(
-                        _text(field), F.when(F.col(field.name).isNotNull(), F.col(order))
-                    ).alias(EXAMPLE),
-                )
-                for i, field in enumerate(fields)
-            ]
-        ).alias("__all")
+    examples = _one_pass(df, order, fields, with_counts=False)
+    return _described(
+        attach(per_column, examples, ["__col"], max_rows=len(fields)), fields
     )
-    return _described(totals.select(F.inline("__all")), fields)
+
+
+def _one_pass(df: DataFrame, order: str, fields, with_counts: bool) -> DataFrame:
+    """One row per column, out of one aggregation without keys."""
+    rows = []
+    for i, field in enumerate(fields):
+        cell = F.col(field.name)
+        first = F.min_by(_text(field), F.when(cell.isNotNull(), F.col(order)))
+        parts = [F.lit(i).alias("__col"), first.alias(EXAMPLE)]
+        if with_counts:
+            parts += [
+                F.count(cell).alias(PRESENT),
+                F.count_if(cell.isNull()).alias(MISSING),
+                F.approx_count_distinct(_text(field)).alias(DISTINCT),
+            ]
+        rows.append(F.struct(*parts))
+    return df.agg(F.array(*rows).alias("__all")).select(F.inline("__all"))
 
 
 def _described(per_column: DataFrame, fields) -> DataFrame:

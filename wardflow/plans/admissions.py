@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow import reference as ref
 from wardflow.operators import dedup, enrich, impute, labels, privacy, profile, quality, returns
 from wardflow.operators import values
+from wardflow.session import work_path
 from wardflow.sources.csvfile import ORDER, read_raw_csv
+from wardflow.sources.tables import hand_off
 
 TIMESTAMPS = ["date_entree", "date_sortie"]
 NUMBERS = ["age", "cout_hospitalisation_fcfa", "duree_sejour_j", "temperature_entree_c"]
@@ -83,8 +85,8 @@ def imputer(df: DataFrame) -> DataFrame:
     return impute.age_from_birth(filled, "age", ref.BIRTH_DATE, "date_entree")
 
 
-def nettoyer(df: DataFrame, ordre: str = ORDER) -> DataFrame:
-    """The six cleaning steps in their order; file order is dropped."""
+def preparer(df: DataFrame, ordre: str = ORDER) -> DataFrame:
+    """The cleaning steps up to imputation, as one plan; file order is dropped."""
     return (
         dedoublonner(df, ordre)
         .drop(ordre)
@@ -92,10 +94,21 @@ def nettoyer(df: DataFrame, ordre: str = ORDER) -> DataFrame:
         .transform(corriger_types)
         .transform(traiter_aberrations)
         .transform(corriger_incoherences)
-        .transform(imputer)
     )
 
 
+def nettoyer(df: DataFrame, ordre: str = ORDER, chemin: str | None = None) -> DataFrame:
+    """The six cleaning steps in their order.
+
+    Imputation reads its rows twice, for the medians and to fill them in, so
+    they are written first: to ``chemin``, or to a new path in the shared
+    folder. The two wide shuffles of the duplicates then run once, and the
+    medians read two columns.
+    """
+    chemin = chemin or work_path(df.sparkSession, "staged")
+    return imputer(hand_off(preparer(df, ordre), chemin))
+
+
 def sel_requis(sel: str | None = None) -> str:
     return privacy.required_salt(sel, ref.SALT_VARIABLE)
 

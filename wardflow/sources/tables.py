@@ -13,15 +13,16 @@ def hand_off(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def load_table(df: DataFrame, path: str, partition: str) -> DataFrame:
+def load_table(df: DataFrame, path: str, partition: str, rebalance: bool = False) -> DataFrame:
     """Replace the partitions present in ``df``; running it twice changes nothing.
 
-    Rows are dealt out by partition value and AQE cuts large ones, so a
-    partition is neither one huge file nor a file from every task.
+    With few partition values every task writes a few files and no shuffle is
+    needed. ``rebalance`` deals rows out by partition value first, for tables
+    with many; AQE then cuts the large ones.
     """
+    rows = df.hint("rebalance", partition) if rebalance else df
     (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

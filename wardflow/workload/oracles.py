@@ -454,6 +454,12 @@ ORACLES: dict[str, str] = {
         "duree_imputee, coalesce(duree, median(duree) over (partition by pathologie)) as f "
         "from v) select seq, pathologie, coalesce(f, (select median(f) from h)) as duree, "
         "duree_imputee from h",
+    "impute_line_prices": "with h as (select l_orderkey, l_linenumber, l_partkey, l_returnflag,"
+        " case when l_extendedprice between 0 and 90000 then l_extendedprice end as p "
+        "from lineitem), g as (select *, median(p) over (partition by l_returnflag) as m "
+        "from h) select l_orderkey, l_linenumber, l_partkey, l_returnflag, "
+        "coalesce(p, m, (select median(coalesce(p, m)) from g)) as l_extendedprice, "
+        "p is null as prix_impute from g",
     "clean_admissions": f"{upto('cleaned')} select {CLEAN_COLUMNS} from cleaned",
     "pseudonymise_admissions": f"{RAW_TYPED} select seq, {PSEUDONYM} as id_patient_pseudo, "
         "year(date_naissance)::int as annee_naissance, age, sexe from typed",
