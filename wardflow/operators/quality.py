@@ -33,8 +33,8 @@ def repeated(key: str) -> Column:
 
 def column_left(df: DataFrame, columns: Sequence[str]) -> Column:
     """One when any of the columns is in the table; a check of the schema."""
-    found = any(c in df.columns for c in columns)
-    return F.max(F.lit(int(found)))
+    found = F.lit(int(any(c in df.columns for c in columns)))
+    return F.coalesce(F.max(found), found)
 
 
 def out_of_range(column: str, low: float, high: float) -> Column:
