@@ -11,6 +11,7 @@ from wardflow.functions.draws import chosen
 from wardflow.functions.numbers import round_even
 from wardflow.functions.times import shift_days
 from wardflow.operators.attach import attach
+from wardflow.session import short_table
 
 
 @dataclass(frozen=True)
@@ -58,8 +59,8 @@ def add_expected_cost(
 ) -> DataFrame:
     """Flat fee plus daily rate times days, rounded to hundreds."""
     rows = [(key, float(flat), float(rate)) for key, (flat, rate) in tariff.items()]
-    table = df.sparkSession.createDataFrame(
-        rows, f"`{unit}` string, __flat double, __rate double"
+    table = short_table(
+        df.sparkSession, rows, {unit: "string", "__flat": "double", "__rate": "double"}
     )
     columns = df.columns
     cost = round_even(F.col("__flat") + F.col("__rate") * F.col(days), -2)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.functions.text import MAX_INLINE_KEYS, is_normal, lookup_label, normalise
 from wardflow.operators.attach import attach
+from wardflow.session import short_table
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ def normalise_labels(df: DataFrame, rules: list[LabelRule]) -> DataFrame:
 
 def _join_labels(df: DataFrame, rule: LabelRule) -> DataFrame:
     pairs = [(key, label) for key, label in rule.labels.items() if is_normal(key)]
-    table = df.sparkSession.createDataFrame(pairs, "__text string, __label string")
+    table = short_table(df.sparkSession, pairs, {"__text": "string", "__label": "string"})
     columns = df.columns
     return (
         attach(

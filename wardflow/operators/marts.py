@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.operators.attach import attach
 from wardflow.operators.quantiles import quantile
+from wardflow.session import short_table
 
 
 def bed_days(df: DataFrame, unit: str, start: str, end: str) -> DataFrame:
@@ -44,7 +45,7 @@ def occupancy(
     df: DataFrame, unit: str, start: str, end: str, beds: Mapping[str, int]
 ) -> DataFrame:
     """Occupancy rate per unit and month: bed-days over available bed-days."""
-    capacity = df.sparkSession.createDataFrame(list(beds.items()), f"`{unit}` string, lits int")
+    capacity = short_table(df.sparkSession, list(beds.items()), {unit: "string", "lits": "int"})
     used = attach(bed_days(df, unit, start, end), capacity, [unit], max_rows=len(beds))
     available = F.col("lits") * F.dayofmonth(F.last_day("mois_debut"))
     return used.select(

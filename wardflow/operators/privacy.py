@@ -9,10 +9,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-AUDIT_SCHEMA = (
-    "colonne string, operation string, justification string, "
-    "horodatage string, nb_lignes_traitees bigint, execution_id string"
-)
+from wardflow.session import short_table
+
+AUDIT_COLUMNS = {
+    "colonne": "string", "operation": "string", "justification": "string",
+    "horodatage": "string", "nb_lignes_traitees": "bigint", "execution_id": "string",
+}
 
 # Wording of the treatment audit.
 HASHED = ("Hachage SHA-256 salé", "Chaînage des séjours conservé sans identifiant direct")
@@ -32,7 +34,7 @@ def required_salt(salt: str | None, variable: str) -> str:
 
 def hidden_constant(df: DataFrame, value: str) -> Column:
     """A secret as a scalar subquery, so that no query plan spells it out."""
-    return df.sparkSession.createDataFrame([(value,)], "__secret string").scalar()
+    return short_table(df.sparkSession, [(value,)], {"__secret": "string"}).scalar()
 
 
 def pseudonym(identifier: Column, salt: Column, missing_text: str | None = None) -> Column:
@@ -109,7 +111,7 @@ def treatment_audit(
         (*treatment, stamp, rows_treated, run)
         for treatment in treatments(df, identifier, direct, birth)
     ]
-    return df.sparkSession.createDataFrame(rows, AUDIT_SCHEMA)
+    return short_table(df.sparkSession, rows, AUDIT_COLUMNS)
 
 
 def check_no_personal_columns(df: DataFrame, forbidden: Sequence[str]) -> bool:

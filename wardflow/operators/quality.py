@@ -7,9 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-REPORT_SCHEMA = (
-    "regle string, violations bigint, statut string, criticite string, message string"
-)
+from wardflow.session import short_table
+
+REPORT_COLUMNS = {
+    "regle": "string", "violations": "bigint", "statut": "string", "criticite": "string",
+    "message": "string",
+}
 
 # Wording of the report.
 OK, FAILED, WARNED = "OK", "ÉCHEC", "AVERTISSEMENT"
@@ -109,7 +112,7 @@ def enforce(report: DataFrame, blocking: bool = True) -> DataFrame:
     if failed and blocking:
         details = "\n".join(f"  - {row.regle}: {row.message}" for row in failed)
         raise ValueError(f"{len(failed)} blocking quality rule(s) failed:\n{details}")
-    return report.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+    return short_table(report.sparkSession, rows, REPORT_COLUMNS)
 
 
 def passed(report: DataFrame) -> DataFrame:

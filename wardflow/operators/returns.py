@@ -45,12 +45,12 @@ def days_since_previous(
     df = df.withColumn(
         "__spread", F.when(loose, F.pmod(F.xxhash64(*order), F.lit(1 << 16)))
     )
-    hot = materialise(hot_keys(df.where(F.col(at).isNotNull()), key, hot_rows))
+    hot = hot_keys(df.where(F.col(at).isNotNull()), key, hot_rows)
     if hot.isEmpty():
         lanes = Window.partitionBy(key, "__spread").orderBy(at, *order)
         previous = F.lag(at).over(lanes)
     else:
-        df = _with_time_slices(df, hot, key, at, hot_rows)
+        df = _with_time_slices(df, materialise(hot), key, at, hot_rows)
         lanes = Window.partitionBy(key, "__spread", "__slice").orderBy(at, *order)
         previous = F.coalesce(F.lag(at).over(lanes), F.col("__carry"))
     df = df.withColumn("__previous", previous)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardflow.functions.text import lookup
 from wardflow.operators.attach import attach
+from wardflow.session import short_table
 
 UNKNOWN_DATE_KEY = 0
 
@@ -64,11 +65,8 @@ def list_dimension(
         (i, label, *[values.get(label) for values, _ in attributes.values()])
         for i, label in enumerate(unique, start=1)
     ]
-    schema = ", ".join(
-        [f"{key} int", f"{name} string"]
-        + [f"{column} {kind}" for column, (_, kind) in attributes.items()]
-    )
-    return spark.createDataFrame(rows, schema)
+    kinds = {column: kind for column, (_, kind) in attributes.items()}
+    return short_table(spark, rows, {key: "int", name: "string"} | kinds)
 
 
 def observed_dimension(df: DataFrame, column: str, key: str, max_values: int = 10_000) -> DataFrame:

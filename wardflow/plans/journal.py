@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-SCHEMA = (
-    "ordre int, etape string, lignes_avant bigint, lignes_apres bigint, "
-    "delta bigint, detail string"
-)
+from wardflow.session import short_table
+
+COLUMNS = {
+    "ordre": "int", "etape": "string", "lignes_avant": "bigint", "lignes_apres": "bigint",
+    "delta": "bigint", "detail": "string",
+}
 ROWS = "__rows"
 
 
@@ -54,4 +56,4 @@ class Journal:
         for i, (label, before, after, make) in enumerate(self._steps, start=1):
             n, m = seen[before, ROWS], seen[after, ROWS]
             rows.append((i, label, n, m, m - n, make(seen)))
-        return spark.createDataFrame(rows, SCHEMA)
+        return short_table(spark, rows, COLUMNS)

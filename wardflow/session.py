@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps in the data carry no zone, so differences are taken in UTC; the
@@ -63,6 +64,27 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+}
+
+
+def short_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """Table of a few literal rows; ``columns`` maps names to types.
+
+    Passed as Arrow it becomes a local relation, whose size the optimizer knows
+    and which starts no job and no Python worker.
+    """
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    arrays = [
+        pa.array(column, ARROW_TYPES[kind]) for column, kind in zip(values, columns.values())
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage and cut its lineage."""
     context = df.sparkSession.sparkContext

@@ -48,11 +48,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stays(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(views.STAYS, **read_tables(spark, folder, "orders", "customer"))
+    tables = read_tables(spark, folder, "orders", "customer")
+    return spark.sql(views.on_spark(views.STAYS), **tables)
 
 
 def raw_admissions(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(views.ADMISSIONS, **read_tables(spark, folder, "orders", "customer"))
+    tables = read_tables(spark, folder, "orders", "customer")
+    return spark.sql(views.on_spark(views.ADMISSIONS), **tables)
 
 
 def typed(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The tables hold no nulls, duplicates or misspellings, so the defects the
 operators repair are put in by expressions on the order key. Every row of the
-tables is used. Each text runs unchanged on Spark and on DuckDB; tables are
-written ``{orders}`` and ``{customer}``.
+tables is used. The texts run on Spark and on DuckDB: tables are written
+``{orders}`` and ``{customer}``, and the one expression that differs, turning a
+list of copy numbers into rows, is written ``{copies}``.
 """
 
 from __future__ import annotations
@@ -17,8 +18,16 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 SEGMENT_LABELS = {name.lower(): name.capitalize() for name in SEGMENTS}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
-# Orders seen as stays, few columns, typed. One order in fifty is there twice,
-# one in sixty is issued again with another cost.
+# Copies of an order: itself, an exact duplicate (1), a re-issue with another
+# cost (2) and a late exact duplicate (3).
+COPIES = (
+    "0, case when k % 50 = 0 then 1 end, case when k % 60 = 0 then 2 end, "
+    "case when k % 300 = 0 then 3 end"
+)
+ON_SPARK = f"explode(array_compact(array({COPIES})))"
+ON_DUCKDB = f"unnest(list_filter([{COPIES}], lambda x: x is not null))"
+
+# Orders seen as stays, few columns, typed.
 STAYS = f"""
 with b as (
   select o_orderkey k, o_custkey,
@@ -39,11 +48,11 @@ with b as (
   from {{orders}} join {{customer}} on o_custkey = c_custkey),
 f as (
   select *, e + (k % 1000)*12 * interval '1' minute
-         - (case when k % 125 = 0 then 30 else 0 end) * interval '1' day as s from b)
-select k as seq, f.* from f
-union all select {REISSUE}+k, f.* from f where k % 50 = 0
-union all select 2*{REISSUE}+k, k, o_custkey, e, duree, pathologie, service,
-                 cout+1, issue, naiss, s from f where k % 60 = 0
+         - (case when k % 125 = 0 then 30 else 0 end) * interval '1' day as s,
+         {{copies}} as copy from b)
+select k + copy*{REISSUE} as seq, k, o_custkey, e, duree, pathologie, service,
+       case when copy = 2 then cout+1 else cout end as cout, issue, naiss, s
+from f
 """
 
 
@@ -72,7 +81,8 @@ d as (
               - (case when k % 125 = 0 then 30 else 0 end) * interval '1' day end as s,
     {_one_of('k*7 % 32', RAW_DIAGNOSES, 'Mal inconnu')} as patho,
     {_one_of('k*5 % 18', RAW_TOWNS, 'Ailleurs')} as town,
-    {_one_of('k*5 % 9', RAW_SERVICES, 'Accueil')} as unit
+    {_one_of('k*5 % 9', RAW_SERVICES, 'Accueil')} as unit,
+    {{copies}} as copy
   from b),
 f as (
   select
@@ -122,7 +132,8 @@ f as (
          when k % 173 = 0 then '0.0'
          else cast(cast(360 + k % 50 as double)/10 as string) end
       as temperature_entree_c,
-    case when k % 71 = 0 then '-1'
+    case when copy = 2 then '777'
+         when k % 71 = 0 then '-1'
          when k % 73 = 0 then '0'
          else cast(cast(floor(tp) as bigint) as string) end as cout_hospitalisation_fcfa,
     case when k % 83 = 0 then null
@@ -131,16 +142,16 @@ f as (
          when k % 10 = 1 then 'Transfert'
          when k % 10 = 2 then 'Sortie contre avis'
          else 'Gueri' end as issue,
-    k as seq
+    k + copy*{REISSUE} as seq
   from d)
-select f.* from f
-union all select {', '.join(ref.RAW_COLUMNS)}, {REISSUE}+seq from f where seq % 50 = 0
-union all select {', '.join(c if c != 'cout_hospitalisation_fcfa' else "'777'"
-                            for c in ref.RAW_COLUMNS)}, 2*{REISSUE}+seq
-          from f where seq % 60 = 0
-union all select {', '.join(ref.RAW_COLUMNS)}, 3*{REISSUE}+seq from f where seq % 300 = 0
+select * from f
 """
 
 
+def on_spark(text: str) -> str:
+    """Text for Spark, with the table placeholders left in."""
+    return text.replace("{copies}", ON_SPARK)
+
+
 def on_duckdb(text: str) -> str:
-    return text.format(orders="orders", customer="customer")
+    return text.format(orders="orders", customer="customer", copies=ON_DUCKDB)
