@@ -115,14 +115,15 @@ def test_informative_rules_do_not_block(frame):
     assert rows[7].message == "1 températures non relevées (1 dossiers incomplets)."
 
 
-def test_report_is_one_aggregation(frame):
+def test_report_is_one_aggregation_and_one_over_the_key(frame):
     plan = plan_text(admissions.rapport_qualite(frame([GOOD], COLUMNS)), "simple")
-    assert plan.count("Scan") == 1 and "Expand" not in plan
+    assert plan.count("Scan") == 2 and plan.count("hashpartitioning(id_admission") == 1
+    assert "Expand" not in plan
 
 
 def test_null_keys_repeat_each_other(frame):
     df = frame([(None,), (None,), ("a",)], "k string")
-    assert df.agg(quality.repeated("k").alias("n")).first().n == 1
+    assert quality.repeats("k")(df).first()[0] == 1
 
 
 def test_domains_and_modalities(frame):

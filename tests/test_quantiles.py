@@ -29,29 +29,30 @@ def skewed():
 @pytest.mark.parametrize("p", [0.0, 0.1, 0.5, 0.9, 0.999, 1.0])
 def test_sliced_quantile_is_exact(frame, skewed, p):
     df = frame(skewed, "k string, v double").repartition(5)
-    got = quantiles.quantile(df, ["k"], "v", p, "q", slices=16)
-    found = {r.k: r.q for r in got.collect()}
     expected = by_hand(skewed, p)
-    assert found.keys() == expected.keys()
-    for key, value in expected.items():
-        assert found[key] == pytest.approx(value, rel=1e-12), key
+    for direct_rows in (0, 10**6):
+        got = quantiles.quantile(df, ["k"], "v", p, "q", direct_rows, slices=16)
+        found = {r.k: r.q for r in got.collect()}
+        assert found.keys() == expected.keys()
+        for key, value in expected.items():
+            assert found[key] == pytest.approx(value, rel=1e-12), key
 
 
 def test_sliced_quantile_without_broadcast(frame, skewed, monkeypatch):
     monkeypatch.setattr(attach, "BROADCAST_ROWS", 0)
     df = frame(skewed, "k string, v double")
-    found = {r.k: r.q for r in quantiles.quantile(df, ["k"], "v", 0.9, "q", 16).collect()}
+    found = {r.k: r.q for r in quantiles.quantile(df, ["k"], "v", 0.9, "q", 0, 16).collect()}
     assert found == pytest.approx(by_hand(skewed, 0.9))
 
 
-def test_grid_quantile_and_long_flag(frame):
+def test_quantile_and_long_flag(frame):
     df = frame(
         [("a", 1.0), ("a", 2.0), ("a", 4.0), ("a", None)], "k string, v double"
     )
-    got = quantiles.grid_quantile(df, ["k"], "v", 0.9, "q").first().q
+    got = quantiles.quantile(df, ["k"], "v", 0.9, "q").first().q
     assert got == pytest.approx(3.6)
-    for on_grid in (True, False):
-        flagged = enrich.add_long_flag(df, "k", "v", "long", on_grid=on_grid)
+    for direct_rows in (0, None):
+        flagged = enrich.add_long_flag(df, "k", "v", "long", direct_rows=direct_rows)
         assert sorted((r.v or 0, r.long) for r in flagged.collect()) == [
             (0, False), (1.0, False), (2.0, False), (4.0, True),
         ]
@@ -65,22 +66,22 @@ def test_slice_of_counts_edges(frame):
     assert got == {0.0: 0, 1.0: 1, 2.0: 1, 3.0: 3, 9.0: 4}
 
 
-@pytest.mark.parametrize("on_grid", [True, False])
-def test_median_fallback_counts_imputed_values(frame, on_grid):
+@pytest.mark.parametrize("direct_rows", [0, None])
+def test_median_fallback_counts_imputed_values(frame, direct_rows):
     rows = [("a", 2.0), ("a", 4.0), ("a", 8.0), ("c", 100.0)]
     rows += [("c", None)] * 3 + [("b", None)]
     df = frame(rows, "k string, v double")
-    filled = impute.impute_group_median(df, "k", "v", flag="f", on_grid=on_grid)
+    filled = impute.impute_group_median(df, "k", "v", flag="f", direct_rows=direct_rows)
     got = sorted((r.k, r.v, r.f) for r in filled.collect())
     assert ("b", 100.0, True) in got
     assert got.count(("c", 100.0, True)) == 3 and ("c", 100.0, False) in got
     assert filled.columns == ["k", "v", "f"]
 
 
-@pytest.mark.parametrize("on_grid", [True, False])
-def test_null_key_takes_the_overall_median(frame, on_grid):
+@pytest.mark.parametrize("direct_rows", [0, None])
+def test_null_key_takes_the_overall_median(frame, direct_rows):
     df = frame([(None, None), (None, 50.0), ("a", 1.0), ("a", 3.0)], "k string, v double")
-    filled = impute.impute_group_median(df, "k", "v", on_grid=on_grid)
+    filled = impute.impute_group_median(df, "k", "v", direct_rows=direct_rows)
     assert sorted(r.v for r in filled.collect()) == [1.0, 3.0, 3.0, 50.0]
 
 

@@ -39,13 +39,20 @@ def deduplicate(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return keep_last(drop_exact_duplicates(df, order), keys, order)
 
 
+def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One value: rows beyond the first of each key; null keys equal each other."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("repeated"))
+
+
 def duplicate_counts(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """Rows, rows beyond the first of each equal row, and of each key."""
+    """Rows, rows beyond the first of each equal row, and of each key.
+
+    The key is counted on its own columns, so that its shuffle carries no more.
+    """
     content = [c for c in df.columns if c != order]
-    key = F.struct(*keys)
     distinct_rows = df.groupBy(*content).agg(F.count(F.lit(1)).alias("__n"))
     return distinct_rows.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("lignes"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
-        (F.coalesce(F.sum("__n"), F.lit(0)) - F.count_distinct(key)).alias("cles_dupliquees"),
-    )
+    ).withColumn("cles_dupliquees", repeated(df, keys).scalar())

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.functions.text import lookup
 from wardflow.operators.attach import attach
-from wardflow.operators.quantiles import grid_quantile, quantile
+from wardflow.operators.quantiles import quantile
 
 
 def band(value: Column, bands: Sequence[tuple], top: float, default: str) -> Column:
@@ -61,15 +61,13 @@ def add_long_flag(
     value: str,
     name: str,
     p: float = 0.9,
-    on_grid: bool = False,
     max_groups: int | None = None,
+    direct_rows: int | None = None,
 ) -> DataFrame:
-    """Whether a value is strictly above its group's quantile.
-
-    ``on_grid`` says that the values have a fixed number of decimals.
-    """
-    of_group = grid_quantile if on_grid else quantile
-    thresholds = of_group(df.where(F.col(key).isNotNull()), [key], value, p, "__threshold")
+    """Whether a value is strictly above its group's quantile."""
+    thresholds = quantile(
+        df.where(F.col(key).isNotNull()), [key], value, p, "__threshold", direct_rows
+    )
     columns = df.columns
     return attach(df, thresholds, [key], max_rows=max_groups).select(
         *columns,

@@ -6,59 +6,44 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardflow.functions.times import whole_years
 from wardflow.operators.attach import attach
-from wardflow.operators.quantiles import quantile, value_counts_by
+from wardflow.operators.quantiles import quantile_of_counts, value_counts_by
 from wardflow.session import materialise
 
 
-def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:
+def group_medians(
+    df: DataFrame, key: str, value: str, direct_rows: int | None = None
+) -> DataFrame:
     """Fill value per key: its exact median, or the overall median.
 
     The overall median is taken over the column as the group medians leave it.
-    Both come from one value -> count table, so the rows are read once. A null
-    key belongs to no group and always takes the overall median.
+    It serves keys whose values are all missing and the null key, which is no
+    group, and is looked for only when there are such rows. Everything comes
+    from one table of value counts, so the rows are read once.
     """
     counts = value_counts_by(df, [key], value)
-    per_key = counts.groupBy(key).agg(
-        F.when(F.col(key).isNotNull(), F.percentile(value, 0.5, F.col("__n"))).alias("__median"),
-        F.sum(F.when(F.col(value).isNull(), F.col("__n")).otherwise(0)).alias("__missing"),
-    )
-    filled = counts.where(F.col(value).isNotNull()).select(
-        F.col(value).alias("__value"), "__n"
-    ).unionByName(
-        per_key.where((F.col("__missing") > 0) & F.col("__median").isNotNull()).select(
-            F.col("__median").alias("__value"), F.col("__missing").alias("__n")
-        )
-    )
-    merged = filled.groupBy("__value").agg(F.sum("__n").alias("__n"))
-    overall = merged.agg(F.percentile("__value", 0.5, F.col("__n")))
-    return per_key.select(key, F.coalesce("__median", overall.scalar()).alias("__fill"))
-
-
-def continuous_medians(df: DataFrame, key: str, value: str) -> DataFrame:
-    """As :func:`group_medians`, for values that lie on no grid.
-
-    The overall median needs the whole filled column, so it is looked for only
-    when a missing value belongs to no group that has a median.
-    """
-    keyed = df.select(key, value)
+    present = counts.where(F.col(value).isNotNull())
+    grouped = present.where(F.col(key).isNotNull())
     medians = materialise(
-        quantile(keyed.where(F.col(key).isNotNull()), [key], value, 0.5, "__fill")
+        quantile_of_counts(grouped, [key], value, 0.5, "__fill", direct_rows)
     )
-    left_over = (
-        keyed.where(F.col(value).isNull())
-        .select(F.col(key).alias("__key"))
-        .distinct()
-        .join(medians, F.col("__key") == F.col(key), "left_anti")
-    )
-    left_over = materialise(left_over)
+    # One row per key with missing values.
+    gaps = counts.where(F.col(value).isNull()).select(key, "__n")
+    gaps = materialise(attach(gaps, medians, [key]))
+    left_over = gaps.where(F.col("__fill").isNull())
     if left_over.isEmpty():
         return medians
-    filled = attach(keyed, medians, [key]).select(
-        F.lit(0).alias("__all"), F.coalesce(value, "__fill").alias("__value")
+    fills = gaps.where(F.col("__fill").isNotNull()).select("__fill", "__n")
+    filled = (
+        present.select(F.col(value).alias("__fill"), "__n")
+        .unionByName(fills)
+        .groupBy(F.lit(0).alias("__all"), "__fill")
+        .agg(F.sum("__n").alias("__n"))
+    )
+    overall = quantile_of_counts(
+        materialise(filled), ["__all"], "__fill", 0.5, "__overall", direct_rows
     )
-    overall = quantile(filled, ["__all"], "__value", 0.5, "__overall").select("__overall")
     return medians.unionByName(
-        left_over.select(F.col("__key").alias(key), overall.scalar().alias("__fill"))
+        left_over.select(key, overall.select("__overall").scalar().alias("__fill"))
     )
 
 
@@ -68,15 +53,14 @@ def impute_group_median(
     value: str,
     flag: str | None = None,
     max_groups: int | None = None,
-    on_grid: bool = True,
+    direct_rows: int | None = None,
 ) -> DataFrame:
     """Fill a missing value with its group's median.
 
-    ``flag`` names a column that marks the filled rows, ``max_groups`` is a
-    proved bound on the number of keys, and ``on_grid`` says that values have a
-    fixed number of decimals (see :mod:`wardflow.operators.quantiles`).
+    ``flag`` names a column that marks the filled rows; ``max_groups`` is a
+    proved bound on the number of keys.
     """
-    medians = (group_medians if on_grid else continuous_medians)(df, key, value)
+    medians = group_medians(df, key, value, direct_rows)
     columns = df.columns
     filled = attach(df, medians, [key], max_rows=max_groups, null_safe=True)
     if flag:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.operators.attach import attach
-from wardflow.operators.quantiles import quantile
-from wardflow.session import short_table
+from wardflow.operators.quantiles import quantile_of_counts
+from wardflow.session import materialise, short_table
 
 
 def bed_days(df: DataFrame, unit: str, start: str, end: str) -> DataFrame:
@@ -65,33 +65,33 @@ def burden(
     cost: str,
     outcome: str,
     death: str,
-    on_grid: bool = True,
+    direct_rows: int | None = None,
 ) -> DataFrame:
     """Per label: stays, share, deaths, lethality, durations, total cost.
 
-    ``on_grid`` says that durations have a fixed number of decimals: one table
-    of label and duration then gives every figure in a single pass.
+    One table per label and duration, read from the rows in a single pass,
+    gives every figure.
     """
-    by_duration = df.groupBy(label, duration).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.count_if(F.col(outcome) == death).alias("__deaths"),
-        F.sum(cost).alias("__cost"),
+    by_duration = materialise(
+        df.groupBy(label, duration).agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.count_if(F.col(outcome) == death).alias("__deaths"),
+            F.sum(cost).alias("__cost"),
+        )
     )
     known = F.when(F.col(duration).isNotNull(), F.col("__n"))
-    figures = [
+    groups = by_duration.groupBy(label).agg(
         F.sum("__n").alias("sejours"),
         F.sum("__deaths").alias("deces"),
         ratio(F.sum(F.col(duration) * known), F.sum(known)).alias("__mean"),
         F.sum("__cost").alias("__cost"),
-    ]
-    if on_grid:
-        median = F.percentile(duration, 0.5, F.col("__n")).alias("__median")
-        groups = by_duration.groupBy(label).agg(*figures, median)
-    else:
-        medians = quantile(df, [label], duration, 0.5, "__median")
-        groups = attach(by_duration.groupBy(label).agg(*figures), medians, [label], null_safe=True)
-    everything = df.agg(F.count(F.lit(1))).scalar()
-    return groups.select(
+    )
+    medians = quantile_of_counts(
+        by_duration.select(label, duration, "__n"), [label], duration, 0.5, "__median",
+        direct_rows,
+    )
+    everything = by_duration.agg(F.sum("__n")).scalar()
+    return attach(groups, medians, [label], null_safe=True).select(
         label,
         "sejours",
         round_even(ratio(F.col("sejours"), everything) * 100, 2).alias("part_pct"),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardflow.operators.dedup import repeated
 from wardflow.session import short_table
 
 REPORT_COLUMNS = {
@@ -21,17 +22,21 @@ BLOCKING, INFORMATIVE = "bloquante", "informative"
 
 @dataclass(frozen=True)
 class Rule:
-    """A named check. ``violations`` aggregates a table to a number of faults."""
+    """A named check.
+
+    ``violations`` is an aggregate giving the number of faults or, for checks
+    that group rows, a function from the table to a table of that one number.
+    """
 
     name: str
-    violations: Column
+    violations: Column | Callable[[DataFrame], DataFrame]
     message: str
     blocking: bool = False
 
 
-def repeated(key: str) -> Column:
-    """Rows beyond the first of each key; null keys equal each other."""
-    return F.count(F.lit(1)) - F.count_distinct(F.struct(key))
+def repeats(key: str) -> Callable[[DataFrame], DataFrame]:
+    """Rows beyond the first of each key."""
+    return lambda df: repeated(df, [key])
 
 
 def column_left(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -66,22 +71,30 @@ def missing(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
 
-def more_values_than(column: str, allowed: int) -> Column:
+def more_values_than(column: str, allowed: int) -> Callable[[DataFrame], DataFrame]:
     """Distinct values in excess of the reference list's length."""
-    return F.greatest(F.count_distinct(column) - F.lit(allowed), F.lit(0))
+    excess = F.greatest(F.count_distinct(column) - F.lit(allowed), F.lit(0))
+    return lambda df: df.agg(excess.alias("excess"))
 
 
 def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: faults, status, criticality, message.
 
-    All counts come out of one aggregation over the table.
+    All plain counts come out of one aggregation that shuffles nothing but its
+    totals. A check that groups rows is counted apart, on its own column: in
+    the same aggregation every other count would be shuffled along with it.
     """
     counts = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
         *[
             F.coalesce(rule.violations, F.lit(0)).cast("bigint").alias(f"__r{i}")
             for i, rule in enumerate(rules)
-        ]
+            if not callable(rule.violations)
+        ],
     )
+    for i, rule in enumerate(rules):
+        if callable(rule.violations):
+            counts = counts.withColumn(f"__r{i}", rule.violations(df).scalar())
     rows = []
     for i, rule in enumerate(rules):
         faults = F.col(f"__r{i}")

@@ -1,9 +1,11 @@
 """Exact quantiles per group, with linear interpolation.
 
-Spark's ``percentile`` holds every distinct value of a group in one task. That
-is safe on a value -> count table whose values lie on a grid (durations to one
-decimal); otherwise the wanted ranks are located first, and only the slice of
-the group around them is ranked.
+Rows are first reduced to value counts, with equal values merging before the
+shuffle, and the rows are not read again. Durations to one decimal leave a few
+hundred counts per group, and Spark's ``percentile`` takes them as they are. It
+holds every distinct value of a group in one task, though, so when the counts
+are many the wanted ranks are located first and only the slice of the group
+around them is ranked.
 """
 
 from __future__ import annotations
@@ -13,25 +15,46 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardflow.operators.attach import attach
 from wardflow.session import materialise
 
-# Slices a group is cut into; each holds about 1/256 of its distinct values.
+# Value counts up to this many, over all groups, fit a task.
+DIRECT_ROWS = 500_000
+# Slices a large group is cut into; each holds about 1/256 of its values.
 SLICES = 256
 
 
 def value_counts_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Rows per key and value: equal values merge before the shuffle."""
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows per key and value in ``__n``, null values included, computed once."""
+    return materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")))
 
 
-def grid_quantile(
-    df: DataFrame, keys: list[str], value: str, p: float, name: str
+def quantile(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    p: float,
+    name: str,
+    direct_rows: int | None = None,
+    slices: int = SLICES,
 ) -> DataFrame:
-    """Quantile per key of values on a grid.
-
-    The number of distinct values is bounded by their range, whatever the
-    number of rows, so one group's value -> count table fits a task.
-    """
+    """Quantile per key of any numeric column, nulls left out."""
     counts = value_counts_by(df.where(F.col(value).isNotNull()), keys, value)
-    return counts.groupBy(*keys).agg(F.percentile(value, p, F.col("__n")).alias(name))
+    return quantile_of_counts(counts, keys, value, p, name, direct_rows, slices)
+
+
+def quantile_of_counts(
+    counts: DataFrame,
+    keys: list[str],
+    value: str,
+    p: float,
+    name: str,
+    direct_rows: int | None = None,
+    slices: int = SLICES,
+) -> DataFrame:
+    """Quantile per key from a computed table of keys, values and ``__n``."""
+    counts = counts.where(F.col(value).isNotNull())
+    limit = DIRECT_ROWS if direct_rows is None else direct_rows
+    if counts.limit(limit + 1).count() <= limit:
+        return counts.groupBy(*keys).agg(F.percentile(value, p, F.col("__n")).alias(name))
+    return _sliced(counts, keys, value, p, name, slices)
 
 
 def slice_of(value: Column, edges: Column, slices: int) -> Column:
@@ -48,18 +71,14 @@ def slice_of(value: Column, edges: Column, slices: int) -> Column:
     )
 
 
-def quantile(
-    df: DataFrame, keys: list[str], value: str, p: float, name: str, slices: int = SLICES
+def _sliced(
+    counts: DataFrame, keys: list[str], value: str, p: float, name: str, slices: int
 ) -> DataFrame:
-    """Quantile per key of any numeric column.
-
-    Approximate quantiles cut each group's distinct values into slices of
+    """Approximate quantiles cut each group's distinct values into slices of
     similar size. Slice totals are exact, so they tell which slice holds the
-    wanted ranks; only that slice is sorted. The cut points decide how even
+    wanted ranks, and only that slice is sorted. The cut points decide how even
     the work is, never the result.
     """
-    # Read three times below, so it is computed once and kept.
-    counts = materialise(value_counts_by(df.where(F.col(value).isNotNull()), keys, value))
     cuts = [i / slices for i in range(1, slices)]
     edges = counts.groupBy(*keys).agg(
         F.percentile_approx(value, cuts, 10 * slices).alias("__edges")

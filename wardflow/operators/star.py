@@ -98,11 +98,16 @@ def with_dimension_key(
 def orphans(fact: DataFrame, foreign: str, dimension: DataFrame, key: str) -> DataFrame:
     """Foreign keys without a dimension row, with their row counts.
 
-    Facts are counted per key before the join, so a hot key is one row.
+    Facts are counted per key before the join, so a hot key is one row. An
+    anti join would be moved below the counting.
     """
     used = fact.groupBy(F.col(foreign).alias("cle")).agg(F.count(F.lit(1)).alias("lignes"))
     known = dimension.select(F.col(key).alias("__key"))
-    return used.join(known, F.col("cle") == F.col("__key"), "left_anti")
+    return (
+        used.join(known, F.col("cle") == F.col("__key"), "left")
+        .where(F.col("__key").isNull())
+        .drop("__key")
+    )
 
 
 def orphan_report(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

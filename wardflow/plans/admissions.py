@@ -76,8 +76,7 @@ def corriger_incoherences(df: DataFrame) -> DataFrame:
 def imputer(df: DataFrame) -> DataFrame:
     """Durations by diagnosis median, ages by birth date.
 
-    Durations have one decimal, hence the value -> count table; diagnoses come
-    out of the label list, hence the bound on their number.
+    Diagnoses come out of the label list, hence the bound on their number.
     """
     filled = impute.impute_group_median(
         df, "pathologie", "duree_sejour_j", flag="duree_imputee", max_groups=DIAGNOSES
@@ -153,7 +152,7 @@ def enrichir(
         df, "cout_hospitalisation_fcfa", "duree_sejour_j", "cout_journalier_fcfa"
     )
     df = enrich.add_long_flag(
-        df, "service", "duree_sejour_j", "sejour_prolonge", on_grid=True, max_groups=SERVICES
+        df, "service", "duree_sejour_j", "sejour_prolonge", max_groups=SERVICES
     )
     df = returns.flag_returns(
         df,
@@ -172,7 +171,7 @@ def regles(df: DataFrame) -> list[quality.Rule]:
     return [
         quality.Rule(
             "R1 — Unicité de id_admission",
-            quality.repeated("id_admission"),
+            quality.repeats("id_admission"),
             "{n} identifiants d'admission dupliqués : la clé primaire de la "
             "table de faits serait invalide.",
             blocking=True,

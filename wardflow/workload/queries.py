@@ -305,7 +305,7 @@ def impute_line_prices(spark, folder):
     )
     rows = values.null_outside(lines, {"l_extendedprice": (0, 90_000)})
     return impute.impute_group_median(
-        rows, "l_returnflag", "l_extendedprice", flag="prix_impute", on_grid=False
+        rows, "l_returnflag", "l_extendedprice", flag="prix_impute", direct_rows=1000
     )
 
 
@@ -384,7 +384,7 @@ def unit_cost(spark, folder):
 @query
 def long_stay_p90(spark, folder):
     rows = stays(spark, folder).select(SEQ, "service", "duree")
-    return enrich.add_long_flag(rows, "service", "duree", "sejour_prolonge", on_grid=True)
+    return enrich.add_long_flag(rows, "service", "duree", "sejour_prolonge")
 
 
 @query
@@ -399,7 +399,9 @@ def long_lines_p90(spark, folder):
 @query
 def price_quantiles(spark, folder):
     lines = table(spark, folder, "lineitem")
-    found = quantiles.quantile(lines, ["l_returnflag"], "l_extendedprice", 0.9, "p90")
+    found = quantiles.quantile(
+        lines, ["l_returnflag"], "l_extendedprice", 0.9, "p90", direct_rows=1000
+    )
     return found.withColumn("p90", F.round("p90", 4))
 
 
