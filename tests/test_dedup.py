@@ -68,3 +68,14 @@ def test_struct_positions_order_rows(frame):
         "seq", F.struct(F.lit("file").alias("path"), F.col("seq").alias("row"))
     )
     assert [r.v for r in dedup.deduplicate(df, ["k"], "seq").collect()] == ["B"]
+
+
+def test_counted_dedup_keeps_the_same_rows_and_adds_up(frame):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["hot", None, f"k{i % 90}"]), rng.randrange(30)) for i in range(2500)]
+    df = frame(rows, "seq long, k string, v int").repartition(6)
+    counted = dedup.deduplicate_counted(df, ["k"], "seq", "copies", "versions")
+    assert counted.columns == ["seq", "k", "v", "copies", "versions"]
+    assert collected(counted) == collected(dedup.deduplicate(df, ["k"], "seq"))
+    totals = counted.agg(F.sum("copies"), F.sum("versions")).first()
+    assert tuple(totals) == (len(rows), len({(k, v) for _, k, v in rows}))

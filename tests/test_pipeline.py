@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import DATA
+from tests.conftest import DATA, plan_text
 from wardflow import reference as ref
 from wardflow.plans import admissions, pipeline, star_schema
+from wardflow.plans.journal import Journal
 from wardflow.workload import queries
 
 
@@ -36,6 +37,14 @@ def test_audit_and_report(result):
     assert rows[0].statut == rows[1].statut == rows[4].statut == "OK"
 
 
+def test_counts_are_taken_after_the_last_shuffle(raw, spark):
+    """A task before a shuffle may run twice when an executor is lost."""
+    journal = Journal()
+    plan = plan_text(pipeline._stage(raw, "seq", journal, ""), "simple")
+    assert plan.count("CollectMetrics") == 1
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+
+
 def test_journals_do_not_mix(raw, result):
     again = pipeline.run(raw, "sel", order="seq", source="admissions.csv")
     assert again.journal.collect() == result.journal.collect()

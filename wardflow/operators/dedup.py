@@ -39,6 +39,27 @@ def deduplicate(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return keep_last(drop_exact_duplicates(df, order), keys, order)
 
 
+def deduplicate_counted(
+    df: DataFrame, keys: list[str], order: str, copies: str, versions: str
+) -> DataFrame:
+    """As :func:`deduplicate`, with what each remaining row stands for.
+
+    ``copies`` is the number of raw rows of the key and ``versions`` that of
+    its distinct ones, so the totals before each pass can be read off the
+    result. Both passes combine before their shuffle.
+    """
+    content = [c for c in df.columns if c != order]
+    distinct = df.groupBy(*content).agg(
+        F.min(order).alias(order), F.count(F.lit(1)).alias(copies)
+    )
+    newest = F.max_by(F.struct(*df.columns), F.col(order)).alias("__newest")
+    return (
+        distinct.groupBy(*[F.col(key).alias(f"__{key}") for key in keys])
+        .agg(newest, F.sum(copies).alias(copies), F.count(F.lit(1)).alias(versions))
+        .select("__newest.*", copies, versions)
+    )
+
+
 def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     """One value: rows beyond the first of each key; null keys equal each other."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from wardflow.session import short_table
 
@@ -12,27 +12,28 @@ COLUMNS = {
     "ordre": "int", "etape": "string", "lignes_avant": "bigint", "lignes_apres": "bigint",
     "delta": "bigint", "detail": "string",
 }
-ROWS = "__rows"
 
 
 class Journal:
     """Journal of one run.
 
-    Points are observed on the data as it passes; a step names the points
-    before and after it. Nothing is counted by a job of its own, so the
-    journal can be read only after the observed tables were written.
+    Measures are observed on the data as it is written; a step names the
+    measures that hold its rows before and after. Nothing is counted by a job
+    of its own, so the journal can be read only after the tables were written.
+
+    Watch a table where it is written, with no shuffle in between: tasks before
+    a shuffle may run again when an executor is lost, and would count twice.
     """
 
     def __init__(self) -> None:
-        self._points: dict[str, Observation] = {}
+        self._observations: list[Observation] = []
         self._steps: list[tuple[str, str, str, Callable[[dict], str]]] = []
 
-    def watch(self, df: DataFrame, point: str, **measures: Column) -> DataFrame:
-        """Count rows, and any further measures, where ``df`` passes."""
-        observation = Observation(point)
-        self._points[point] = observation
-        named = [measure.alias(name) for name, measure in measures.items()]
-        return df.observe(observation, F.count(F.lit(1)).alias(ROWS), *named)
+    def watch(self, df: DataFrame, **measures: Column) -> DataFrame:
+        """Take aggregate measures of ``df`` when it is written."""
+        observation = Observation()
+        self._observations.append(observation)
+        return df.observe(observation, *[m.alias(name) for name, m in measures.items()])
 
     def step(
         self, label: str, before: str, after: str, detail: Callable[[dict], str] | str = ""
@@ -42,10 +43,10 @@ class Journal:
         self._steps.append((label, before, after, make))
 
     def measures(self) -> dict:
-        """All measures by (point, name); waits for the observed jobs."""
+        """All measures by name; waits for the observed jobs."""
         return {
-            (point, name): value
-            for point, observation in self._points.items()
+            name: value
+            for observation in self._observations
             for name, value in observation.get.items()
         }
 
@@ -54,6 +55,6 @@ class Journal:
         seen = self.measures()
         rows = []
         for i, (label, before, after, make) in enumerate(self._steps, start=1):
-            n, m = seen[before, ROWS], seen[after, ROWS]
+            n, m = seen[before] or 0, seen[after] or 0
             rows.append((i, label, n, m, m - n, make(seen)))
         return short_table(spark, rows, COLUMNS)

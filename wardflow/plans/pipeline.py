@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from wardflow import reference as ref
 from wardflow.operators import dedup, impute, labels, privacy, quality, returns, values
 from wardflow.plans import admissions
-from wardflow.plans.journal import ROWS, Journal
+from wardflow.plans.journal import Journal
 from wardflow.session import work_path
 from wardflow.sources.csvfile import ORDER
 from wardflow.sources.tables import append_table, hand_off, load_checked
@@ -35,30 +35,30 @@ class Run:
 def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFrame:
     """Duplicates out, labels and types in, implausible values nulled.
 
-    Marks left by each repair are counted by one observation at the end.
+    Each repair leaves a mark, and one observation at the end, where the rows
+    are written, counts them all.
     """
-    raw = journal.watch(raw, "read")
     journal.step("Extraction du fichier source", "read", "read", source)
 
-    distinct = journal.watch(dedup.drop_exact_duplicates(raw, order), "distinct")
-    kept = dedup.keep_last(distinct, ["id_admission"], order).drop(order)
+    df = dedup.deduplicate_counted(raw, ["id_admission"], order, "__read", "__distinct")
+    df = df.drop(order)
+    columns = [c for c in raw.columns if c != order]
     journal.step(
         "Suppression des doublons",
         "read",
         "staged",
-        lambda m: f"{m['read', ROWS] - m['distinct', ROWS]} doublons stricts, "
-        f"{m['distinct', ROWS] - m['staged', ROWS]} id_admission dupliqués",
+        lambda m: f"{m['read'] - m['distinct']} doublons stricts, "
+        f"{m['distinct'] - m['staged']} id_admission dupliqués",
     )
 
-    columns = kept.columns
     diagnosis = next(rule for rule in admissions.LABEL_RULES if rule.column == "pathologie")
-    df = kept.withColumn("__unmatched", labels.unmatched(diagnosis))
+    df = df.withColumn("__unmatched", labels.unmatched(diagnosis))
     df = df.transform(admissions.normaliser_textes)
     journal.step(
         "Normalisation des libellés",
         "staged",
         "staged",
-        lambda m: f"{m['staged', 'unmatched']} pathologies hors référentiel",
+        lambda m: f"{m['unmatched']} pathologies hors référentiel",
     )
 
     df = df.transform(admissions.corriger_types)
@@ -66,16 +66,15 @@ def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFra
         "Conversion des types", "staged", "staged", "dates, numériques, identifiants"
     )
 
+    out = {c: f"out_{c}" for c in ref.BOUNDS}
     df = df.withColumns(
-        {f"__out_{c}": values.outside(c, *ref.BOUNDS[c]) for c in ref.BOUNDS}
+        {f"__{name}": values.outside(c, *ref.BOUNDS[c]) for c, name in out.items()}
     ).transform(admissions.traiter_aberrations)
     journal.step(
         "Neutralisation des valeurs aberrantes",
         "staged",
         "staged",
-        lambda m: ", ".join(
-            f"{c}: {m['staged', f'out_{c}']}" for c in ref.BOUNDS if m["staged", f"out_{c}"]
-        ),
+        lambda m: ", ".join(f"{c}: {m[name]}" for c, name in out.items() if m[name]),
     )
 
     start, end, duration = admissions.STAY
@@ -87,13 +86,18 @@ def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFra
         "Correction des incohérences",
         "staged",
         "staged",
-        lambda m: f"{m['staged', 'inverted']} chronologies inversées, "
-        f"{m['staged', 'dated']} durées reconstituées",
+        lambda m: f"{m['inverted']} chronologies inversées, "
+        f"{m['dated']} durées reconstituées",
     )
 
-    marks = [c for c in df.columns if c.startswith("__")]
-    counts = {mark.removeprefix("__"): F.count_if(F.col(mark)) for mark in marks}
-    return journal.watch(df, "staged", **counts).select(*columns)
+    marks = ["unmatched", *out.values(), "inverted", "dated"]
+    return journal.watch(
+        df,
+        read=F.coalesce(F.sum("__read"), F.lit(0)),
+        distinct=F.coalesce(F.sum("__distinct"), F.lit(0)),
+        staged=F.count(F.lit(1)),
+        **{mark: F.count_if(F.col(f"__{mark}")) for mark in marks},
+    ).select(*columns)
 
 
 def _impute(staged: DataFrame, journal: Journal) -> DataFrame:
@@ -109,13 +113,13 @@ def _impute(staged: DataFrame, journal: Journal) -> DataFrame:
     journal.step(
         "Imputation",
         "staged",
-        "imputed",
-        lambda m: f"{m['imputed', 'imputed']} durées (médiane par pathologie), "
-        f"{m['imputed', 'aged']} âges recalculés depuis la date de naissance",
+        "filled",
+        lambda m: f"{m['imputed']} durées (médiane par pathologie), "
+        f"{m['aged']} âges recalculés depuis la date de naissance",
     )
     return journal.watch(
         filled,
-        "imputed",
+        filled=F.count(F.lit(1)),
         imputed=F.count_if(F.col("duree_imputee")),
         aged=F.count_if(F.col("__aged")),
     ).select(*columns)
@@ -152,7 +156,7 @@ def run(
         ref.PATIENT_ID,
         ref.DIRECT_IDENTIFIERS,
         ref.BIRTH_DATE,
-        journal.measures()["imputed", ROWS],
+        journal.measures()["filled"],
     )
     prepared = hand_off(
         admissions.enrichir(cleaned, lignes_chaudes=hot_rows).select(*ref.PREPARED_COLUMNS),
