@@ -39,7 +39,7 @@ def test_audit_and_report(result):
 
 def test_counts_are_taken_after_the_last_shuffle(raw, spark):
     """A task before a shuffle may run twice when an executor is lost."""
-    journal = Journal()
+    journal = Journal(ref.JOURNAL)
     plan = plan_text(pipeline._stage(raw, "seq", journal, ""), "simple")
     assert plan.count("CollectMetrics") == 1
     assert plan.index("CollectMetrics") < plan.index("Exchange")

@@ -10,17 +10,19 @@ from wardflow.session import materialise
 BROADCAST_ROWS = 100_000
 
 
-def sized_for_broadcast(small: DataFrame, max_rows: int | None = None, cells: int = 1):
+def sized_for_broadcast(
+    small: DataFrame, max_rows: int | None = None, cells: int = 1, computed: bool = False
+) -> DataFrame:
     """Return ``small``, marked for broadcast only when its size is known.
 
     ``max_rows`` is a bound the caller can prove (say, the size of the label
     list the keys come from). Without one the table is computed once, counted,
-    and left to an ordinary join when it is too long. ``cells`` is the length
-    of the array a row carries, if any.
+    and left to an ordinary join when it is too long; ``computed`` says that
+    this was done already. ``cells`` is the length of the array a row carries.
     """
     limit = BROADCAST_ROWS // cells
     if max_rows is None:
-        small = materialise(small)
+        small = small if computed else materialise(small)
         max_rows = small.limit(limit + 1).count()
     return F.broadcast(small) if max_rows <= limit else small
 
@@ -32,6 +34,7 @@ def attach(
     max_rows: int | None = None,
     null_safe: bool = False,
     cells: int = 1,
+    computed: bool = False,
 ) -> DataFrame:
     """Left join ``small`` on ``keys``; every row of ``df`` is kept once.
 
@@ -39,7 +42,7 @@ def attach(
     null key's row.
     """
     renamed = small.withColumnsRenamed({key: f"__{key}" for key in keys})
-    side = sized_for_broadcast(renamed, max_rows, cells)
+    side = sized_for_broadcast(renamed, max_rows, cells, computed)
     match = [
         F.col(key).eqNullSafe(F.col(f"__{key}"))
         if null_safe

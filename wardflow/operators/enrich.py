@@ -69,7 +69,7 @@ def add_long_flag(
         df.where(F.col(key).isNotNull()), [key], value, p, "__threshold", direct_rows
     )
     columns = df.columns
-    return attach(df, thresholds, [key], max_rows=max_groups).select(
+    return attach(df, thresholds, [key], max_rows=max_groups, computed=True).select(
         *columns,
         F.coalesce(F.col(value) > F.col("__threshold"), F.lit(False)).alias(name),
     )

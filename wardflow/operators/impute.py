@@ -28,7 +28,7 @@ def group_medians(
     )
     # One row per key with missing values.
     gaps = counts.where(F.col(value).isNull()).select(key, "__n")
-    gaps = materialise(attach(gaps, medians, [key]))
+    gaps = materialise(attach(gaps, medians, [key], computed=True))
     left_over = gaps.where(F.col("__fill").isNull())
     if left_over.isEmpty():
         return medians
@@ -62,7 +62,9 @@ def impute_group_median(
     """
     medians = group_medians(df, key, value, direct_rows)
     columns = df.columns
-    filled = attach(df, medians, [key], max_rows=max_groups, null_safe=True)
+    filled = attach(
+        df, medians, [key], max_rows=max_groups, null_safe=True, computed=True
+    )
     if flag:
         filled = filled.withColumn(flag, F.col(value).isNull())
         columns = [*columns, flag]

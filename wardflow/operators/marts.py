@@ -91,7 +91,7 @@ def burden(
         direct_rows,
     )
     everything = by_duration.agg(F.sum("__n")).scalar()
-    return attach(groups, medians, [label], null_safe=True).select(
+    return attach(groups, medians, [label], null_safe=True, computed=True).select(
         label,
         "sejours",
         round_even(ratio(F.col("sejours"), everything) * 100, 2).alias("part_pct"),

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardflow.reference import TREATMENTS
 from wardflow.session import short_table
 
 AUDIT_COLUMNS = {
@@ -16,11 +17,6 @@ AUDIT_COLUMNS = {
     "horodatage": "string", "nb_lignes_traitees": "bigint", "execution_id": "string",
 }
 
-# Wording of the treatment audit.
-HASHED = ("Hachage SHA-256 salé", "Chaînage des séjours conservé sans identifiant direct")
-DROPPED = ("Suppression", "Aucune valeur analytique (minimisation)")
-GENERALISED = ("Généralisation (année seule)", "Quasi-identifiant : date exacte réidentifiante")
-
 
 def required_salt(salt: str | None, variable: str) -> str:
     """The salt given, or that of the environment variable; never none."""
@@ -90,9 +86,9 @@ def treatments(
     df: DataFrame, identifier: str, direct: Sequence[str], birth: str
 ) -> list[tuple[str, str, str]]:
     """The treatments :func:`pseudonymise` applies to this table."""
-    rows = [(identifier, *HASHED)]
-    rows += [(name, *DROPPED) for name in present(df, direct)]
-    rows += [(name, *GENERALISED) for name in present(df, [birth])]
+    rows = [(identifier, *TREATMENTS["hashed"])]
+    rows += [(name, *TREATMENTS["dropped"]) for name in present(df, direct)]
+    rows += [(name, *TREATMENTS["generalised"]) for name in present(df, [birth])]
     return rows
 
 

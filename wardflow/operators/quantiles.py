@@ -49,7 +49,10 @@ def quantile_of_counts(
     direct_rows: int | None = None,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Quantile per key from a computed table of keys, values and ``__n``."""
+    """Quantile per key from a computed table of keys, values and ``__n``.
+
+    The result is cheap to run again.
+    """
     counts = counts.where(F.col(value).isNotNull())
     limit = DIRECT_ROWS if direct_rows is None else direct_rows
     if counts.limit(limit + 1).count() <= limit:
@@ -121,6 +124,6 @@ def _sliced(
     at_low = F.max(F.when(low_rank.between(start, end), F.col("__value")))
     at_high = F.max(F.when(high_rank.between(start, end), F.col("__value")))
     fraction = F.max(F.col("__position") - low_rank)
-    return placed.groupBy(*keys).agg(
-        (at_low + (at_high - at_low) * fraction).alias(name)
+    return materialise(
+        placed.groupBy(*keys).agg((at_low + (at_high - at_low) * fraction).alias(name))
     )

@@ -65,14 +65,14 @@ def _with_time_slices(df: DataFrame, hot: DataFrame, key: str, at: str, hot_rows
     cuts = [i / slices for i in range(1, slices)]
     hot_names = hot.select(F.col(key).alias("__hot"))
     hot_rows_only = df.where(F.col(at).isNotNull()).join(
-        sized_for_broadcast(hot_names), F.col(key) == F.col("__hot"), "left_semi"
+        sized_for_broadcast(hot_names, computed=True), F.col(key) == F.col("__hot"), "left_semi"
     )
     edges = hot_rows_only.groupBy(key).agg(
         F.percentile_approx(at, cuts, 10 * slices).alias("__edges")
     )
     edges = materialise(edges)
     sliced = (
-        attach(df, edges, [key], cells=slices)
+        attach(df, edges, [key], cells=slices, computed=True)
         .withColumn(
             "__slice",
             F.when(

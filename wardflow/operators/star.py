@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardflow.functions.text import lookup
 from wardflow.operators.attach import attach
-from wardflow.session import short_table
+from wardflow.session import materialise, short_table
 
 UNKNOWN_DATE_KEY = 0
 
@@ -75,7 +75,7 @@ def observed_dimension(df: DataFrame, column: str, key: str, max_values: int = 1
     Numbering needs one ordered sequence, so it is for short code lists: more
     than ``max_values`` values raise. Use the natural key for longer ones.
     """
-    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    values = materialise(df.select(column).where(F.col(column).isNotNull()).distinct())
     if values.limit(max_values + 1).count() > max_values:
         raise ValueError(f"{column} has more than {max_values} values: keep its natural key")
     numbered = F.row_number().over(Window.orderBy(column))

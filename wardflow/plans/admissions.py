@@ -167,57 +167,23 @@ def enrichir(
 
 
 def regles(df: DataFrame) -> list[quality.Rule]:
-    """The eight rules. Names and messages are fixed values."""
+    """The eight rules: six blocking, two informative."""
+    blocking = {
+        "unique": quality.repeats("id_admission"),
+        "personal": quality.column_left(df, ref.DIRECT_IDENTIFIERS),
+        "age": quality.out_of_range("age", *ref.BOUNDS["age"]),
+        "duration": quality.not_positive("duree_sejour_j"),
+        "dates": quality.before("date_sortie", "date_entree"),
+        "outcome": quality.not_listed("issue", ref.OUTCOMES),
+    }
+    informative = {
+        "diagnosis": quality.equal_to("pathologie", ref.UNKNOWN_F),
+        "temperature": quality.missing("temperature_entree_c"),
+    }
     return [
-        quality.Rule(
-            "R1 — Unicité de id_admission",
-            quality.repeats("id_admission"),
-            "{n} identifiants d'admission dupliqués : la clé primaire de la "
-            "table de faits serait invalide.",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R2 — Absence de données personnelles",
-            quality.column_left(df, ref.DIRECT_IDENTIFIERS),
-            "Des colonnes identifiantes subsistent : chargement interdit par "
-            "la loi 2019-992.",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R3 — Âge dans une plage plausible",
-            quality.out_of_range("age", 0, 110),
-            "{n} âges hors de l'intervalle [0 ; 110].",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R4 — Durée de séjour strictement positive",
-            quality.not_positive("duree_sejour_j"),
-            "{n} durées de séjour nulles, négatives ou manquantes.",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R5 — Cohérence chronologique entrée/sortie",
-            quality.before("date_sortie", "date_entree"),
-            "{n} dates de sortie antérieures à la date d'entrée.",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R6 — Issue conforme au référentiel",
-            quality.not_listed("issue", ref.OUTCOMES),
-            "{n} valeurs d'issue hors référentiel.",
-            blocking=True,
-        ),
-        quality.Rule(
-            "R7 — Pathologie rattachée au référentiel",
-            quality.equal_to("pathologie", ref.UNKNOWN_F),
-            "{n} admissions sans pathologie identifiée : elles seront exclues "
-            "des analyses par diagnostic.",
-        ),
-        quality.Rule(
-            "R8 — Complétude de la température",
-            quality.missing("temperature_entree_c"),
-            "{n} températures non relevées ({n} dossiers incomplets).",
-        ),
+        quality.Rule(name, check, message, blocking=rule in blocking)
+        for rule, check in (blocking | informative).items()
+        for name, message in [ref.RULES[rule]]
     ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -25,9 +25,11 @@ class Journal:
     a shuffle may run again when an executor is lost, and would count twice.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, wording: Mapping[str, tuple[str, str]]) -> None:
+        """``wording`` gives each step's name and the pattern of its detail."""
+        self._wording = wording
         self._observations: list[Observation] = []
-        self._steps: list[tuple[str, str, str, Callable[[dict], str]]] = []
+        self._steps: list[tuple[str, str, str, Callable[[dict], dict | list]]] = []
 
     def watch(self, df: DataFrame, **measures: Column) -> DataFrame:
         """Take aggregate measures of ``df`` when it is written."""
@@ -36,11 +38,17 @@ class Journal:
         return df.observe(observation, *[m.alias(name) for name, m in measures.items()])
 
     def step(
-        self, label: str, before: str, after: str, detail: Callable[[dict], str] | str = ""
+        self,
+        step: str,
+        before: str,
+        after: str,
+        parts: Callable[[dict], dict | list] = lambda seen: seen,
     ) -> None:
-        """Add a step; ``detail`` is a text or is made from all measures."""
-        make = detail if callable(detail) else (lambda _: detail)
-        self._steps.append((label, before, after, make))
+        """Add a step; ``parts`` picks what its detail shows from all measures.
+
+        A list of parts repeats the pattern, separated by commas.
+        """
+        self._steps.append((step, before, after, parts))
 
     def measures(self) -> dict:
         """All measures by name; waits for the observed jobs."""
@@ -54,7 +62,11 @@ class Journal:
         """The journal, one row per step."""
         seen = self.measures()
         rows = []
-        for i, (label, before, after, make) in enumerate(self._steps, start=1):
-            n, m = seen[before] or 0, seen[after] or 0
-            rows.append((i, label, n, m, m - n, make(seen)))
+        for i, (step, before, after, parts) in enumerate(self._steps, start=1):
+            label, pattern = self._wording[step]
+            shown = parts(seen)
+            shown = shown if isinstance(shown, list) else [shown]
+            detail = ", ".join(pattern.format(**part) for part in shown)
+            n, m = seen[before], seen[after]
+            rows.append((i, label, n, m, m - n, detail))
         return short_table(spark, rows, COLUMNS)

@@ -38,43 +38,35 @@ def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFra
     Each repair leaves a mark, and one observation at the end, where the rows
     are written, counts them all.
     """
-    journal.step("Extraction du fichier source", "read", "read", source)
+    journal.step("read", "read", "read", lambda m: {"source": source})
 
     df = dedup.deduplicate_counted(raw, ["id_admission"], order, "__read", "__distinct")
     df = df.drop(order)
     columns = [c for c in raw.columns if c != order]
     journal.step(
-        "Suppression des doublons",
+        "duplicates",
         "read",
         "staged",
-        lambda m: f"{m['read'] - m['distinct']} doublons stricts, "
-        f"{m['distinct'] - m['staged']} id_admission dupliqués",
+        lambda m: {"exact": m["read"] - m["distinct"], "keys": m["distinct"] - m["staged"]},
     )
 
     diagnosis = next(rule for rule in admissions.LABEL_RULES if rule.column == "pathologie")
     df = df.withColumn("__unmatched", labels.unmatched(diagnosis))
     df = df.transform(admissions.normaliser_textes)
-    journal.step(
-        "Normalisation des libellés",
-        "staged",
-        "staged",
-        lambda m: f"{m['unmatched']} pathologies hors référentiel",
-    )
+    journal.step("labels", "staged", "staged")
 
     df = df.transform(admissions.corriger_types)
-    journal.step(
-        "Conversion des types", "staged", "staged", "dates, numériques, identifiants"
-    )
+    journal.step("types", "staged", "staged")
 
     out = {c: f"out_{c}" for c in ref.BOUNDS}
     df = df.withColumns(
         {f"__{name}": values.outside(c, *ref.BOUNDS[c]) for c, name in out.items()}
     ).transform(admissions.traiter_aberrations)
     journal.step(
-        "Neutralisation des valeurs aberrantes",
+        "outliers",
         "staged",
         "staged",
-        lambda m: ", ".join(f"{c}: {m[name]}" for c, name in out.items() if m[name]),
+        lambda m: [{"column": c, "n": m[name]} for c, name in out.items() if m[name]],
     )
 
     start, end, duration = admissions.STAY
@@ -82,13 +74,7 @@ def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFra
     df = values.null_inverted_end(df, start, end)
     df = df.withColumn("__dated", values.datable(start, end, duration))
     df = values.duration_from_dates(df, start, end, duration)
-    journal.step(
-        "Correction des incohérences",
-        "staged",
-        "staged",
-        lambda m: f"{m['inverted']} chronologies inversées, "
-        f"{m['dated']} durées reconstituées",
-    )
+    journal.step("dates", "staged", "staged")
 
     marks = ["unmatched", *out.values(), "inverted", "dated"]
     return journal.watch(
@@ -110,13 +96,7 @@ def _impute(staged: DataFrame, journal: Journal) -> DataFrame:
     filled = impute.age_from_birth(
         filled.withColumn("__aged", dated), AGE, ref.BIRTH_DATE, "date_entree"
     )
-    journal.step(
-        "Imputation",
-        "staged",
-        "filled",
-        lambda m: f"{m['imputed']} durées (médiane par pathologie), "
-        f"{m['aged']} âges recalculés depuis la date de naissance",
-    )
+    journal.step("imputation", "staged", "filled")
     return journal.watch(
         filled,
         filled=F.count(F.lit(1)),
@@ -143,7 +123,7 @@ def run(
     spark = raw.sparkSession
     salt = admissions.sel_requis(salt)
     folder = folder or work_path(spark, "run")
-    journal = Journal()
+    journal = Journal(ref.JOURNAL)
 
     staged = hand_off(_stage(raw, order, journal, source), f"{folder}/staged")
     masked = admissions.masquer(_impute(staged, journal), salt, missing_text)

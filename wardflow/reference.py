@@ -206,3 +206,67 @@ TOWN_MISSPELLINGS = {
     "Koumassi": "Koumasi", "Abobo": "ABOBO", "Cocody": "cocody",
     "Port-Bouet": "Port Bouet",
 }
+
+# --- Wording of the journal (fixed values): step, detail ---------------------
+JOURNAL = {
+    "read": ("Extraction du fichier source", "{source}"),
+    "duplicates": (
+        "Suppression des doublons",
+        "{exact} doublons stricts, {keys} id_admission dupliqués",
+    ),
+    "labels": ("Normalisation des libellés", "{unmatched} pathologies hors référentiel"),
+    "types": ("Conversion des types", "dates, numériques, identifiants"),
+    "outliers": ("Neutralisation des valeurs aberrantes", "{column}: {n}"),
+    "dates": (
+        "Correction des incohérences",
+        "{inverted} chronologies inversées, {dated} durées reconstituées",
+    ),
+    "imputation": (
+        "Imputation",
+        "{imputed} durées (médiane par pathologie), "
+        "{aged} âges recalculés depuis la date de naissance",
+    ),
+}
+
+# --- Wording of the quality rules (fixed values): name, message --------------
+RULES = {
+    "unique": (
+        "R1 — Unicité de id_admission",
+        "{n} identifiants d'admission dupliqués : la clé primaire de la table de "
+        "faits serait invalide.",
+    ),
+    "personal": (
+        "R2 — Absence de données personnelles",
+        "Des colonnes identifiantes subsistent : chargement interdit par la loi 2019-992.",
+    ),
+    "age": ("R3 — Âge dans une plage plausible", "{n} âges hors de l'intervalle [0 ; 110]."),
+    "duration": (
+        "R4 — Durée de séjour strictement positive",
+        "{n} durées de séjour nulles, négatives ou manquantes.",
+    ),
+    "dates": (
+        "R5 — Cohérence chronologique entrée/sortie",
+        "{n} dates de sortie antérieures à la date d'entrée.",
+    ),
+    "outcome": ("R6 — Issue conforme au référentiel", "{n} valeurs d'issue hors référentiel."),
+    "diagnosis": (
+        "R7 — Pathologie rattachée au référentiel",
+        "{n} admissions sans pathologie identifiée : elles seront exclues des "
+        "analyses par diagnostic.",
+    ),
+    "temperature": (
+        "R8 — Complétude de la température",
+        "{n} températures non relevées ({n} dossiers incomplets).",
+    ),
+}
+
+# --- Wording of the treatment audit (fixed values): operation, reason --------
+TREATMENTS = {
+    "hashed": (
+        "Hachage SHA-256 salé", "Chaînage des séjours conservé sans identifiant direct",
+    ),
+    "dropped": ("Suppression", "Aucune valeur analytique (minimisation)"),
+    "generalised": (
+        "Généralisation (année seule)", "Quasi-identifiant : date exacte réidentifiante",
+    ),
+}
