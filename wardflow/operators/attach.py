@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardflow.session import materialise
 
-# A table of at most this many short rows is a few megabytes on each executor.
+# A table of at most this many short rows is a few megabytes on each executor,
+# and this many numbers in array cells are 32 MB.
 BROADCAST_ROWS = 100_000
+BROADCAST_CELLS = 4_000_000
 
 
 def sized_for_broadcast(
@@ -20,7 +22,7 @@ def sized_for_broadcast(
     and left to an ordinary join when it is too long; ``computed`` says that
     this was done already. ``cells`` is the length of the array a row carries.
     """
-    limit = BROADCAST_ROWS // cells
+    limit = min(BROADCAST_ROWS, BROADCAST_CELLS // cells)
     if max_rows is None:
         small = small if computed else materialise(small)
         max_rows = small.limit(limit + 1).count()
