@@ -69,11 +69,13 @@ def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
 def duplicate_counts(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Rows, rows beyond the first of each equal row, and of each key.
 
-    The key is counted on its own columns, so that its shuffle carries no more.
+    Keys are counted over the distinct rows, so a raw file is read once.
     """
     content = [c for c in df.columns if c != order]
     distinct_rows = df.groupBy(*content).agg(F.count(F.lit(1)).alias("__n"))
+    rows = F.coalesce(F.sum("__n"), F.lit(0))
     return distinct_rows.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("lignes"),
+        rows.alias("lignes"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
-    ).withColumn("cles_dupliquees", repeated(df, keys).scalar())
+        (rows - F.count_distinct(F.struct(*keys))).alias("cles_dupliquees"),
+    )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.operators.attach import attach
-from wardflow.operators.dedup import repeated
 
 # Names of the profile's columns (fixed values).
 TYPE, PRESENT, MISSING, MISSING_RATE, DISTINCT, EXAMPLE = (
@@ -94,25 +93,22 @@ def _described(per_column: DataFrame, fields) -> DataFrame:
 
 
 def audit_summary(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """One row: size, strict duplicates, repeated keys, missing cells."""
+    """One row: size, strict duplicates, repeated keys, missing cells.
+
+    Everything is taken over the distinct rows, so a raw file is read once.
+    """
     names = [field.name for field in _content(df, order)]
     distinct_rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     gaps = sum((F.col(name).isNull().cast("int") for name in names), F.lit(0))
-    totals = distinct_rows.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("lignes"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
-        F.coalesce(F.sum(F.col("__n") * gaps), F.lit(0)).alias("cellules_manquantes"),
-    )
-    cells = F.col("lignes") * len(names)
-    return totals.select(
-        "lignes",
+    rows = F.coalesce(F.sum("__n"), F.lit(0))
+    missing = F.coalesce(F.sum(F.col("__n") * gaps), F.lit(0))
+    return distinct_rows.agg(
+        rows.alias("lignes"),
         F.lit(len(names)).alias("colonnes"),
-        "doublons_stricts",
-        repeated(df, [key]).scalar().alias(f"{key}_dupliques"),
-        "cellules_manquantes",
-        round_even(ratio(F.col("cellules_manquantes"), cells) * 100, 2).alias(
-            "taux_manquant_global_%"
-        ),
+        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
+        (rows - F.count_distinct(F.struct(key))).alias(f"{key}_dupliques"),
+        missing.alias("cellules_manquantes"),
+        round_even(ratio(missing, rows * len(names)) * 100, 2).alias("taux_manquant_global_%"),
     )
 
 
