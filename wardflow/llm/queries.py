@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import exact_dedup, warc
+from wardflow.llm import exact_dedup, simhash, warc
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
 
@@ -35,6 +35,16 @@ def op1_warc(spark, folder):
     )
 
 
+@query
+def op2_simhash(spark, folder):
+    groups = simhash.near_groups(table(spark, folder, "documents"), "doc_id", "text")
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query
 def op8_exact_dedup(spark, folder):
     return exact_dedup.duplicate_report(table(spark, folder, "documents"), "doc_id", "text")
