@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import exact_dedup, simhash, warc
+from wardflow.llm import exact_dedup, secrets, simhash, warc
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
 
@@ -45,6 +45,12 @@ def op2_simhash(spark, folder):
     )
 
 
+@query
+def op5_secrets(spark, folder):
+    found = secrets.scan(table(spark, folder, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_exact_dedup(spark, folder):
     return exact_dedup.duplicate_report(table(spark, folder, "documents"), "doc_id", "text")
