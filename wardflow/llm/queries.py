@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import exact_dedup, secrets, simhash, warc
+from wardflow.llm import exact_dedup, quality, secrets, simhash, warc
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
 
@@ -62,3 +62,10 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from documents
 window same as (partition by coalesce(text, ''))
 """
+
+
+@query
+def op9_quality(spark, folder):
+    documents = table(spark, folder, "documents")
+    weights = quality.fit(documents, table(spark, folder, "labels"), "doc_id", "text")
+    return quality.score(documents, weights, "doc_id", "text").withColumnRenamed("id", "doc_id")
