@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import exact_dedup, quality, secrets, simhash, warc
+from wardflow.llm import (
+    bpe, exact_dedup, packing, quality, secrets, simhash, token_counts, warc,
+)
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
 
@@ -15,6 +17,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(function: Query) -> Query:
     """Register a query under its function's name."""
 
@@ -45,12 +57,25 @@ def op2_simhash(spark, folder):
     )
 
 
+@query
+def op3_packing(spark, folder):
+    packed = packing.pack(table(spark, folder, "documents"), "doc_id", "text", tokenizer(WORD_BPE))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_secrets(spark, folder):
     found = secrets.scan(table(spark, folder, "documents"), "doc_id", "text")
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op7_token_counts(spark, folder):
+    lengths = token_counts.encoded_lengths(
+        table(spark, folder, "documents"), "text", tokenizer(BYTE_BPE))
+    return token_counts.histogram(lengths)
+
+
 @query
 def op8_exact_dedup(spark, folder):
     return exact_dedup.duplicate_report(table(spark, folder, "documents"), "doc_id", "text")
@@ -69,3 +94,10 @@ def op9_quality(spark, folder):
     documents = table(spark, folder, "documents")
     weights = quality.fit(documents, table(spark, folder, "labels"), "doc_id", "text")
     return quality.score(documents, weights, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_bpe(spark, folder):
+    found = bpe.round_trip(
+        table(spark, folder, "documents"), "doc_id", "text", tokenizer(BYTE_BPE))
+    return found.withColumnRenamed("id", "doc_id")
