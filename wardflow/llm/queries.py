@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow.llm import (
-    bpe, exact_dedup, packing, quality, secrets, simhash, token_counts, warc,
+    bpe, exact_dedup, packing, quality, secrets, simhash, token_counts, topk, warc,
 )
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
@@ -63,6 +63,29 @@ def op3_packing(spark, folder):
     return packed.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op4_topk(spark, folder):
+    return topk.top_k(
+        table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op4_topk"] = """
+with rows as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+), scored as (
+    select q.vec_id as query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+    from rows q join rows c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as place
+    from scored
+)
+select query_id, place::int as rank, vec_id, score from ranked where place <= 5
+"""
+
+
 @query
 def op5_secrets(spark, folder):
     found = secrets.scan(table(spark, folder, "documents"), "doc_id", "text")
