@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow.llm import (
-    bpe, exact_dedup, packing, quality, secrets, simhash, token_counts, topk, warc,
+    bpe, exact_dedup, packing, quality, secrets, simhash, substring,
+    token_counts, topk, warc,
 )
 from wardflow.llm.common import table
 from wardflow.session import configure, work_path
@@ -92,6 +93,12 @@ def op5_secrets(spark, folder):
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op6_substring_dedup(spark, folder):
+    found = substring.remove_repeats(table(spark, folder, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op7_token_counts(spark, folder):
     lengths = token_counts.encoded_lengths(
