@@ -91,7 +91,7 @@ def test_links_in_units_of_several_rows_and_tiles(monkeypatch):
     for same in (True, False):
         links = simhash.Links(60)
         left, right = (np.arange(60),) * 2 if same else (np.arange(30), np.arange(30, 60))
-        simhash.compare(prints, left, right, same, 1, 1, links)
+        simhash.compare(prints, np.ones(60), left, right, same, simhash.Rule(1, 1, 0.0), links)
         pairs = [(int(i), int(j)) for i in left for j in right
                  if (not same or i < j) and int(prints[i, 0] ^ prints[j, 0]).bit_count() <= 1]
         assert all((i, j) in pairs or (j, i) in pairs for i, j in links.edges)

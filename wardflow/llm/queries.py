@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from wardflow.llm import (
     bpe, exact_dedup, packing, quality, secrets, simhash, substring,
     token_counts, topk, warc,
 )
 from wardflow.llm.common import table
+from wardflow.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
 from wardflow.session import configure, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,16 +20,6 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
-
-
-def tokenizer(name: str) -> str:
-    """Place of a public tokenizer's file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def query(function: Query) -> Query:
     """Register a query under its function's name."""
 
@@ -60,7 +52,7 @@ def op2_simhash(spark, folder):
 
 @query
 def op3_packing(spark, folder):
-    packed = packing.pack(table(spark, folder, "documents"), "doc_id", "text", tokenizer(WORD_BPE))
+    packed = packing.pack(table(spark, folder, "documents"), "doc_id", "text", tokenizer_path(WORD_BPE))
     return packed.withColumnRenamed("id", "doc_id")
 
 
@@ -102,7 +94,7 @@ def op6_substring_dedup(spark, folder):
 @query
 def op7_token_counts(spark, folder):
     lengths = token_counts.encoded_lengths(
-        table(spark, folder, "documents"), "text", tokenizer(BYTE_BPE))
+        table(spark, folder, "documents"), "text", tokenizer_path(BYTE_BPE))
     return token_counts.histogram(lengths)
 
 
@@ -129,5 +121,14 @@ def op9_quality(spark, folder):
 @query
 def op10_bpe(spark, folder):
     found = bpe.round_trip(
-        table(spark, folder, "documents"), "doc_id", "text", tokenizer(BYTE_BPE))
+        table(spark, folder, "documents"), "doc_id", "text", tokenizer_path(BYTE_BPE))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -211,12 +211,28 @@ class Links:
         self.label[np.isin(self.label, merged)] = merged.min()
 
 
-def compare(prints: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool,
-            radius: int, total: int, links: Links) -> None:
-    """Link the rows ``left`` with the rows ``right``, tile by tile.
+class Rule:
+    """When two rows are linked.
 
-    The first lane must agree within ``radius`` bits, all lanes within ``total``.
+    The first lane may differ in ``radius`` bits and all lanes in ``total``; the smaller
+    text has at least ``ratio`` times the words of the larger one.
     """
+
+    def __init__(self, radius: int, total: int, ratio: float):
+        self.radius, self.total, self.ratio = radius, total, ratio
+
+    def holds(self, prints: np.ndarray, words: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the rows i and j, near in the first lane, are linked."""
+        bits = np.zeros(len(i), np.int64)
+        for lane in range(prints.shape[1]):
+            bits += np.bitwise_count(prints[i, lane] ^ prints[j, lane])
+        small, large = np.minimum(words[i], words[j]), np.maximum(words[i], words[j])
+        return (bits <= self.total) & (small >= self.ratio * large)
+
+
+def compare(prints: np.ndarray, words: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool,
+            rule: Rule, links: Links) -> None:
+    """Link the rows ``left`` with the rows ``right``, tile by tile."""
     weight = np.bitwise_count(prints[:, 0]).astype(np.int64)
     left = left[np.argsort(weight[left], kind="stable")]
     right = left if same else right[np.argsort(weight[right], kind="stable")]
@@ -224,23 +240,21 @@ def compare(prints: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool,
         rows = left[a:a + TILE]
         for b in range(a if same else 0, len(right), 2 * TILE):
             columns = right[b:b + 2 * TILE]
-            if weight[columns[0]] - weight[rows[-1]] > radius:
+            if weight[columns[0]] - weight[rows[-1]] > rule.radius:
                 break
-            if weight[rows[0]] - weight[columns[-1]] > radius:
+            if weight[rows[0]] - weight[columns[-1]] > rule.radius:
                 continue
-            near = np.bitwise_count(prints[rows, 0][:, None] ^ prints[columns, 0][None, :]) <= radius
-            if prints.shape[1] > 1:
+            bits = np.bitwise_count(prints[rows, 0][:, None] ^ prints[columns, 0][None, :])
+            near = bits <= rule.radius
+            if prints.shape[1] > 1 or rule.ratio > 0:
                 i, j = np.nonzero(near)
-                bits = np.zeros(len(i), np.int64)
-                for lane in range(prints.shape[1]):
-                    bits += np.bitwise_count(prints[rows[i], lane] ^ prints[columns[j], lane])
-                far = bits > total
+                far = ~rule.holds(prints, words, rows[i], columns[j])
                 near[i[far], j[far]] = False
             for i in np.flatnonzero(near.any(axis=1)):
                 links.add(int(rows[i]), columns[near[i]])
 
 
-def _unit_links(nodes, prints, home, block, radius, total) -> list[tuple[int, int]]:
+def _unit_links(nodes, prints, words, home, block, rule: Rule) -> list[tuple[int, int]]:
     """Links of one unit: a cell, or two blocks of a large one."""
     links = Links(len(nodes))
     sides = [np.flatnonzero(block == b) for b in np.unique(block)]
@@ -249,22 +263,22 @@ def _unit_links(nodes, prints, home, block, radius, total) -> list[tuple[int, in
     at_home = [s[home[s]] for s in sides]
     visiting = [s[~home[s]] for s in sides]
     if len(sides) == 1:
-        compare(prints, at_home[0], at_home[0], True, radius, total, links)
-        compare(prints, at_home[0], visiting[0], False, radius, total, links)
+        compare(prints, words, at_home[0], at_home[0], True, rule, links)
+        compare(prints, words, at_home[0], visiting[0], False, rule, links)
     else:
-        compare(prints, at_home[0], at_home[1], False, radius, total, links)
-        compare(prints, at_home[0], visiting[1], False, radius, total, links)
-        compare(prints, at_home[1], visiting[0], False, radius, total, links)
+        compare(prints, words, at_home[0], at_home[1], False, rule, links)
+        compare(prints, words, at_home[0], visiting[1], False, rule, links)
+        compare(prints, words, at_home[1], visiting[0], False, rule, links)
     return [(int(nodes[i]), int(nodes[j])) for i, j in links.edges]
 
 
-def _small_links(unit, nodes, prints, home, radius, total) -> tuple[np.ndarray, np.ndarray]:
+def _small_links(unit, nodes, prints, words, home, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Links within small units, all units of a batch together."""
     a, b, step = [], [], 1
     while len(unit) > step and len(same := np.flatnonzero(unit[step:] == unit[:-step])):
-        bits = np.bitwise_count(prints[same] ^ prints[same + step]).astype(np.int64)
-        hit = same[(bits[:, 0] <= radius) & (bits.sum(axis=1) <= total)
-                   & (home[same] | home[same + step])]
+        bits = np.bitwise_count(prints[same, 0] ^ prints[same + step, 0])
+        hit = same[(bits <= rule.radius) & (home[same] | home[same + step])]
+        hit = hit[rule.holds(prints, words, hit, hit + step)]
         a.append(nodes[hit])
         b.append(nodes[hit + step])
         step += 1
@@ -275,7 +289,7 @@ def _small_links(unit, nodes, prints, home, radius, total) -> tuple[np.ndarray,
 SMALL = 16
 
 
-def _link_batches(radius: int, total: int, lanes: int):
+def _link_batches(rule: Rule, lanes: int):
     """Compare units that arrive sorted, of which only the last may be unfinished."""
 
     def finish(rows: pa.Table) -> pa.RecordBatch:
@@ -285,10 +299,11 @@ def _link_batches(radius: int, total: int, lanes: int):
             ([True], (cell[1:] != cell[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
         unit = np.cumsum(new) - 1
         size = np.bincount(unit)
-        nodes, block, home = get("node"), get("block"), get("home")
+        nodes, block, home, words = get("node"), get("block"), get("home"), get("words")
         prints = np.stack([get(n) for n in lane_names(lanes)], axis=1).view(np.uint64)
         small = (size[unit] <= SMALL) & (lo == hi)
-        a, b = _small_links(unit[small], nodes[small], prints[small], home[small], radius, total)
+        a, b = _small_links(
+            unit[small], nodes[small], prints[small], words[small], home[small], rule)
         edges = []
         first = np.flatnonzero(new)
         for u in np.flatnonzero(~small[first]):
@@ -296,7 +311,7 @@ def _link_batches(radius: int, total: int, lanes: int):
             if lo[first[u]] != hi[first[u]] and len(np.unique(block[part])) < 2:
                 continue
             edges += _unit_links(
-                nodes[part], prints[part], home[part], block[part], radius, total)
+                nodes[part], prints[part], words[part], home[part], block[part], rule)
         more = np.array(edges, np.int64).reshape(-1, 2)
         return pa.record_batch(
             [pa.array(np.concatenate((a, more[:, 0]))), pa.array(np.concatenate((b, more[:, 1])))],
@@ -351,11 +366,11 @@ def size_cells(similarity: float) -> Column:
     )
 
 
-def find_links(prints: DataFrame, cells: Column, radius: int, total: int, lanes: int,
+def find_links(prints: DataFrame, cells: Column, rule: Rule, lanes: int,
                block: int = BLOCK) -> DataFrame:
     """Links a, b between the nodes of ``prints`` (node, words, f0, …)."""
-    rows = prints.select("node", *lane_names(lanes), F.explode(cells).alias("c")).select(
-        "node", *lane_names(lanes), "c.cell", "c.home")
+    fields = ["node", "words", *lane_names(lanes)]
+    rows = prints.select(*fields, F.explode(cells).alias("c")).select(*fields, "c.cell", "c.home")
     sizes = rows.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("home").alias("own"))
     sizes = stored(sizes.where("n > 1 and own > 0").select("cell", "n"), "cells")
@@ -367,13 +382,13 @@ def find_links(prints: DataFrame, cells: Column, radius: int, total: int, lanes:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-            "block", "home", "node", *lane_names(lanes),
+            "block", "home", *fields,
         )
     )
     keys = ["cell", "lo", "hi"]
     return (
         dealt.repartition(*keys).sortWithinPartitions(*keys)
-        .mapInArrow(_link_batches(radius, total, lanes), "a bigint, b bigint")
+        .mapInArrow(_link_batches(rule, lanes), "a bigint, b bigint")
     )
 
 
@@ -390,13 +405,14 @@ def near_groups(
     rows = stored(fingerprint_table(df, id_col, text_col, width, lanes), "fingerprints")
     keys = [*names, "words"] if similarity else names
     prints = stored(
-        rows.groupBy(*keys).agg(F.min("id").alias("least"))
+        rows.groupBy(*keys).agg(
+            F.min("id").alias("least"), *([] if similarity else [F.max("words").alias("words")]))
         .withColumn("node", F.monotonically_increasing_id()),
         "distinct",
     )
     cells = segment_cells(radius) if similarity is None else size_cells(similarity)
-    limit = radius if total is None else total
-    found = components(find_links(prints, cells, radius, limit, lanes), "a", "b")
+    rule = Rule(radius, radius if total is None else total, similarity or 0.0)
+    found = components(find_links(prints, cells, rule, lanes), "a", "b")
     rooted = prints.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = rooted.where(F.col("root") != F.col("node"))
     smallest = linked.select("root", "least").unionByName(

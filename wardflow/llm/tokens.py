@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from tokenizers import Tokenizer
 
 from wardflow.llm.joins import LONG, encode_long
 
+# About 60 MB per worker when full.
 CHUNKS = 300_000
 CLOSE = re.compile(r"\s\s|\A\s|\s\Z")
 LATIN = re.compile(r"[\x00-\xff]*")
@@ -96,10 +98,10 @@ class Encoder:
             some = short[at:at + 4096]
             encodings = self.library.encode_batch_fast(some, add_special_tokens=False)
             for chunk, encoding in zip(some, encodings):
-                found[chunk] = np.array(encoding.ids, np.uint32).tobytes()
+                found[chunk] = array("I", encoding.ids).tobytes()
         for chunk in chunks:
             if len(chunk) > LONG:
-                found[chunk] = np.array(self.long_chunk(chunk), np.uint32).tobytes()
+                found[chunk] = array("I", self.long_chunk(chunk)).tobytes()
         return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -151,6 +153,16 @@ def byte_alphabet() -> str:
     return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
 
 
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer's file, the default of ``path`` arguments."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def share(spark: SparkSession, path: str) -> Broadcast:
     """A tokenizer file for the executors; it has a fixed size of a few MB."""
     with open(path, encoding="utf-8") as file:
