@@ -79,3 +79,15 @@ def test_counted_dedup_keeps_the_same_rows_and_adds_up(frame):
     assert collected(counted) == collected(dedup.deduplicate(df, ["k"], "seq"))
     totals = counted.agg(F.sum("copies"), F.sum("versions")).first()
     assert tuple(totals) == (len(rows), len({(k, v) for _, k, v in rows}))
+
+
+def test_file_order_takes_hash_aggregation(spark, tmp_path):
+    from wardflow.sources.csvfile import read_raw_csv
+
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("k,v\n" + "".join(f"{j % 5},{i}\n" for j in range(40)))
+    raw = read_raw_csv(spark, str(tmp_path), ["k", "v"])
+    counted = dedup.deduplicate_counted(raw, ["k"], "_seq", "n", "m")
+    for df in (dedup.drop_exact_duplicates(raw, "_seq"), counted):
+        assert "SortAggregate" not in plan_text(df, "simple")
+    assert {(r.k, r.v, r.n, r.m) for r in counted.collect()} == {(str(j), "2", 24, 3) for j in range(5)}

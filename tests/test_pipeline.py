@@ -86,7 +86,7 @@ def test_blocking_load_refuses_and_open_load_repeats(spark, result, tmp_path):
     pipeline.load(result, target, blocking=False)
     loaded = pipeline.load(result, target, blocking=False)
     assert loaded.count() == result.prepared.count()
-    assert spark.read.parquet(f"{target}/audit").count() == 10
+    assert spark.read.parquet(f"{target}/audit").count() == 5
 
 
 def test_load_refuses_personal_columns(result, tmp_path):

@@ -95,20 +95,30 @@ def test_seasonality_looks_back_a_year(frame):
     got = {(r.annee, r.mois): r for r in marts.seasonality(
         frame(rows, "g string, at timestamp_ntz"), "at", "g").collect()}
     assert (got[2024, 5].sejours_an_passe, got[2024, 5].evolution_pct) == (2, 50.0)
-    assert got[2024, 6].sejours_an_passe is None
-    assert got[2024, 5].indice_saisonnier == 1.5
+    assert got[2024, 6].sejours_an_passe == 0 and got[2024, 6].evolution_pct is None
+    assert got[2024, 4].sejours_an_passe is None and got[2024, 4].sejours == 0
+    assert len(got) == 14 and got[2024, 5].indice_saisonnier == 7.0
 
 
 def test_crossings(frame):
     df = frame([("r", "x"), ("r", "x"), ("s", "y"), ("s", None)], "a string, b string")
     assert sorted(tuple(r) for r in marts.crossing(df, "a", "b", ["x", "y"]).collect()) == [
-        ("r", 2, 0), ("s", 0, 1)]
+        ("r", 2, 0, 0), ("s", 0, 1, 1)]
+    assert sorted(tuple(r) for r in marts.crossing(df, "a", "b", ["x"], "z").collect()) == [
+        ("r", 2, 0), ("s", 0, 2)]
     totals = {(r.a, r.b, r.niveau): r.sejours
               for r in marts.crossing_totals(df, "a", "b").collect()}
     assert totals[None, None, 3] == 4 and totals["s", None, 1] == 2
     assert totals["s", None, 0] == 1 and totals[None, None, 2] == 1
 
 
+def test_observed_values_are_numbered_in_order(spark):
+    rows = spark.range(30_000).selectExpr("(id * 7919) % 20011 as v").repartition(6)
+    got = star.observed_dimension(rows, "v", "k").collect()
+    assert sorted((r.k, r.v) for r in got) == [(i + 1, i) for i in range(20011)]
+    assert star.observed_dimension(rows.where("v < 0"), "v", "k").count() == 0
+
+
 def test_dimensions_and_orphans(frame, spark):
     dates = star.date_dimension(
         frame([(D(2024, 3, 2, 5),), (D(2024, 3, 2, 9),), (None,)], "at timestamp_ntz"),

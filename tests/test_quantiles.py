@@ -38,6 +38,18 @@ def test_sliced_quantile_is_exact(frame, skewed, p):
             assert found[key] == pytest.approx(value, rel=1e-12), key
 
 
+@pytest.mark.parametrize("p", [0.1, 0.5, 0.9])
+def test_both_ways_give_the_same_value(frame, p):
+    rng = random.Random(7)
+    rows = [(f"g{i % 400}", rng.uniform(0, 1000)) for i in range(6000)]
+    df = frame(rows, "k string, v double").repartition(4)
+    both = [
+        {r.k: r.q for r in quantiles.quantile(df, ["k"], "v", p, "q", limit, 8).collect()}
+        for limit in (0, None)
+    ]
+    assert both[0] == both[1]
+
+
 def test_sliced_quantile_without_broadcast(frame, skewed, monkeypatch):
     monkeypatch.setattr(attach, "BROADCAST_ROWS", 0)
     df = frame(skewed, "k string, v double")

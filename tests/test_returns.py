@@ -51,12 +51,16 @@ def test_delays_match_without_broadcast(frame, rows, monkeypatch):
     assert {r.id: r.d for r in got.collect()} == by_hand(rows)
 
 
-def test_hot_key_is_cut_and_loose_rows_are_spread(frame, rows):
+def test_only_instants_of_hot_keys_are_put_in_order(spark, frame, rows):
     df = frame(rows, SCHEMA)
     cut = plan_text(returns.days_since_previous(df, "k", "at", ["id"], "d", 50), "simple")
-    assert "__slice" in cut
+    assert "__first" in cut
+    # Very many rows at one instant: one instant is sorted, whatever the row limit.
+    tied = spark.range(5000).select("id", F.lit("k").alias("k"), F.lit(START).cast("timestamp_ntz").alias("at"))
+    got = returns.days_since_previous(tied, "k", "at", ["id"], "d", 8).groupBy("d").count().collect()
+    assert {r.d: r["count"] for r in got} == {None: 1, 0.0: 4999}
     plain = plan_text(returns.days_since_previous(df, "k", "at", ["id"], "d", 10_000), "simple")
-    assert "__slice" not in plain and "__spread" in plain
+    assert "__first" not in plain and "__spread" in plain
 
 
 def test_threshold_applies_to_the_rounded_delay(frame):

@@ -63,14 +63,42 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert [r.a for r in df.collect()] == ["one\ntwo"]
 
 
-def test_loading_twice_changes_nothing_and_other_partitions_stay(spark, frame, tmp_path):
+def test_a_load_replaces_the_table_or_its_partitions(spark, frame, tmp_path):
     target = str(tmp_path / "t")
     first = frame([(1, 2023), (2, 2024)], "x int, annee int")
-    tables.load_table(first, target, "annee")
-    tables.load_table(first, target, "annee", rebalance=True)
-    tables.load_table(frame([(9, 2024)], "x int, annee int"), target, "annee")
+    for _ in range(2):
+        tables.load_partitions(first, target, "annee")
+    later = frame([(9, 2024)], "x int, annee int")
+    tables.load_partitions(later, target, "annee")
     assert sorted((r.x, r.annee) for r in spark.read.parquet(target).collect()) == [
         (1, 2023), (9, 2024)]
+    tables.load_table(later, target, "annee")
+    assert [(r.x, r.annee) for r in spark.read.parquet(target).collect()] == [(9, 2024)]
+
+
+def test_bad_records_raise_or_are_kept_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4,5\n6\n")
+    path = str(tmp_path / "a.csv")
+    for columns in (["x", "y"], None):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            csvfile.read_raw_csv(spark, path, columns).select("x").collect()
+    kept = csvfile.read_raw_csv(spark, path, ["x", "y"], bad_records="keep").collect()
+    assert [r.x for r in kept if r._invalide is None] == ["1"]
+    assert {r._invalide for r in kept} == {None, "3,4,5", "6"}
+    with pytest.raises(ValueError):
+        csvfile.read_raw_csv(spark, path, bad_records="keep")
+    # A line break in quotes is no silent pair of rows, but an error.
+    (tmp_path / "b.csv").write_text('x,y\n"7\n8",9\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csvfile.read_raw_csv(spark, str(tmp_path / "b.csv"), ["x", "y"]).collect()
+
+
+def test_file_numbers_sort_as_numbers(spark, tmp_path):
+    for number in (100_000, 20_000, 3):
+        (tmp_path / f"part-{number:05d}.csv").write_text(f"x\n{number}\n")
+    df = csvfile.read_raw_csv(spark, str(tmp_path), ["x"])
+    assert dict(df.dtypes)["_seq"] == "decimal(38,0)"
+    assert [r.x for r in df.orderBy("_seq").collect()] == ["3", "20000", "100000"]
 
 
 def test_nothing_is_loaded_when_the_gate_fails(spark, frame, tmp_path):

@@ -46,8 +46,8 @@ def missing_to_null(col: Column, tokens=NULL_TOKENS) -> Column:
 
 
 def fold_accents(col: Column) -> Column:
-    """Replace accented letters by their base letter."""
-    return F.translate(col, ACCENTED, UNACCENTED)
+    """Replace accented letters by their base letter; drop what is left outside ASCII."""
+    return F.regexp_replace(F.translate(col, ACCENTED, UNACCENTED), r"[^\x00-\x7F]", "")
 
 
 def is_normal(text: str) -> bool:

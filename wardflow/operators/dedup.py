@@ -52,11 +52,20 @@ def deduplicate_counted(
     distinct = df.groupBy(*content).agg(
         F.min(order).alias(order), F.count(F.lit(1)).alias(copies)
     )
-    newest = F.max_by(F.struct(*df.columns), F.col(order)).alias("__newest")
-    return (
-        distinct.groupBy(*[F.col(key).alias(f"__{key}") for key in keys])
-        .agg(newest, F.sum(copies).alias(copies), F.count(F.lit(1)).alias(versions))
-        .select("__newest.*", copies, versions)
+    # Which position wins is decided on keys and positions alone; the rows at these
+    # positions are then picked by hash, without a sort.
+    winners = (
+        distinct.groupBy(*keys)
+        .agg(
+            F.max(order).alias("__winner"),
+            F.sum(copies).alias("__copies"),
+            F.count(F.lit(1)).alias("__versions"),
+        )
+        .select("__winner", "__copies", "__versions")
+        .hint("shuffle_hash")
+    )
+    return distinct.join(winners, F.col(order) == F.col("__winner")).select(
+        *df.columns, F.col("__copies").alias(copies), F.col("__versions").alias(versions)
     )
 
 
@@ -72,10 +81,22 @@ def duplicate_counts(df: DataFrame, keys: list[str], order: str | None = None) -
     Keys are counted over the distinct rows, so a raw file is read once.
     """
     content = [c for c in df.columns if c != order]
-    distinct_rows = df.groupBy(*content).agg(F.count(F.lit(1)).alias("__n"))
+    # Rows are compared by digest, so the shuffles carry two of them and a count.
+    distinct_rows = (
+        df.groupBy(digest(*keys).alias("__key"), digest(*content).alias("__whole"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    per_key = distinct_rows.groupBy("__key").agg(
+        F.sum("__n").alias("__n"), F.sum(F.col("__n") - 1).alias("__copies"))
     rows = F.coalesce(F.sum("__n"), F.lit(0))
-    return distinct_rows.agg(
+    return per_key.agg(
         rows.alias("lignes"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
-        (rows - F.count_distinct(F.struct(*keys))).alias("cles_dupliquees"),
+        F.coalesce(F.sum("__copies"), F.lit(0)).alias("doublons_stricts"),
+        (rows - F.count(F.lit(1))).alias("cles_dupliquees"),
     )
+
+
+def digest(*columns: str):
+    """SHA-256 of some columns; nulls equal each other and nothing else."""
+    return F.unhex(F.sha2(F.to_binary(F.to_json(F.struct(
+        *[F.struct(F.col(c).alias("v")) for c in columns])), F.lit("utf-8")), 256))

@@ -61,7 +61,6 @@ def add_long_flag(
     value: str,
     name: str,
     p: float = 0.9,
-    max_groups: int | None = None,
     direct_rows: int | None = None,
 ) -> DataFrame:
     """Whether a value is strictly above its group's quantile."""
@@ -69,7 +68,7 @@ def add_long_flag(
         df.where(F.col(key).isNotNull()), [key], value, p, "__threshold", direct_rows
     )
     columns = df.columns
-    return attach(df, thresholds, [key], max_rows=max_groups, computed=True).select(
+    return attach(df, thresholds, [key], computed=True).select(
         *columns,
         F.coalesce(F.col(value) > F.col("__threshold"), F.lit(False)).alias(name),
     )

@@ -52,19 +52,16 @@ def impute_group_median(
     key: str,
     value: str,
     flag: str | None = None,
-    max_groups: int | None = None,
     direct_rows: int | None = None,
 ) -> DataFrame:
     """Fill a missing value with its group's median.
 
-    ``flag`` names a column that marks the filled rows; ``max_groups`` is a
-    proved bound on the number of keys.
+    ``flag`` names a column that marks the filled rows. The medians are computed
+    and counted before they are broadcast.
     """
     medians = group_medians(df, key, value, direct_rows)
     columns = df.columns
-    filled = attach(
-        df, medians, [key], max_rows=max_groups, null_safe=True, computed=True
-    )
+    filled = attach(df, medians, [key], null_safe=True, computed=True)
     if flag:
         filled = filled.withColumn(flag, F.col(value).isNull())
         columns = [*columns, flag]

@@ -41,12 +41,39 @@ def bed_days(df: DataFrame, unit: str, start: str, end: str) -> DataFrame:
     )
 
 
+def _every_month(monthly: DataFrame, key: str, value: str) -> DataFrame:
+    """Fill the months between a key's first and last ``mois_debut`` with zero.
+
+    A key has one row per calendar month, so its months fit an array.
+    """
+    months = F.sequence("__first", "__last", F.expr("interval 1 month"))
+    return (
+        monthly.groupBy(key)
+        .agg(
+            F.min("mois_debut").alias("__first"),
+            F.max("mois_debut").alias("__last"),
+            F.map_from_entries(F.collect_list(F.struct("mois_debut", value))).alias("__known"),
+        )
+        .select(key, "__known", F.explode(months).alias("mois_debut"))
+        .select(
+            key,
+            "mois_debut",
+            F.coalesce(F.try_element_at("__known", F.col("mois_debut")), F.lit(0)).alias(value),
+        )
+    )
+
+
 def occupancy(
     df: DataFrame, unit: str, start: str, end: str, beds: Mapping[str, int]
 ) -> DataFrame:
-    """Occupancy rate per unit and month: bed-days over available bed-days."""
+    """Occupancy rate per unit and month: bed-days over available bed-days.
+
+    Every month from a unit's first to its last is there, empty ones with zero. Stays
+    without an exit are in no month, as their days are not known.
+    """
     capacity = short_table(df.sparkSession, list(beds.items()), {unit: "string", "lits": "int"})
-    used = attach(bed_days(df, unit, start, end), capacity, [unit], max_rows=len(beds))
+    used = _every_month(bed_days(df, unit, start, end), unit, "journees_lit")
+    used = attach(used, capacity, [unit], max_rows=len(beds))
     available = F.col("lits") * F.dayofmonth(F.last_day("mois_debut"))
     return used.select(
         unit,
@@ -104,35 +131,46 @@ def burden(
 
 
 def seasonality(df: DataFrame, at: str, label: str) -> DataFrame:
-    """Monthly counts per label, against its mean month and a year earlier."""
+    """Monthly counts per label, against its mean month and a year earlier.
+
+    Every month from a label's first to its last counts, empty ones as zero.
+    """
     monthly = (
         df.where(F.col(at).isNotNull())
-        .groupBy(label, F.year(at).alias("annee"), F.month(at).alias("mois"))
+        .groupBy(label, F.trunc(at, "month").alias("mois_debut"))
         .agg(F.count(F.lit(1)).alias("sejours"))
     )
-    months = F.col("annee") * 12 + F.col("mois")
+    full = _every_month(monthly, label, "sejours")
+    months = F.year("mois_debut") * 12 + F.month("mois_debut")
     # A few hundred rows per label from here on.
     per_label = Window.partitionBy(label)
     year_before = per_label.orderBy(months).rangeBetween(-12, -12)
     earlier = F.first("sejours").over(year_before)
-    return monthly.select(
+    return full.select(
         label,
-        "annee",
-        "mois",
+        F.year("mois_debut").alias("annee"),
+        F.month("mois_debut").alias("mois"),
         "sejours",
         round_even(F.col("sejours") / F.avg("sejours").over(per_label), 3).alias(
             "indice_saisonnier"
         ),
         earlier.alias("sejours_an_passe"),
-        round_even((F.col("sejours") - earlier) / earlier * 100, 2).alias("evolution_pct"),
+        round_even(ratio(F.col("sejours") - earlier, earlier) * 100, 2).alias("evolution_pct"),
     )
 
 
-def crossing(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``row`` values against the listed ``column`` values."""
-    counts = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return counts.select(
-        row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(v) for v in values]
+def crossing(
+    df: DataFrame, row: str, column: str, values: Sequence[str], other: str = "autres"
+) -> DataFrame:
+    """Counts of ``row`` values against the listed ``column`` values.
+
+    ``other`` counts all that is not listed, nulls among it, so the columns of a row
+    add up to its rows.
+    """
+    is_listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    return df.groupBy(row).agg(
+        *[F.count_if(F.col(column) == v).alias(v) for v in values],
+        F.count_if(~is_listed).alias(other),
     )
 
 

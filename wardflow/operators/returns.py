@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow.functions.times import days_between
-from wardflow.operators.attach import attach, sized_for_broadcast
-from wardflow.operators.quantiles import slice_of
+from wardflow.operators.attach import attach
+from wardflow.operators.quantiles import CUT_SAMPLE, hash_sample, slice_of
 from wardflow.session import materialise
 
 # Rows of one key that a single task sorts without trouble. Keys above it are
 # cut along time.
 HOT_ROWS = 2_000_000
-MAX_SLICES = 8_192
 
 
 def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
@@ -35,61 +34,76 @@ def days_since_previous(
 ) -> DataFrame:
     """Days since the key's previous row in time, null for its first.
 
-    ``order`` breaks ties in time. Rows without a key or a time have no
-    previous row and are spread over the tasks. A key above ``hot_rows`` is cut
-    into slices of time that are sorted apart; the first row of a slice takes
-    the last time of the slice before it.
+    ``order`` breaks ties in time and should tell rows apart. Rows without a key or
+    a time have no previous row and are spread over the tasks. Of a key above
+    ``hot_rows`` only the distinct instants are put in order, in slices of time: the
+    first row of an instant looks back to the instant before, the others are 0 days
+    behind it.
     """
     columns = df.columns
-    loose = F.col(key).isNull() | F.col(at).isNull()
-    df = df.withColumn(
-        "__spread", F.when(loose, F.pmod(F.xxhash64(*order), F.lit(1 << 16)))
-    )
-    hot = hot_keys(df.where(F.col(at).isNotNull()), key, hot_rows)
+    hot = materialise(hot_keys(df.where(F.col(at).isNotNull()), key, hot_rows))
     if hot.isEmpty():
-        lanes = Window.partitionBy(key, "__spread").orderBy(at, *order)
-        previous = F.lag(at).over(lanes)
-    else:
-        df = _with_time_slices(df, materialise(hot), key, at, hot_rows)
-        lanes = Window.partitionBy(key, "__spread", "__slice").orderBy(at, *order)
-        previous = F.coalesce(F.lag(at).over(lanes), F.col("__carry"))
-    df = df.withColumn("__previous", previous)
+        return _lagged(df, key, at, order, name)
+    marked = attach(df, hot.select(key, F.lit(True).alias("__hot")), [key], computed=True)
+    is_hot = F.col("__hot").isNotNull() & F.col(at).isNotNull()
+    rest = _lagged(marked.where(~is_hot).select(*columns), key, at, order, name)
+    busy = marked.where(is_hot)
+    before = _instants(busy, hot, key, at, order, hot_rows).select(
+        F.col(key).alias("__key"), F.col(at).alias("__at"), "__first", "__previous")
+    first = F.struct(*order) == F.col("__first")
+    elapsed = F.when(first, days_between(F.col("__previous"), F.col(at))).otherwise(F.lit(0.0))
+    timed = busy.join(
+        before, (F.col(key) == F.col("__key")) & (F.col(at) == F.col("__at"))
+    ).select(*columns, elapsed.alias(name))
+    return rest.unionByName(timed)
+
+
+def _lagged(df: DataFrame, key: str, at: str, order: list[str], name: str) -> DataFrame:
+    """The delay by one window over each key's rows."""
+    loose = F.col(key).isNull() | F.col(at).isNull()
+    spread = F.when(loose, F.pmod(F.xxhash64(*order), F.lit(1 << 16)))
+    lanes = Window.partitionBy(key, "__spread").orderBy(at, *order)
     elapsed = F.when(~loose, days_between(F.col("__previous"), F.col(at)))
-    return df.select(*columns, elapsed.alias(name))
+    return (
+        df.withColumn("__spread", spread)
+        .withColumn("__previous", F.lag(at).over(lanes))
+        .select(*df.columns, elapsed.alias(name))
+    )
 
 
-def _with_time_slices(df: DataFrame, hot: DataFrame, key: str, at: str, hot_rows: int):
-    """Add the slice of each hot key's row and the last time before the slice."""
-    largest = hot.agg(F.max("__rows")).first()[0]
-    slices = min(MAX_SLICES, max(2, -(-largest // hot_rows)))
+def _instants(
+    busy: DataFrame, hot: DataFrame, key: str, at: str, order: list[str], hot_rows: int
+) -> DataFrame:
+    """Distinct instants of hot keys, each one's first row and the instant before it.
+
+    Written out, so that joining rows to them lets AQE split an instant that very
+    many rows share.
+    """
+    slices = max(2, -(-hot.agg(F.max("__rows")).first()[0] // hot_rows))
     cuts = [i / slices for i in range(1, slices)]
-    hot_names = hot.select(F.col(key).alias("__hot"))
-    hot_rows_only = df.where(F.col(at).isNotNull()).join(
-        sized_for_broadcast(hot_names, computed=True), F.col(key) == F.col("__hot"), "left_semi"
-    )
-    edges = hot_rows_only.groupBy(key).agg(
-        F.percentile_approx(at, cuts, 10 * slices).alias("__edges")
+    instants = materialise(
+        busy.groupBy(key, at).agg(F.min(F.struct(*order)).alias("__first"))
     )
-    edges = materialise(edges)
-    sliced = (
-        attach(df, edges, [key], cells=slices, computed=True)
-        .withColumn(
-            "__slice",
-            F.when(
-                F.col("__edges").isNotNull(), slice_of(F.col(at), F.col("__edges"), slices)
-            ),
+    edges = materialise(
+        hash_sample(instants, [key, at], CUT_SAMPLE).groupBy(key).agg(
+            F.percentile_approx(at, cuts, 10 * slices).alias("__edges")
         )
-        .drop("__edges")
     )
-    # At most ``slices`` rows per hot key.
-    last = (
-        sliced.where(F.col("__slice").isNotNull() & F.col(at).isNotNull())
-        .groupBy(key, "__slice")
-        .agg(F.max(at).alias("__last"))
+    sliced = attach(instants, edges, [key], cells=slices, computed=True).withColumn(
+        "__slice",
+        F.when(F.col("__edges").isNull(), 0).otherwise(
+            slice_of(F.col(at), F.col("__edges"), slices)),
     )
+    # At most ``slices`` rows per hot key.
+    last = sliced.groupBy(key, "__slice").agg(F.max(at).alias("__last"))
     in_time = Window.partitionBy(key).orderBy("__slice")
     carry = last.select(key, "__slice", F.lag("__last").over(in_time).alias("__carry"))
-    return attach(sliced, carry, [key, "__slice"])
+    lanes = Window.partitionBy(key, "__slice").orderBy(at)
+    previous = F.coalesce(F.lag(at).over(lanes), F.col("__carry"))
+    return materialise(
+        attach(sliced, carry, [key, "__slice"]).select(
+            key, at, "__first", previous.alias("__previous"))
+    )
 
 
 def returned_within(delay: str, days: float):

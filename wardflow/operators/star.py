@@ -69,17 +69,32 @@ def list_dimension(
     return short_table(spark, rows, {key: "int", name: "string"} | kinds)
 
 
-def observed_dimension(df: DataFrame, column: str, key: str, max_values: int = 10_000) -> DataFrame:
-    """Dimension of the values that occur, numbered in their order.
+def observed_dimension(df: DataFrame, column: str, key: str) -> DataFrame:
+    """Dimension of the values that occur, numbered in their order from 1.
 
-    Numbering needs one ordered sequence, so it is for short code lists: more
-    than ``max_values`` values raise. Use the natural key for longer ones.
+    Values are sorted in ranges, and a range's numbers begin behind the rows of the
+    ranges before it, so no task has more than a range. Only the range sizes, one
+    row each, are summed up in one place.
     """
-    values = materialise(df.select(column).where(F.col(column).isNotNull()).distinct())
-    if values.limit(max_values + 1).count() > max_values:
-        raise ValueError(f"{column} has more than {max_values} values: keep its natural key")
-    numbered = F.row_number().over(Window.orderBy(column))
-    return values.select(numbered.alias(key), column)
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    ranged = materialise(
+        values.repartitionByRange(column)
+        .sortWithinPartitions(column)
+        .select(
+            F.spark_partition_id().alias("__range"),
+            # The lower 33 bits number the rows of a range.
+            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__place"),
+            column,
+        )
+    )
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("__range")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    )
+    numbered = F.col("__start") + F.col("__place") + 1
+    return attach(ranged, starts, ["__range"]).select(numbered.alias(key), column)
 
 
 def with_dimension_key(
@@ -98,6 +113,8 @@ def with_dimension_key(
 def orphans(fact: DataFrame, foreign: str, dimension: DataFrame, key: str) -> DataFrame:
     """Foreign keys without a dimension row, with their row counts.
 
+    A null key has no dimension row either and is listed as null.
+
     Facts are counted per key before the join, so a hot key is one row. An
     anti join would be moved below the counting.
     """
@@ -111,11 +128,14 @@ def orphans(fact: DataFrame, foreign: str, dimension: DataFrame, key: str) -> Da
 
 
 def orphan_report(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Orphaned keys and rows per foreign key; all zero when sound."""
+    """Orphaned keys and rows per foreign key; all zero when sound.
+
+    Rows with a null key are orphaned, but null is not counted as a key.
+    """
     reports = [
         orphans(fact, foreign, dimension, key).agg(
             F.lit(foreign).alias("cle_etrangere"),
-            F.count(F.lit(1)).alias("cles_orphelines"),
+            F.count("cle").alias("cles_orphelines"),
             F.coalesce(F.sum("lignes"), F.lit(0)).alias("lignes_orphelines"),
         )
         for foreign, (dimension, key) in links.items()

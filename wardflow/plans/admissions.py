@@ -33,9 +33,15 @@ DIAGNOSES = len(set(ref.DIAGNOSIS_LABELS.values())) + 1
 SERVICES = len(set(ref.SERVICE_LABELS.values())) + 1
 
 
-def extraire(spark: SparkSession, chemin: str) -> DataFrame:
-    """Raw CSV, every cell a text, with file order in ``_seq``."""
-    return read_raw_csv(spark, chemin, ref.RAW_COLUMNS)
+def extraire(
+    spark: SparkSession, chemin: str, multi_ligne: bool = False, invalides: str = "raise"
+) -> DataFrame:
+    """Raw CSV, every cell a text, with file order in ``_seq``.
+
+    See :func:`read_raw_csv` for line breaks inside cells and for bad records.
+    """
+    return read_raw_csv(
+        spark, chemin, ref.RAW_COLUMNS, multi_line=multi_ligne, bad_records=invalides)
 
 
 def auditer(df: DataFrame, ordre: str = ORDER, approx: bool = False) -> DataFrame:
@@ -74,12 +80,9 @@ def corriger_incoherences(df: DataFrame) -> DataFrame:
 
 
 def imputer(df: DataFrame) -> DataFrame:
-    """Durations by diagnosis median, ages by birth date.
-
-    Diagnoses come out of the label list, hence the bound on their number.
-    """
+    """Durations by diagnosis median, ages by birth date."""
     filled = impute.impute_group_median(
-        df, "pathologie", "duree_sejour_j", flag="duree_imputee", max_groups=DIAGNOSES
+        df, "pathologie", "duree_sejour_j", flag="duree_imputee"
     )
     return impute.age_from_birth(filled, "age", ref.BIRTH_DATE, "date_entree")
 
@@ -151,9 +154,7 @@ def enrichir(
     df = enrich.add_unit_cost(
         df, "cout_hospitalisation_fcfa", "duree_sejour_j", "cout_journalier_fcfa"
     )
-    df = enrich.add_long_flag(
-        df, "service", "duree_sejour_j", "sejour_prolonge", max_groups=SERVICES
-    )
+    df = enrich.add_long_flag(df, "service", "duree_sejour_j", "sejour_prolonge")
     df = returns.flag_returns(
         df,
         "id_patient_pseudo",

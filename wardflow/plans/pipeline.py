@@ -17,7 +17,7 @@ from wardflow.plans import admissions
 from wardflow.plans.journal import Journal
 from wardflow.session import work_path
 from wardflow.sources.csvfile import ORDER
-from wardflow.sources.tables import append_table, hand_off, load_checked
+from wardflow.sources.tables import hand_off, load_checked, load_partitions
 
 DURATION, AGE = "duree_sejour_j", "age"
 
@@ -89,7 +89,7 @@ def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFra
 def _impute(staged: DataFrame, journal: Journal) -> DataFrame:
     """Durations and ages filled; both fills counted on the way."""
     filled = impute.impute_group_median(
-        staged, "pathologie", DURATION, flag="duree_imputee", max_groups=admissions.DIAGNOSES
+        staged, "pathologie", DURATION, flag="duree_imputee"
     )
     columns = filled.columns
     dated = F.col(AGE).isNull() & F.col(ref.BIRTH_DATE).isNotNull()
@@ -147,11 +147,15 @@ def run(
 
 
 def load(result: Run, folder: str, blocking: bool = True) -> DataFrame:
-    """Load the prepared table, by year, and its audit, if the rules allow."""
+    """Load the prepared table, by year, and its audit, if the rules allow.
+
+    The table is replaced as a whole; the audit keeps earlier executions, and a
+    repeated load of one execution writes it once.
+    """
     admissions.verifier_absence_donnees_personnelles(result.prepared)
     dated = result.prepared.withColumn(
         "annee", F.coalesce(F.year("date_entree"), F.lit(0))
     )
     loaded = load_checked(dated, result.report, f"{folder}/admissions", "annee", blocking)
-    append_table(result.audit, f"{folder}/audit")
+    load_partitions(result.audit, f"{folder}/audit", "execution_id")
     return loaded

@@ -200,13 +200,6 @@ SERVICE_TARIFF = {
     "Neurologie": (70_000, 30_000), "Maladies infectieuses": (25_000, 16_000),
 }
 
-# --- Misspelt towns used to dirty a clean table (fixed values) ---------------
-TOWN_MISSPELLINGS = {
-    "Yopougon": "Yopougn", "Treichville": "Treichvile",
-    "Koumassi": "Koumasi", "Abobo": "ABOBO", "Cocody": "cocody",
-    "Port-Bouet": "Port Bouet",
-}
-
 # --- Wording of the journal (fixed values): step, detail ---------------------
 JOURNAL = {
     "read": ("Extraction du fichier source", "{source}"),

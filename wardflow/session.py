@@ -86,8 +86,11 @@ def short_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str])
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage and cut its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into the shared folder and cut its lineage.
+
+    Parquet rather than a checkpoint: later steps read the columns they need, and
+    the planner knows the size.
+    """
+    path = work_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

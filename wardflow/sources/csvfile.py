@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wardflow.functions.text import NULL_TOKENS, missing_to_null
+from wardflow.operators.attach import attach
+from wardflow.session import short_table
 
 ORDER = "_seq"
+BAD = "_invalide"
 
 
 def read_raw_csv(
@@ -17,41 +21,74 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = False,
+    bad_records: str = "raise",
 ) -> DataFrame:
     """Read a CSV with header as texts, plus its file order in ``_seq``.
 
     With ``columns`` no file is opened to learn the schema, and a header that
     disagrees is an error. ``multi_line`` allows line breaks inside quotes, at
     the price of one task per file.
+
+    A record with more or fewer cells than columns, which is also what a line break
+    inside quotes makes without ``multi_line``, raises when it is read. With
+    ``bad_records="keep"`` its line stands whole in ``_invalide``, null elsewhere,
+    and its cells are what could be read; this needs ``columns``.
     """
+    keep = bad_records == "keep"
+    if bad_records not in ("raise", "keep") or (keep and columns is None):
+        raise ValueError("bad_records is 'raise', or 'keep' together with columns")
     reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
+        # A record is checked whole, whatever columns are asked for.
+        .option("columnPruning", False)
+        .option("mode", "PERMISSIVE" if keep else "FAILFAST")
+        .option("columnNameOfCorruptRecord", BAD)
     )
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        names = [*columns, BAD] if keep else columns
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names]))
     return with_file_order(reader.csv(path), null_tokens)
 
 
+def natural(path: str) -> list:
+    """Sort key that takes runs of digits as numbers."""
+    return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", path)]
+
+
 def with_file_order(scan: DataFrame, null_tokens: Sequence[str] = ()) -> DataFrame:
     """Add the position of each row, straight on a file scan.
 
-    Row numbers grow within one split; path and offset put the splits in
-    order. Positions are only ever compared, so no global sort is needed.
+    Files are ranked by path, their numbers as numbers; offset and row number put
+    splits and rows in order. All three are packed into one number, which hash
+    aggregation takes. Positions are only ever compared.
     """
-    position = F.struct(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.monotonically_increasing_id().alias("row"),
-    )
     cells = [
-        missing_to_null(F.col(c), null_tokens).alias(c) if null_tokens else F.col(c)
+        missing_to_null(F.col(c), null_tokens).alias(c) if null_tokens and c != BAD else F.col(c)
         for c in scan.columns
     ]
-    return scan.select(*cells, position.alias(ORDER))
+    rows = scan.select(
+        *cells,
+        # Local paths are written with one slash here and with three in the list.
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__offset"),
+        # The lower 33 bits number the rows of a task.
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__row"),
+    )
+    paths = [re.sub("^file:/+", "file:/", p) for p in sorted(scan.inputFiles(), key=natural)]
+    files = short_table(
+        scan.sparkSession, [(p, i) for i, p in enumerate(paths)],
+        {"__path": "string", "__file": "bigint"},
+    )
+    digits = F.concat(*[
+        F.lpad(F.col(c).cast("string"), width, "0")
+        for c, width in (("__file", 10), ("__offset", 16), ("__row", 10))
+    ])
+    return attach(rows, files, ["__path"], max_rows=len(paths)).select(
+        *scan.columns, digits.cast("decimal(38,0)").alias(ORDER))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -13,26 +13,26 @@ def hand_off(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def load_table(df: DataFrame, path: str, partition: str, rebalance: bool = False) -> DataFrame:
-    """Replace the partitions present in ``df``; running it twice changes nothing.
-
-    With few partition values every task writes a few files and no shuffle is
-    needed. ``rebalance`` deals rows out by partition value first, for tables
-    with many; AQE then cuts the large ones.
-    """
-    rows = df.hint("rebalance", partition) if rebalance else df
+def _load(df: DataFrame, path: str, partition: str, replaced: str) -> DataFrame:
+    """Write by partition value; rows are dealt out by it, and AQE cuts the large ones."""
     (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", replaced)
         .partitionBy(partition)
         .parquet(path)
     )
     return df.sparkSession.read.parquet(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Add rows to a log table, such as the treatment audit."""
-    df.write.mode("append").parquet(path)
+def load_table(df: DataFrame, path: str, partition: str) -> DataFrame:
+    """Replace a whole table; partitions that ``df`` does not have go."""
+    return _load(df, path, partition, "static")
+
+
+def load_partitions(df: DataFrame, path: str, partition: str) -> DataFrame:
+    """Replace the partitions present in ``df`` and leave all others."""
+    return _load(df, path, partition, "dynamic")
 
 
 def load_checked(

@@ -491,8 +491,11 @@ ORACLES: dict[str, str] = {
     "long_lines_p90": "select l_orderkey, l_linenumber, l_partkey, "
         "strftime(l_shipdate, '%Y-%m') as mois_envoi, l_quantity > quantile_cont(l_quantity, 0.9) "
         "over (partition by strftime(l_shipdate, '%Y-%m')) as prolonge from lineitem",
-    "price_quantiles": "select l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 4) "
-        "as p90 from lineitem group by l_returnflag",
+    **dict.fromkeys(
+        ("price_quantiles", "price_quantiles_cut"),
+        "select l_returnflag, quantile_cont(l_extendedprice, 0.9) as p90 from lineitem "
+        "group by l_returnflag",
+    ),
     "enrich_admissions": RAW_PREPARED,
     "quality_report": f"{upto('prepared')} {report(admission_rules(False), 'prepared')}",
     "quality_report_raw": f"{RAW_TYPED} {report(admission_rules(True), 'typed')}",
@@ -537,12 +540,12 @@ ORACLES: dict[str, str] = {
         f"({dimension(DIMENSIONS['pathologie'][1], 'pathologie_id', 'pathologie')}) left join "
         "(select pathologie, count(*) as sejours from cleaned group by pathologie) "
         "using (pathologie)",
-    "dim_priority": "select row_number() over (order by o_orderpriority)::int as priorite_id, "
+    "dim_priority": "select row_number() over (order by o_orderpriority) as priorite_id, "
         "o_orderpriority from (select distinct o_orderpriority from orders)",
     "fact_admissions": f"{upto('prepared')} {FACT}",
     "fact_orders": "select o_orderkey, o_custkey, c_nationkey, "
         f"{day_key('o_orderdate')} as date_id, "
-        "dense_rank() over (order by o_orderpriority)::int as priorite_id, o_totalprice "
+        "dense_rank() over (order by o_orderpriority) as priorite_id, o_totalprice "
         "from orders left join customer on o_custkey = c_custkey",
     "orphan_check": f"{upto('prepared', fact=FACT)} "
         + "\nunion all\n".join(
@@ -560,11 +563,27 @@ ORACLES: dict[str, str] = {
         orphaned("lineitem", "l_suppkey", "supplier", "s_suppkey"),
         orphaned("orders", "o_custkey", "customer", "c_custkey"),
     ]),
-    "occupancy_by_month": f"{upto('cleaned', bd=BED_DAYS)} select service, "
-        "year(m)::int as annee, month(m)::int as mois, journees_lit, lits::int as lits, "
-        f"{rate('journees_lit', 'lits * day(last_day(m))')} as taux_occupation from "
-        "(select service, date_trunc('month', jour)::date as m, count(*) as journees_lit "
-        f"from bd group by 1, 2) left join (values {BEDS}) as t(service, lits) using (service)",
+    "orphan_check_found": orphaned(
+        "lineitem", "l_orderkey", "(select * from orders where o_orderkey % 2 = 0)", "o_orderkey"),
+    "dim_order": "select row_number() over (order by o_orderkey) as commande_id, o_orderkey "
+        "from (select distinct o_orderkey from orders)",
+    "csv_long_text_roundtrip": "select doc_id, md5(text) as md5 from documents",
+    "sorted_admissions": f"{upto('cleaned')} select date_entree, count(*) as sejours from "
+        "cleaned group by 1",
+    "warehouse_load_gated": f"{upto('prepared')} select coalesce(year(date_entree), 0)::int as "
+        "annee, count(*) as sejours from prepared group by 1",
+    "event_returns_by_day": "select event_id, user_id, d as delai_j from ("
+        + returns_of("(select event_id, user_id, date_trunc('day', ts)::timestamp as jour "
+                     "from events)", "event_id", "user_id", "jour") + ")",
+    "occupancy_by_month": f"{upto('cleaned', bd=BED_DAYS)}, used as (select service, "
+        "date_trunc('month', jour)::date as m, count(*) as n from bd group by 1, 2), "
+        "every as (select service, unnest(generate_series(min(m)::timestamp, "
+        "max(m)::timestamp, interval 1 month))::date as m from used group by service) "
+        "select service, year(m)::int as annee, month(m)::int as mois, journees_lit, "
+        f"lits::int as lits, {rate('journees_lit', 'lits * day(last_day(m))')} as "
+        "taux_occupation from (select e.service, e.m, coalesce(n, 0) as journees_lit from "
+        "every e left join used u on e.service is not distinct from u.service and e.m = u.m) "
+        f"left join (values {BEDS}) as t(service, lits) using (service)",
     "burden_by_diagnosis": f"{upto('cleaned')} select pathologie, count(*) as sejours, "
         f"{rate('count(*)', '(select count(*) from cleaned)')} as part_pct, "
         f"count(*) filter (where issue = '{ref.DEATH}') as deces, "
@@ -574,16 +593,24 @@ ORACLES: dict[str, str] = {
         "round_even(median(duree_sejour_j) * 100, 0) / 100 as duree_mediane, "
         "round_even(sum(cout_hospitalisation_fcfa), 0) as cout_total "
         "from cleaned group by pathologie",
-    "seasonality_index": f"{upto('cleaned', m=MONTHLY)} select a.*, "
+    "seasonality_index": f"{upto('cleaned', m=MONTHLY)}, "
+        "span as (select categorie_pathologie, min(annee * 12 + mois - 1) as low, "
+        "max(annee * 12 + mois - 1) as high from m group by 1), "
+        "every as (select categorie_pathologie, unnest(range(low, high + 1)) as k from span), "
+        "f as (select e.categorie_pathologie, k, (k // 12)::int as annee, "
+        "(k % 12 + 1)::int as mois, coalesce(m.sejours, 0) as sejours from every e left join m "
+        "on m.categorie_pathologie = e.categorie_pathologie and m.annee * 12 + m.mois - 1 = k) "
+        "select a.categorie_pathologie, a.annee, a.mois, a.sejours, "
         "round_even(a.sejours / avg(a.sejours) over (partition by a.categorie_pathologie) "
         "* 1000, 0) / 1000 as indice_saisonnier, b.sejours as sejours_an_passe, "
-        f"{rate('a.sejours - b.sejours', 'b.sejours')} as evolution_pct from m a left join m b "
-        "on a.categorie_pathologie = b.categorie_pathologie and a.annee = b.annee + 1 "
-        "and a.mois = b.mois",
+        f"{rate('a.sejours - b.sejours', 'nullif(b.sejours, 0)')} as evolution_pct "
+        "from f a left join f b "
+        "on a.categorie_pathologie = b.categorie_pathologie and a.k = b.k + 12",
     "diagnosis_by_age": f"{upto('cleaned', b=f'select pathologie, {BAND} as t from cleaned')} "
         "select pathologie, "
         + ", ".join(f'count(*) filter (where t = {quoted(x)}) as "{x}"' for x in BANDS)
-        + " from b group by pathologie",
+        + f", count(*) filter (where t is null or t not in ({listed(BANDS)})) as autres "
+        "from b group by pathologie",
     "diagnosis_age_totals":
         f"{upto('cleaned', b=f'select pathologie, {BAND} as tranche_age from cleaned')} "
         "select pathologie, tranche_age, grouping(pathologie, tranche_age)::int as niveau, "

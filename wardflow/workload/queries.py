@@ -399,10 +399,16 @@ def long_lines_p90(spark, folder):
 @query
 def price_quantiles(spark, folder):
     lines = table(spark, folder, "lineitem")
-    found = quantiles.quantile(
+    return quantiles.quantile(lines, ["l_returnflag"], "l_extendedprice", 0.9, "p90")
+
+
+@query
+def price_quantiles_cut(spark, folder):
+    """The same values when the groups are cut into slices."""
+    lines = table(spark, folder, "lineitem")
+    return quantiles.quantile(
         lines, ["l_returnflag"], "l_extendedprice", 0.9, "p90", direct_rows=1000
     )
-    return found.withColumn("p90", F.round("p90", 4))
 
 
 @query
@@ -543,6 +549,20 @@ def orphan_check(spark, folder):
     return star_schema.check_links(fact, star_schema.dates(rows))
 
 
+@query
+def orphan_check_found(spark, folder):
+    """A link with orphans: lines against the orders with even keys."""
+    orders = table(spark, folder, "orders").where("o_orderkey % 2 = 0")
+    lines = table(spark, folder, "lineitem")
+    return star.orphan_report(lines, {"l_orderkey": (orders, "o_orderkey")})
+
+
+@query
+def dim_order(spark, folder):
+    """A dimension of many values, numbered in their order."""
+    return star.observed_dimension(table(spark, folder, "orders"), "o_orderkey", "commande_id")
+
+
 @query
 def orphan_check_orders(spark, folder):
     names = ["lineitem", "orders", "customer", "part", "supplier"]
@@ -686,6 +706,15 @@ def csv_header_roundtrip(spark, folder):
     return read_raw_csv(spark, path).drop("_seq")
 
 
+@query
+def csv_long_text_roundtrip(spark, folder):
+    """Texts with line breaks and quotes, through files and back."""
+    path = work_path(spark, "documents-csv")
+    write_csv(table(spark, folder, "documents").select("doc_id", "text"), path)
+    rows = read_raw_csv(spark, path, ["doc_id", "text"], null_tokens=(), multi_line=True)
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("md5"))
+
+
 @query
 def csv_file_order(spark, folder):
     """Duplicates of a file resolved by file order alone."""
@@ -711,6 +740,38 @@ def full_run(spark, folder):
     return pipeline.run(raw_admissions(spark, folder), SALT, order=SEQ).prepared
 
 
+@query
+def sorted_admissions(spark, folder):
+    """The global sort; each row's place shows it."""
+    rows = hand_off(masked(spark, folder), work_path(spark, "cleaned"))
+    ordered = admissions.enrichir(rows, trier=True).select("id_admission", "date_entree")
+    back = hand_off(ordered, work_path(spark, "sorted"))
+    return back.groupBy("date_entree").agg(F.count(F.lit(1)).alias("sejours"))
+
+
+@query
+def warehouse_load_gated(spark, folder):
+    """A load through the blocking gate: all admissions, outcomes and durations mended."""
+    days = F.col("duree_sejour_j").try_cast("double")
+    raw = raw_admissions(spark, folder).withColumns({
+        "issue": F.lit(ref.OUTCOMES[0]),
+        "duree_sejour_j": F.when(days > 0.1, F.col("duree_sejour_j")).otherwise("1.5"),
+    })
+    result = pipeline.run(raw, SALT, order=SEQ)
+    return pipeline.load(result, work_path(spark, "warehouse")).groupBy("annee").agg(
+        F.count(F.lit(1)).alias("sejours"))
+
+
+@query
+def event_returns_by_day(spark, folder):
+    """Ties abound when times are days; every key is cut."""
+    events = table(spark, folder, "events").select(
+        "event_id", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("jour"))
+    return returns.days_since_previous(
+        events, "user_id", "jour", ["event_id"], "delai_j", hot_rows=20
+    ).drop("jour")
+
+
 @query
 def warehouse_load(spark, folder):
     """A checked load, repeated: the second run replaces the first."""
