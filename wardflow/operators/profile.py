@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardflow.functions.numbers import ratio, round_even
 from wardflow.operators.attach import attach
+from wardflow.operators.dedup import digest
 
 # Names of the profile's columns (fixed values).
 TYPE, PRESENT, MISSING, MISSING_RATE, DISTINCT, EXAMPLE = (
@@ -29,50 +30,51 @@ def _text(field: T.StructField) -> Column:
 def column_profile(df: DataFrame, order: str, approx: bool = False) -> DataFrame:
     """Per column: type, present and missing cells, distinct values, example.
 
-    The example is the first present value in ``order``. Cells are turned into
-    (column, value) pairs, which merge before the shuffle, so a column with
-    few values costs next to nothing. With ``approx`` distinct values are
-    estimated and no value is shuffled.
+    The example is the first present value in ``order``. One scan gives it and the
+    counts of cells; another turns cells into (column, value) pairs, long values as
+    digests, which merge before the shuffle, so a column with few values costs next to
+    nothing. With ``approx`` distinct values are estimated and no value is shuffled.
     """
     fields = _content(df, order)
+    counts = _one_pass(df, order, fields, approx)
     if approx:
-        return _described(_one_pass(df, order, fields, with_counts=True), fields)
+        return _described(counts, fields)
     cells = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("__col"), _text(field).alias("__value"))
+                    F.struct(F.lit(i).alias("__col"), _short(_text(field)).alias("__value"))
                     for i, field in enumerate(fields)
                 ]
             )
         ),
     )
-    values = cells.groupBy("__col", "__value").agg(F.count(F.lit(1)).alias("__n"))
-    known = F.col("__value").isNotNull()
-    per_column = values.groupBy("__col").agg(
-        F.coalesce(F.sum(F.when(known, F.col("__n"))), F.lit(0)).alias(PRESENT),
-        F.coalesce(F.sum(F.when(~known, F.col("__n"))), F.lit(0)).alias(MISSING),
-        F.count("__value").alias(DISTINCT),
-    )
-    examples = _one_pass(df, order, fields, with_counts=False)
+    values = cells.where(F.col("__value").isNotNull()).distinct().groupBy("__col").agg(
+        F.count(F.lit(1)).alias("__values"))
+    found = attach(counts, values, ["__col"], max_rows=len(fields))
     return _described(
-        attach(per_column, examples, ["__col"], max_rows=len(fields)), fields
-    )
+        found.withColumn(DISTINCT, F.coalesce(F.col("__values"), F.lit(0))), fields)
+
+
+def _short(text: Column) -> Column:
+    """A text as it is, or its digest where that is shorter."""
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
 
 
-def _one_pass(df: DataFrame, order: str, fields, with_counts: bool) -> DataFrame:
+def _one_pass(df: DataFrame, order: str, fields, approx: bool) -> DataFrame:
     """One row per column, out of one aggregation without keys."""
     rows = []
     for i, field in enumerate(fields):
         cell = F.col(field.name)
         first = F.min_by(_text(field), F.when(cell.isNotNull(), F.col(order)))
-        parts = [F.lit(i).alias("__col"), first.alias(EXAMPLE)]
-        if with_counts:
-            parts += [
-                F.count(cell).alias(PRESENT),
-                F.count_if(cell.isNull()).alias(MISSING),
-                F.approx_count_distinct(_text(field)).alias(DISTINCT),
-            ]
+        parts = [
+            F.lit(i).alias("__col"),
+            first.alias(EXAMPLE),
+            F.count(cell).alias(PRESENT),
+            F.count_if(cell.isNull()).alias(MISSING),
+        ]
+        if approx:
+            parts.append(F.approx_count_distinct(_text(field)).alias(DISTINCT))
         rows.append(F.struct(*parts))
     return df.agg(F.array(*rows).alias("__all")).select(F.inline("__all"))
 
@@ -95,18 +97,24 @@ def _described(per_column: DataFrame, fields) -> DataFrame:
 def audit_summary(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """One row: size, strict duplicates, repeated keys, missing cells.
 
-    Everything is taken over the distinct rows, so a raw file is read once.
+    A raw file is read once, and its rows are shuffled as two digests and two counts.
     """
     names = [field.name for field in _content(df, order)]
-    distinct_rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     gaps = sum((F.col(name).isNull().cast("int") for name in names), F.lit(0))
+    distinct_rows = df.groupBy(digest(key).alias("__key"), digest(*names).alias("__whole")).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(gaps).alias("__gaps"))
+    per_key = distinct_rows.groupBy("__key").agg(
+        F.sum("__n").alias("__n"),
+        F.sum(F.col("__n") - 1).alias("__copies"),
+        F.sum("__gaps").alias("__gaps"),
+    )
     rows = F.coalesce(F.sum("__n"), F.lit(0))
-    missing = F.coalesce(F.sum(F.col("__n") * gaps), F.lit(0))
-    return distinct_rows.agg(
+    missing = F.coalesce(F.sum("__gaps"), F.lit(0))
+    return per_key.agg(
         rows.alias("lignes"),
         F.lit(len(names)).alias("colonnes"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("doublons_stricts"),
-        (rows - F.count_distinct(F.struct(key))).alias(f"{key}_dupliques"),
+        F.coalesce(F.sum("__copies"), F.lit(0)).alias("doublons_stricts"),
+        (rows - F.count(F.lit(1))).alias(f"{key}_dupliques"),
         missing.alias("cellules_manquantes"),
         round_even(ratio(missing, rows * len(names)) * 100, 2).alias("taux_manquant_global_%"),
     )
@@ -132,10 +140,12 @@ def head(df: DataFrame, order: str, n: int) -> DataFrame:
 
 
 def dataset_summary(df: DataFrame, distinct: list[str], at: str) -> DataFrame:
-    """One row: rows, first and last date, distinct values of some columns."""
-    return df.agg(
-        F.count(F.lit(1)).alias("lignes"),
-        F.min(at).alias("debut"),
-        F.max(at).alias("fin"),
-        *[F.count_distinct(c).alias(f"{c}_distincts") for c in distinct],
-    )
+    """One row: rows, first and last date, distinct values of some columns.
+
+    Each distinct count reads its own column; in one aggregation every row would be
+    repeated for each of them.
+    """
+    found = df.agg(
+        F.count(F.lit(1)).alias("lignes"), F.min(at).alias("debut"), F.max(at).alias("fin"))
+    return found.withColumns(
+        {f"{c}_distincts": distinct_count(df, c).scalar() for c in distinct})
