@@ -123,3 +123,9 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_dir(spark) == named
     assert session.work_path(spark, "x").startswith(named)
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+
+
+def test_work_folder_of_an_application_can_be_deleted(tmp_path, monkeypatch, spark):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    tables.hand_off(spark.range(3), session.work_path(spark, "x"))
+    assert session.clean(spark) and not list(tmp_path.iterdir())

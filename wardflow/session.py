@@ -59,9 +59,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one; all work paths are in it."""
+    return f"{shared_dir(spark).rstrip('/')}/wardflow-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, never used before."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's folder, never used before."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> bool:
+    """Delete what the application has put into the shared folder.
+
+    Call it when no result is needed any more: results may still read from there.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 ARROW_TYPES = {

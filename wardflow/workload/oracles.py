@@ -505,6 +505,9 @@ ORACLES: dict[str, str] = {
     "domain_report": f"{upto('cleaned')} {report(domain_rules(), 'cleaned')}",
     "column_profile": f"{RAW_ONLY} "
         + profile_of({c: "string" for c in ref.RAW_COLUMNS}, "raw", "seq"),
+    "column_profile_approx": f"{RAW_ONLY} select * exclude (valeurs_distinctes), "
+        "true as estimation_proche from ("
+        + profile_of({c: "string" for c in ref.RAW_COLUMNS}, "raw", "seq") + ")",
     "column_profile_orders": profile_of(
         {"o_custkey": "bigint", "o_orderstatus": "string", "o_orderdate": "timestamp_ntz",
          "o_orderpriority": "string"}, "orders", "o_orderkey"),

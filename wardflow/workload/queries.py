@@ -457,7 +457,12 @@ def column_profile_orders(spark, folder):
 
 @query
 def column_profile_approx(spark, folder):
-    return admissions.auditer(raw_admissions(spark, folder), SEQ, approx=True)
+    """Estimated distinct values, next to the exact ones: three deviations of 5 %."""
+    raw = raw_admissions(spark, folder)
+    exact = admissions.auditer(raw, SEQ).select("colonne", F.col(profile.DISTINCT).alias("exact"))
+    rough = admissions.auditer(raw, SEQ, approx=True).join(exact, "colonne")
+    near = F.abs(F.col(profile.DISTINCT) - F.col("exact")) <= 0.15 * F.col("exact") + 1
+    return rough.withColumn("estimation_proche", near).drop("exact", profile.DISTINCT)
 
 
 @query
