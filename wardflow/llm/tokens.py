@@ -27,8 +27,8 @@ from tokenizers import Tokenizer
 
 from wardflow.llm.joins import LONG, encode_long
 
-# About 60 MB per worker when full.
-CHUNKS = 300_000
+# About 150 MB per worker when full.
+CHUNKS = 800_000
 CLOSE = re.compile(r"\s\s|\A\s|\s\Z")
 LATIN = re.compile(r"[\x00-\xff]*")
 MARKS = frozenset(".,;:!?")
