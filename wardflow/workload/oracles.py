@@ -428,8 +428,8 @@ ORACLES: dict[str, str] = {
         "where commune_residence is not null group by 1",
     "recode_values": f"{STAYS} select seq, case service when '1-URGENT' then 'Urgent' "
         "when '5-LOW' then 'Low' else service end as service from v",
-    "fold_label_accents": f"{RAW_ONLY} select seq, strip_accents({LABELS['pathologie']}) "
-        "as pathologie from raw",
+    "fold_label_accents": f"{RAW_ONLY} select seq, regexp_replace("
+        f"strip_accents({LABELS['pathologie']}), '[^\\x00-\\x7F]', '', 'g') as pathologie from raw",
     "coerce_types": f"{RAW_TYPED} select seq, date_entree, date_sortie, date_naissance, age, "
         "cout_hospitalisation_fcfa, duree_sejour_j, temperature_entree_c, id_medecin from typed",
     "coerce_types_strict": f"{RAW_ONLY} select seq, "
