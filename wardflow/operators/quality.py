@@ -71,10 +71,32 @@ def missing(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
 
-def more_values_than(column: str, allowed: int) -> Callable[[DataFrame], DataFrame]:
+@dataclass(frozen=True)
+class MoreValuesThan:
     """Distinct values in excess of the reference list's length."""
-    excess = F.greatest(F.count_distinct(column) - F.lit(allowed), F.lit(0))
-    return lambda df: df.agg(excess.alias("excess"))
+
+    column: str
+    allowed: int
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        excess = F.greatest(F.count_distinct(self.column) - F.lit(self.allowed), F.lit(0))
+        return df.agg(excess.alias("excess"))
+
+
+def _value_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One map: place of each column, number of its distinct values.
+
+    All columns share one scan and one grouping of (column, value) pairs.
+    """
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__col"), F.col(c).cast("string").alias("__value"))
+        for i, c in enumerate(columns)
+    ])))
+    numbers = (
+        cells.where(F.col("__value").isNotNull()).distinct()
+        .groupBy("__col").agg(F.count(F.lit(1)).alias("__n"))
+    )
+    return numbers.agg(F.map_from_entries(F.collect_list(F.struct("__col", "__n"))))
 
 
 def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -92,8 +114,16 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             if not callable(rule.violations)
         ],
     )
+    listed = [rule.violations for rule in rules if isinstance(rule.violations, MoreValuesThan)]
+    if listed:
+        columns = list(dict.fromkeys(check.column for check in listed))
+        counts = counts.withColumn("__values", _value_numbers(df, columns).scalar())
     for i, rule in enumerate(rules):
-        if callable(rule.violations):
+        if isinstance(rule.violations, MoreValuesThan):
+            found = F.try_element_at("__values", F.lit(columns.index(rule.violations.column)))
+            excess = F.coalesce(found, F.lit(0)) - F.lit(rule.violations.allowed)
+            counts = counts.withColumn(f"__r{i}", F.greatest(excess, F.lit(0)).cast("bigint"))
+        elif callable(rule.violations):
             counts = counts.withColumn(f"__r{i}", rule.violations(df).scalar())
     rows = []
     for i, rule in enumerate(rules):
@@ -153,7 +183,7 @@ def modality_rules(sizes: Mapping[str, int]) -> list[Rule]:
     return [
         Rule(
             f"Modalités de {column}",
-            more_values_than(column, size),
+            MoreValuesThan(column, size),
             "{n} modalités de trop.",
         )
         for column, size in sizes.items()
