@@ -104,3 +104,11 @@ def test_facts_refer_to_dimensions(result):
     report = star_schema.check_links(fact, star_schema.dates(result.prepared))
     assert {r.lignes_orphelines for r in report.collect()} == {0}
     assert report.count() == 8
+
+
+def test_native_types_of_a_run(result):
+    kinds = dict(result.prepared.dtypes)
+    assert {c: kinds[c] for c in ("date_entree", "annee_naissance", "mois", "age", "duree_imputee")} == {
+        "date_entree": "timestamp_ntz", "annee_naissance": "int", "mois": "int", "age": "double",
+        "duree_imputee": "boolean",
+    }
