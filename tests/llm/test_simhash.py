@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 
-from wardflow.llm import simhash
+from wardflow.llm import simhash, words
 from wardflow.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, mark string, F0 int"
@@ -55,18 +55,18 @@ def test_hash_of_all_lengths():
     lengths = np.arange(0, 200)
     starts = np.full(200, 7)
     expected = [xxhash.xxh64_intdigest(data[7:7 + n], 42) for n in lengths]
-    assert simhash.xxh64_spans(data, starts, lengths).tolist() == expected
+    assert words.xxh64_spans(data, starts, lengths).tolist() == expected
 
 
 def varied(seed, n=150):
     rng = random.Random(seed)
-    words = [f"w{i}" for i in range(60)]
-    base = [" ".join(rng.choices(words, k=rng.choice((2, 8, 60, 90)))) for _ in range(12)]
+    known = [f"w{i}" for i in range(60)]
+    base = [" ".join(rng.choices(known, k=rng.choice((2, 8, 60, 90)))) for _ in range(12)]
     rows = [(1, None, "m", 1), (2, "", "m", 1), (None, "solo", "m", 1), (None, base[0], "m", 1)]
     for i in range(n):
         parts = rng.choice(base).split()
         for _ in range(rng.choice((0, 0, 1, 2))):
-            parts[rng.randrange(len(parts))] = rng.choice(words)
+            parts[rng.randrange(len(parts))] = rng.choice(known)
         rows.append((10 + i, " ".join(parts), "m", 1))
     return rows + rows[5:8] + [(500, "x " * 60_000, None, None)]
 
@@ -74,7 +74,6 @@ def varied(seed, n=150):
 @pytest.mark.parametrize("block", [8, 2048])
 def test_groups_equal_brute_force(frame, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash.find_links, "__defaults__", (block,))
     rows = varied(3)
     got = simhash.near_groups(frame(rows, SCHEMA), "doc_id", "text").collect()
     prints = [(r[0], brute_print(r[1])) for r in rows]
@@ -104,12 +103,14 @@ def test_links_in_units_of_several_rows_and_tiles(monkeypatch):
                 assert (label[i] == label[j]) == (root[i] == root[j])
 
 
-def test_near_dedup_keeps_one_of_each_group(frame):
+@pytest.mark.parametrize("block", [7, 1 << 16])
+def test_near_dedup_keeps_one_of_each_group(frame, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BAND_BLOCK", block)
     rng = random.Random(9)
-    words = [f"word{i}" for i in range(3000)]
+    known = [f"word{i}" for i in range(3000)]
     rows, copies = [], {}
     for g in range(30):
-        base = rng.choices(words, k=rng.choice((80, 300)))
+        base = rng.choices(known, k=rng.choice((80, 300)))
         copies[g] = [len(rows)]
         rows.append((len(rows), " ".join(base), "m", 0))
         for _ in range(g % 3):

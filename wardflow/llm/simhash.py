@@ -33,79 +33,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.llm.common import pieces, ship, stored, unused
 from wardflow.llm.components import components
+from wardflow.llm.words import LOWERED, words_of, xxh64_spans
 
-SEED = 42
-BLOCK = 2048
+# Fingerprints in a block: small where a cell is small unless it is hot, large where every
+# row of a cell meets every other, as it is copied once for each block of its cell.
+BLOCK, BAND_BLOCK = 2048, 1 << 16
 TILE = 512
 
-# Fixed values of XXH64.
-P1, P2, P3, P4, P5 = (
-    np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9),
-    np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5),
-)
-LOWER_AND_SPACE = bytes.maketrans(
-    bytes(range(65, 91)) + bytes(range(9, 14)), bytes(range(97, 123)) + b" " * 5)
-
-
-def _rotl(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-
-def _round(state, lane):
-    return _rotl(state + lane * P2, 31) * P1
-
-
-def xxh64_spans(data: bytes, starts: np.ndarray, lengths: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of many spans of one buffer; all spans take each step together."""
-    n = len(data)
-    padded = data + bytes(16)
-    at8 = np.ndarray((n + 8,), "<u8", padded, strides=(1,))
-    at4 = np.ndarray((n + 8,), "<u4", padded, strides=(1,))
-    at1 = np.frombuffer(padded, np.uint8)
-    with np.errstate(over="ignore"):
-        h = np.uint64(seed) + P5 + lengths.astype(np.uint64)
-        place = starts.copy()
-        left = lengths.copy()
-        wide = np.flatnonzero((lengths >= 32) & (lengths < 64))
-        if len(wide):
-            s = starts[wide]
-            zero = np.uint64(seed)
-            v = [_round(zero + first, at8[s + 8 * i])
-                 for i, first in enumerate((P1 + P2, P2, np.uint64(0), np.uint64(0) - P1))]
-            mixed = _rotl(v[0], 1) + _rotl(v[1], 7) + _rotl(v[2], 12) + _rotl(v[3], 18)
-            for x in v:
-                mixed = (mixed ^ _round(np.uint64(0), x)) * P1 + P4
-            h[wide] = mixed + lengths[wide].astype(np.uint64)
-            place[wide] += 32
-            left[wide] -= 32
-        left[lengths >= 64] = 0
-        while len(some := np.flatnonzero(left >= 8)):
-            h[some] = _rotl(h[some] ^ _round(np.uint64(0), at8[place[some]]), 27) * P1 + P4
-            place[some] += 8
-            left[some] -= 8
-        some = np.flatnonzero(left >= 4)
-        h[some] = _rotl(h[some] ^ (at4[place[some]].astype(np.uint64) * P1), 23) * P2 + P3
-        place[some] += 4
-        left[some] -= 4
-        while len(some := np.flatnonzero(left > 0)):
-            h[some] = _rotl(h[some] ^ (at1[place[some]].astype(np.uint64) * P5), 11) * P1
-            place[some] += 1
-            left[some] -= 1
-        h ^= h >> np.uint64(33)
-        h *= P2
-        h ^= h >> np.uint64(29)
-        h *= P3
-        h ^= h >> np.uint64(32)
-    for i in np.flatnonzero(lengths >= 64):
-        s = int(starts[i])
-        h[i] = xxhash.xxh64_intdigest(data[s:s + int(lengths[i])], seed)
-    return h
-
 
 def _mix(h: np.ndarray, lane: int) -> np.ndarray:
     """Further hashes from a hash (the finaliser of SplitMix64)."""
@@ -119,39 +57,27 @@ def _mix(h: np.ndarray, lane: int) -> np.ndarray:
 def fingerprints(texts: list[bytes], width: int, lanes: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints (texts x lanes) and numbers of words of a list of texts."""
     out = np.zeros((len(texts), lanes), np.uint64)
-    raw = b" ".join(texts).translate(LOWER_AND_SPACE)
-    letters = np.frombuffer(raw, np.uint8) != 32
-    before = np.concatenate(([False], letters[:-1]))
-    word_at = np.flatnonzero(letters & ~before)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    text_at = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    owner = np.searchsorted(text_at, word_at, "right") - 1
-    words = np.bincount(owner, minlength=len(texts))
-    if not len(word_at):
-        return out, words
-    # One space between words: keep letters and the first space behind a word.
-    keep = letters | before
-    data = raw if keep.all() else np.frombuffer(raw, np.uint8)[keep].tobytes()
-    letters = np.frombuffer(data, np.uint8) != 32
-    starts = np.flatnonzero(letters & ~np.concatenate(([False], letters[:-1])))
-    ends = np.flatnonzero(letters & ~np.concatenate((letters[1:], [False]))) + 1
-    first = np.concatenate(([0], np.cumsum(words)[:-1]))
+    words = words_of(texts, LOWERED)
+    owner, counts = words.owner, words.counts
+    if not len(owner):
+        return out, counts
     # A shingle starts at each word that has width - 1 more of its text behind it;
     # a shorter text is one shingle.
-    order = np.arange(len(starts)) - first[owner]
-    shingle = np.flatnonzero((order + width <= words[owner]) | (order == 0))
-    span = np.minimum(width, words[owner[shingle]])
-    hashes = xxh64_spans(data, starts[shingle], ends[shingle + span - 1] - starts[shingle])
+    order = np.arange(len(owner)) - words.first[owner]
+    shingle = np.flatnonzero((order + width <= counts[owner]) | (order == 0))
+    span = np.minimum(width, counts[owner[shingle]])
+    starts = words.starts[shingle]
+    hashes = xxh64_spans(words.data, starts, words.ends[shingle + span - 1] - starts)
     of = owner[shingle]
     cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-    counts = np.diff(np.concatenate((cuts, [len(of)])))
+    sizes = np.diff(np.concatenate((cuts, [len(of)])))
     for lane in range(lanes):
         h = hashes if lane == 0 else _mix(hashes, lane)
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones = np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
-        packed = np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little")
+        packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
         out[of[cuts], lane] = packed.view("<u8")[:, 0]
-    return out, words
+    return out, counts
 
 
 def _fingerprint_batches(width: int, lanes: int):
@@ -246,6 +172,10 @@ def compare(prints: np.ndarray, words: np.ndarray, left: np.ndarray, right: np.n
                 continue
             bits = np.bitwise_count(prints[rows, 0][:, None] ^ prints[columns, 0][None, :])
             near = bits <= rule.radius
+            if not near.any():
+                continue
+            # Rows that are connected already need not be looked at again.
+            near &= links.label[rows][:, None] != links.label[columns][None, :]
             if prints.shape[1] > 1 or rule.ratio > 0:
                 i, j = np.nonzero(near)
                 far = ~rule.holds(prints, words, rows[i], columns[j])
@@ -366,8 +296,9 @@ def size_cells(similarity: float) -> Column:
     )
 
 
-def find_links(prints: DataFrame, cells: Column, rule: Rule, lanes: int,
-               block: int = BLOCK) -> DataFrame:
+def find_links(
+    prints: DataFrame, cells: Column, rule: Rule, lanes: int, block: int
+) -> DataFrame:
     """Links a, b between the nodes of ``prints`` (node, words, f0, …)."""
     fields = ["node", "words", *lane_names(lanes)]
     rows = prints.select(*fields, F.explode(cells).alias("c")).select(*fields, "c.cell", "c.home")
@@ -412,7 +343,8 @@ def near_groups(
     )
     cells = segment_cells(radius) if similarity is None else size_cells(similarity)
     rule = Rule(radius, radius if total is None else total, similarity or 0.0)
-    found = components(find_links(prints, cells, rule, lanes), "a", "b")
+    block = BAND_BLOCK if similarity else BLOCK
+    found = components(find_links(prints, cells, rule, lanes, block), "a", "b")
     rooted = prints.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = rooted.where(F.col("root") != F.col("node"))
     smallest = linked.select("root", "least").unionByName(
