@@ -11,7 +11,9 @@ the corpus, so documents and shards are brought together instead:
    Anchors that occur in two documents at least are the shared ones; no other window
    can repeat.
 2. The windows around each shared anchor, joined into one stretch of words, go to that
-   anchor's shard. Anchors in over ``HOT`` documents are split by whole windows.
+   anchor's shard. Anchors in over ``HOT`` documents are split by whole windows, and the
+   documents of a window in over ``HOT`` places over ``SALTS`` shards that share its first
+   document.
 3. In a shard stretches arrive in the order of document ids. Each one is streamed
    through the suffix automaton of the stretches of smaller ids; where its matching
    statistic reaches ``WINDOW`` words, the matched words are covered. Then it is added to
@@ -34,36 +36,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.llm.common import pieces, ship, stored
+from wardflow.llm.words import Words, words_of, xxh64_spans
+from wardflow.operators.attach import attach
 
 WINDOW = 13
 GRAM = 5
 HOT = 2000
+SALTS = 64
 BROADCAST_ANCHORS = 4_000_000
-CACHE_WORDS = 300_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xBF58476D1CE4E5B9)
 
-_hashes: dict[bytes, bytes] = {}
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) >= CACHE_WORDS:
-        _hashes.clear()
-    found = list(map(_hashes.get, words))
-    if None in found:
-        for i, h in enumerate(found):
-            if h is None:
-                found[i] = _hashes[words[i]] = xxhash.xxh64_digest(words[i])
-    return np.frombuffer(b"".join(found), ">u8").astype(np.uint64)
-
-
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` words."""
-    n = len(hashes) - width + 1
+    n = max(0, len(hashes) - width + 1)
     with np.errstate(over="ignore"):
         total = hashes[:n].copy()
         for i in range(1, width):
@@ -74,79 +63,108 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
         return total ^ (total >> np.uint64(29))
 
 
-def anchors_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the anchor of each window, and the anchor's place."""
+def anchors_of(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of each window, its anchor's hash and the anchor's place.
+
+    Of equal hashes in a window the leftmost counts.
+    """
+    order = np.arange(len(hashes)) - words.first[words.owner]
+    starts = np.flatnonzero(order + WINDOW <= words.counts[words.owner])
+    if not len(starts):
+        return starts, starts, starts
     grams = rolling(hashes, GRAM)
-    views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1)
-    places = views.argmin(axis=1) + np.arange(len(views))
-    return grams[places].view(np.int64), places
+    count = len(grams) - (WINDOW - GRAM)
+    best, place = grams[:count].copy(), np.zeros(count, np.int64)
+    for i in range(1, WINDOW - GRAM + 1):
+        less = grams[i:i + count] < best
+        best[less] = grams[i:i + count][less]
+        place[less] = i
+    return starts, best[starts].view(np.int64), place[starts] + starts
+
+
+def read_words(part: pa.RecordBatch) -> tuple[Words, np.ndarray]:
+    """Words of a batch's texts and their hashes."""
+    texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
+    words = words_of(texts)
+    return words, xxh64_spans(words.data, words.starts, words.ends - words.starts)
+
+
+def runs(places: np.ndarray) -> np.ndarray:
+    """Where a run of windows with one anchor begins."""
+    return np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces(batch, "text"):
-            found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            texts = part.column("text").cast(pa.binary()).to_pylist()
-            for number, text in zip(part.column("id").to_pylist(), texts):
-                words = (text or b"").split()
-                if len(words) >= WINDOW:
-                    anchors, places = anchors_of(word_hashes(words))
-                    new = np.concatenate(([True], places[1:] != places[:-1]))
-                    found.append(np.unique(anchors[new]))
-                    owners.append(np.full(len(found[-1]), number))
-            yield pa.record_batch(
-                [pa.array(np.concatenate(found)), pa.array(np.concatenate(owners))],
-                names=["anchor", "id"])
-
-
-def _stretch_batches(shared):
+            words, hashes = read_words(part)
+            starts, anchors, places = anchors_of(words, hashes)
+            if not len(starts):
+                continue
+            new = runs(places)
+            texts = pa.array(words.owner[starts[new]])
+            columns = [part.column(c).take(texts) for c in part.schema.names if c != "text"]
+            names = [c for c in part.schema.names if c != "text"]
+            yield pa.record_batch([pa.array(anchors[new]), *columns], names=["anchor", *names])
+
+
+def _stretch_batches(shared, whole: bool):
     """Stretches of windows with shared anchors, with the shard each goes to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = shared.value if shared is not None else None
         for batch in batches:
             for part in pieces(batch, "text"):
-                rows: list[tuple] = []
-                own = part.column("wanted").to_pylist() if every is None else None
-                ids, marks = part.column("id").to_pylist(), part.column("mark").to_pylist()
-                texts = part.column("text").cast(pa.binary()).to_pylist()
-                for i, text in enumerate(texts):
-                    words = (text or b"").split()
-                    if len(words) < WINDOW:
-                        continue
-                    wanted = every
-                    if own is not None:
-                        pairs = sorted((w["anchor"], w["hot"]) for w in own[i])
-                        wanted = (np.array([a for a, _ in pairs], np.int64),
-                                  np.array([h for _, h in pairs], bool))
-                    rows += [(s, ids[i], marks[i], a, w) for s, a, w in stretches(words, *wanted)]
-                columns = list(zip(*rows)) or [()] * 5
+                words, hashes = read_words(part)
+                known = shared.value if shared is not None else None
+                rows = stretches(words, hashes, part, known, whole)
+                text, shard, start, found = list(zip(*rows)) or [()] * 4
+                at = pa.array(text, pa.int64())
                 yield pa.record_batch(
-                    [*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.binary())],
+                    [pa.array(shard, pa.int64()), part.column("id").take(at),
+                     part.column("mark").take(at), pa.array(start, pa.int64()),
+                     pa.array(found, pa.binary())],
                     names=["shard", "id", "mark", "start", "words"])
 
     return run
 
 
-def stretches(words: list[bytes], shared: np.ndarray, hot: np.ndarray) -> list[tuple]:
-    """(shard, first word, words) of every run of windows with one shared anchor."""
-    if not len(shared):
+def wanted(part: pa.RecordBatch, owners: np.ndarray, anchors: np.ndarray, shared) -> np.ndarray:
+    """Whether each anchor is one of the wanted ones."""
+    if shared is not None:
+        if not len(shared):
+            return np.zeros(len(anchors), bool)
+        at = np.minimum(np.searchsorted(shared, anchors), len(shared) - 1)
+        return shared[at] == anchors
+    own = [set(row) for row in part.column("wanted").to_pylist()]
+    return np.array([a in own[t] for t, a in zip(owners.tolist(), anchors.tolist())], bool)
+
+
+def stretches(
+    words: Words, hashes: np.ndarray, part: pa.RecordBatch, shared, whole: bool
+) -> list[tuple]:
+    """(text, shard, first word, words) of every run of windows with one shared anchor.
+
+    With ``whole`` each window is a stretch of its own, and its shard its own hash.
+    """
+    starts, anchors, places = anchors_of(words, hashes)
+    if not len(starts):
         return []
-    hashes = word_hashes(words)
-    anchors, places = anchors_of(hashes)
-    first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
-    last = np.concatenate((first[1:], [len(places)])) - 1
-    at = np.minimum(np.searchsorted(shared, anchors[first]), len(shared) - 1)
-    hit = shared[at] == anchors[first]
-    out, whole = [], None
-    for a, b, busy in zip(first[hit].tolist(), last[hit].tolist(), hot[at[hit]].tolist()):
-        if not busy:
-            out.append((int(anchors[a]), a, b" ".join(words[a:b + WINDOW])))
-            continue
-        if whole is None:
-            whole = rolling(hashes, WINDOW).view(np.int64)
-        out += [(int(whole[s]), s, b" ".join(words[s:s + WINDOW])) for s in range(a, b + 1)]
-    return out
+    new = runs(places)
+    last = starts[np.concatenate((new[1:], [len(places)])) - 1]
+    first, shard = starts[new], anchors[new]
+    text = words.owner[first]
+    hit = wanted(part, text, shard, shared)
+    text, first, last = text[hit], first[hit], last[hit]
+    begin = words.first[text]
+    if not whole:
+        columns = (c.tolist() for c in (text, shard[hit], first, last, begin))
+        return [(t, s, a - o, words.run(a, b + WINDOW)) for t, s, a, b, o in zip(*columns)]
+    names = rolling(hashes, WINDOW).view(np.int64)
+    columns = (c.tolist() for c in (text, first, last, begin))
+    return [
+        (t, int(names[i]), i - o, words.run(i, i + WINDOW))
+        for t, a, b, o in zip(*columns) for i in range(a, b + 1)
+    ]
 
 
 class SuffixAutomaton:
@@ -247,37 +265,48 @@ def _cover_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         rows = []
         columns = [c.to_pylist() for c in batch.columns]
-        for name, number, mark, start, words in zip(*columns):
-            if name != now:
-                now, shard = name, Shard()
+        for name, salt, number, mark, start, words in zip(*columns):
+            if (name, salt) != now:
+                now, shard = (name, salt), Shard()
             rows += [(number, mark, start + a, start + b) for a, b in shard.take(number, words)]
         yield pa.record_batch(
             [pa.array(c, pa.int64()) for c in (list(zip(*rows)) or [()] * 4)],
             names=["id", "mark", "start", "stop"])
 
 
+def kept_words(words: Words, text: int, spans: list[dict]) -> tuple[int, bytes]:
+    """Number of words removed, and those left joined by one space."""
+    first, count = int(words.first[text]), int(words.counts[text])
+    out, at, gone = [], 0, 0
+    for start, stop in sorted((s["start"], s["stop"]) for s in spans or ()):
+        if start > at:
+            out.append(words.run(first + at, first + start))
+        gone += max(0, stop - max(at, start))
+        at = max(at, stop)
+    if at < count:
+        out.append(words.run(first + at, first + count))
+    return gone, b" ".join(out)
+
+
 def _finish(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                counts, gone, kept = [], [], []
-                texts = part.column("text").cast(pa.binary()).to_pylist()
-                for text, spans in zip(texts, part.column("spans").to_pylist()):
-                    words = (text or b"").split()
-                    keep = np.ones(len(words), bool)
-                    for s in spans or ():
-                        keep[s["start"]:s["stop"]] = False
-                    counts.append(len(words))
-                    gone.append(int(len(words) - keep.sum()))
-                    left = words if not gone[-1] else [words[i] for i in np.flatnonzero(keep)]
-                    kept.append(b" ".join(left))
+                words = words_of(
+                    [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])
+                found = [
+                    kept_words(words, i, spans)
+                    for i, spans in enumerate(part.column("spans").to_pylist())
+                ]
                 columns = [
-                    part.column("id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
-                    pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+                    part.column("id"), pa.array(words.counts, pa.int64()),
+                    pa.array([gone for gone, _ in found], pa.int64()),
+                    pa.array([hashlib.sha256(left).hexdigest() for _, left in found]),
                 ]
                 names = ["id", "n_words", "n_removed", "kept_sha256"]
                 if with_text:
-                    columns.append(pa.array(kept, pa.binary()).cast(pa.string()))
+                    columns.append(
+                        pa.array([left for _, left in found], pa.binary()).cast(pa.string()))
                     names.append("kept")
                 yield pa.record_batch(columns, names=names)
 
@@ -305,20 +334,15 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, with_text: bool =
         .select("anchor", (F.col("n") > HOT).alias("hot")),
         "anchors",
     )
-    if shared.count() <= BROADCAST_ANCHORS:
-        found = shared.orderBy("anchor").toArrow()
-        sent = spark.sparkContext.broadcast(
-            (found.column("anchor").to_numpy(), found.column("hot").to_numpy()))
-        readers = named
-    else:
-        sent = None
-        own = anchors_by_text(named).join(shared, "anchor").groupBy("id", "mark").agg(
-            F.collect_list(F.struct("anchor", "hot")).alias("wanted"))
-        readers = named.join(stored(own, "wanted"), ["id", "mark"])
-    dealt = readers.mapInArrow(
-        _stretch_batches(sent), "shard bigint, id bigint, mark bigint, start bigint, words binary")
+    numbers = {r["hot"]: r["count"] for r in shared.groupBy("hot").count().collect()}
+    dealt = find_stretches(named, shared.where("not hot"), numbers.get(False, 0), False)
+    dealt = dealt.withColumn("salt", F.lit(0))
+    if numbers.get(True):
+        dealt = dealt.unionByName(
+            salted(find_stretches(named, shared.where("hot"), numbers[True], True)))
     covers = (
-        dealt.repartition("shard").sortWithinPartitions("shard", "id")
+        dealt.select("shard", "salt", "id", "mark", "start", "words")
+        .repartition("shard", "salt").sortWithinPartitions("shard", "salt", "id")
         .mapInArrow(_cover_batches, "id bigint, mark bigint, start bigint, stop bigint")
         .groupBy("id", "mark")
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
@@ -331,14 +355,48 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, with_text: bool =
     )
 
 
+def find_stretches(named: DataFrame, shared: DataFrame, count: int, whole: bool) -> DataFrame:
+    """Stretches around ``count`` shared anchors; see :func:`stretches`."""
+    if count <= BROADCAST_ANCHORS:
+        found = shared.select("anchor").orderBy("anchor").toArrow()
+        sent = named.sparkSession.sparkContext.broadcast(found.column("anchor").to_numpy())
+        readers = named
+    else:
+        sent = None
+        own = anchors_by_text(named).join(shared, "anchor").groupBy("id", "mark").agg(
+            F.collect_list("anchor").alias("wanted"))
+        readers = named.join(stored(own, "wanted"), ["id", "mark"])
+    return readers.mapInArrow(
+        _stretch_batches(sent, whole),
+        "shard bigint, id bigint, mark bigint, start bigint, words binary")
+
+
+def salted(windows: DataFrame) -> DataFrame:
+    """Deal the documents of each busy window out over ``SALTS`` shards.
+
+    Every one of them gets the window's first document as its reference. A window is
+    busy above ``HOT`` rows, so there are few; they are counted before a broadcast.
+    """
+    busy = stored(
+        windows.groupBy("shard", "words")
+        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > HOT)
+        .drop("n"),
+        "busy",
+    )
+    here = attach(
+        windows, busy.select("shard", "words", F.lit(True).alias("busy")), ["shard", "words"],
+        computed=True,
+    )
+    salt = F.when(F.col("busy"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(0)
+    reference = busy.select(
+        "shard", "id", F.lit(None).cast("bigint").alias("mark"),
+        F.lit(0).cast("bigint").alias("start"), "words",
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return here.withColumn("salt", salt).drop("busy").unionByName(reference)
+
+
 def anchors_by_text(named: DataFrame) -> DataFrame:
     """Anchors with the id and mark of the text they are in."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                for found in _anchor_batches(iter([one.select(["id", "text"])])):
-                    marks = pa.array([one.column("mark")[0].as_py()] * found.num_rows, pa.int64())
-                    yield pa.record_batch([*found.columns, marks], names=["anchor", "id", "mark"])
-
-    return named.mapInArrow(run, "anchor bigint, id bigint, mark bigint").distinct()
+    return named.mapInArrow(
+        _anchor_batches, "anchor bigint, id bigint, mark bigint").distinct()
