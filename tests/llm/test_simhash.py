@@ -124,6 +124,56 @@ def test_near_dedup_keeps_one_of_each_group(frame, monkeypatch, block):
     assert {r[0] for r in kept.collect()} == {c[0] for c in copies.values()} | {None}
 
 
+def shingle_set(text, width=5):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    return {tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def alike(a, b):
+    """Jaccard similarity of at least 0.8, in whole numbers."""
+    return a == b or 10 * len(a & b) >= 8 * len(a | b)
+
+
+def altered(rng, known, base, changes):
+    words = list(base)
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = rng.choice(known)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("blocks", [(1 << 16, 1 << 22), (7, 400)])
+def test_near_dedup_equals_exact_jaccard(frame, monkeypatch, blocks):
+    """Copies on both sides of the similarity, in pairs, chains and groups."""
+    monkeypatch.setattr(simhash, "BAND_BLOCK", blocks[0])
+    monkeypatch.setattr(simhash, "VOLUME", blocks[1])
+    rng = random.Random(31)
+    known = [f"word{i}" for i in range(3000)]
+    texts = [None, "", " \t"]
+    for size in (4, 8, 9, 30, 60, 100, 100, 250):
+        for _ in range(4):
+            base = rng.choices(known, k=size)
+            texts.append(" ".join(base))
+            most = max(1, size // 22)
+            texts += [altered(rng, known, base, rng.randint(most // 2, 2 * most)) for _ in range(4)]
+            texts.append(" ".join(base[:-max(1, size // rng.choice((4, 5, 6)))]))
+    rng.shuffle(texts)
+    rows = [(i, t, "m", 0) for i, t in enumerate(texts)] + [(None, texts[5], "m", 0)]
+    sets = [(r[0], shingle_set(r[1])) for r in rows]
+    expected = {i for (i, _), g in zip(sets, brute_groups(sets, alike)) if i == g or i is None}
+    kept = simhash.near_dedup(frame(rows, SCHEMA), "doc_id", "text").collect()
+    assert {r[0] for r in kept} == expected
+    assert 20 < len(expected) < len(rows) - 20
+
+
+def test_near_dedup_of_documents_equals_exact_jaccard(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
+    docs = docs.select("doc_id", "text").localCheckpoint()
+    sets = [(r[0], shingle_set(r[1])) for r in docs.collect()]
+    expected = {i for (i, _), g in zip(sets, brute_groups(sets, alike)) if i == g}
+    assert {r[0] for r in simhash.near_dedup(docs, "doc_id", "text").collect()} == expected
+
+
 def test_empty_table(frame):
     assert simhash.near_groups(frame([], SCHEMA), "doc_id", "text").count() == 0
     assert simhash.near_dedup(frame([], SCHEMA), "doc_id", "text").count() == 0
