@@ -166,6 +166,29 @@ def test_near_dedup_equals_exact_jaccard(frame, monkeypatch, blocks):
     assert 20 < len(expected) < len(rows) - 20
 
 
+def test_near_dedup_counts_a_repeated_shingle_once(frame):
+    rng = random.Random(12)
+    known = [f"word{i}" for i in range(5000)]
+    line = " ".join(rng.choices(known, k=24)) + "\n"
+    body = [" ".join(rng.choices(known, k=400)) for _ in range(3)]
+    # The same text twice or three times; different texts around one repeated line.
+    texts = [body[0], f"{body[0]} {body[0]}", body[1], " ".join([body[1]] * 3), body[2]]
+    texts += [line * 10 + " ".join(rng.choices(known, k=104)) for _ in range(6)]
+    texts.append(line * 25 + texts[-1][len(line) * 10:])
+    df = frame([(i, t, "m", 0) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r[0] for r in simhash.near_dedup(df, "doc_id", "text").collect()}
+    assert kept == {0, 2, 4, 5, 6, 7, 8, 9, 10}
+
+
+def test_set_prints_leave_out_repeats():
+    once, more = b"a b c d e f g h", b"a b c d e f g h a b c d e f g h"
+    prints, sizes, whole = simhash.set_prints([once, more, once + b" i", b"", b"x"], 5, 4)
+    assert sizes.tolist() == [4, 8, 5, 0, 1] and len(set(whole.tolist())) == 5
+    line = b"a b c d a b c d a b c d a b c d a b c d"
+    prints, sizes, whole = simhash.set_prints([line, line + b" a b c d"], 5, 4)
+    assert sizes.tolist() == [4, 4] and whole[0] == whole[1] and (prints[0] == prints[1]).all()
+
+
 def test_near_dedup_of_documents_equals_exact_jaccard(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
     docs = docs.select("doc_id", "text").localCheckpoint()

@@ -3,15 +3,16 @@
 Words are runs of anything but space and the control characters 9 to 13, after
 lower-casing A-Z. A document's shingles are hashed with XXH64; a fingerprint bit is
 set where over half of the hashes, repeats included, have it. ``lanes`` fingerprints
-of 64 bits come from one hash by mixing.
+of 64 bits come from one hash by mixing. Where texts of a similarity are wanted, each
+distinct shingle counts once, and a text's size is the number of them.
 
 Fingerprints are compared exactly, in tiles, with numpy's exclusive-or and bit
 counts. Two levels keep the number of tiles down, neither of which loses a link:
 
 * Spark deals distinct fingerprints into cells outside which no link is possible.
   With a small radius r a cell is one value of one of r + 1 segments (of r + 1
-  segments at least one is equal); otherwise it is a band of document sizes, since
-  texts of similarity s differ in size by a factor 1 / s at most. A cell with over
+  segments at least one is equal); otherwise it is a band of set sizes, since
+  sets of similarity s differ in size by a factor 1 / s at most. A cell with over
   ``BLOCK`` fingerprints is cut into blocks and every pair of blocks is a unit of its
   own, so no task needs more than two blocks.
 * Within a unit both sides are sorted by population count and cut into tiles;
@@ -113,10 +114,10 @@ def fingerprints(texts: list[bytes], width: int, lanes: int = 1) -> tuple[np.nda
 def set_prints(
     texts: list[bytes], width: int, lanes: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints, sizes and a digest of the shingle set of each text."""
-    hashes, of, sizes = shingles_of(texts, width)
-    prints = _majority(hashes, of, len(texts), lanes)
+    """Fingerprints, sizes and digests of the shingle sets of texts, repeats left out."""
+    hashes, of, _ = shingles_of(texts, width)
     hashes, of = distinct_shingles(hashes, of)
+    prints, sizes = _majority(hashes, of, len(texts), lanes), np.bincount(of, minlength=len(texts))
     whole = np.zeros(len(texts), np.uint64)
     np.add.at(whole, of, _mix(hashes, lanes))
     return prints, sizes, whole
@@ -179,7 +180,10 @@ def marked_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fingerprint_table(
     df: DataFrame, id_col: str, text_col: str, width: int, lanes: int, sets: bool = False
 ) -> DataFrame:
-    """Columns id, mark, words and f0, f1, … of every row; with ``sets`` a digest, whole."""
+    """Columns id, mark, words and f0, f1, … of every row.
+
+    With ``sets`` they are of the shingle set: words is its size, and whole its digest.
+    """
     ship(df.sparkSession)
     fields = "".join(f", {n} bigint" for n in [*lane_names(lanes), *["whole"] * sets])
     return marked_texts(df, id_col, text_col).mapInArrow(
@@ -395,7 +399,7 @@ def segment_cells(radius: int) -> Column:
 
 
 def size_cells(similarity: float) -> Column:
-    """Array of (cell, home): the band of sizes a text is in, and the next one.
+    """Array of (cell, home): the band of set sizes a text is in, and the next one.
 
     Two sizes within a factor of 1 / similarity are in the same band or in adjacent
     ones.
