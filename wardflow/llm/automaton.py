@@ -320,8 +320,13 @@ def start_pattern(node: Node) -> Node:
 
     Counting long runs backwards for several rules at once would multiply their
     states, so runs are counted to a few here; a start found this way is a candidate
-    that the rule's own automaton confirms.
+    that the rule's own automaton confirms. An end that may be missing is left out: a match
+    with it starts where one without it does.
     """
+    parts = node.parts
+    while node.kind == "cat" and parts and parts[-1].kind == "rep" and not parts[-1].low:
+        parts = parts[:-1]
+    node = Node(node.kind, parts, node.symbols, node.low, node.high)
     alone = node.kind == "cat" and len(node.parts) == 1
     return node.relaxed(RUN_LEAD if alone else LEAD).reversed()
 

@@ -8,7 +8,8 @@ the first one behind it. That gives leftmost, non-overlapping matches of each ki
 the rule's test are then dropped.
 
 For these rules the longest match is the greedy one: each has a single way to
-match from a given start, up to the end of its closing run. For runs with a least
+match from a given start, up to the end of its closing run; only ``private_key`` has
+two, of which the longer one is meant. For runs with a least
 length (``hex``, ``access``) the length stands in the pattern, since a run that is
 too short holds no longer one; ``assign`` is tested afterwards, because a match that
 fails still covers its text.
@@ -37,8 +38,18 @@ BASE_RULES = (
     ("access", r"AKIA[A-Z0-9]{12,}"),
     ("hex", r"[0-9a-f]{32,}"),
 )
+# The header and what is behind it: up to the END line when that is there, else as far as
+# header fields and runs of a key's characters go, the last line with them. Line breaks
+# may be written as in a JSON text.
+BREAK = r"([ \t\r\n]|\\[rnt])"
+PRIVATE_KEY = (
+    r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----("
+    r"(-{0,4}[A-Za-z0-9+/=:, \t\r\n\\])*-----END ([A-Z]+ )*PRIVATE KEY-----"
+    rf"|({BREAK}*((Proc-Type|DEK-Info): [A-Za-z0-9,-]+|[A-Za-z0-9+/=]{{16,}}))+({BREAK}+[A-Za-z0-9+/=]{{1,15}})?"
+    r")?"
+)
 MORE_RULES = (
-    ("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    ("private_key", PRIVATE_KEY),
     ("host_token", r"(ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     ("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
