@@ -35,6 +35,17 @@ def test_ids_equal_the_library(path):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_special_tokens_in_another_case_are_text(path):
+    library, own = Tokenizer.from_file(path), Encoder(open(path).read())
+    texts = [
+        "<|ENDOFTEXT|>", "Some <|EndOfText|> É text", "A<|endoftext|>B <|STARTOFTEXT|>.", "<|endoftext|> Plain TEXT",
+        "X" * 400 + "<|EndOfText|>" + "y" * 400, "漢 <|ENDOFTEXT|>\nz",
+    ]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_tree_of_halves_equals_the_whole():
     own = Encoder(open(BYTE).read())
     rng = random.Random(3)

@@ -50,6 +50,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         special = [t["content"] for t in parts["added_tokens"]]
+        self.special_tokens = special
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.chunks: dict[str, bytes] = {}
 
@@ -85,6 +86,9 @@ class Encoder:
         if not self.keeps_space:
             # Latin-1 letters have one lower case each, which the tokenizer takes anyway.
             low = text.lower() if text.isascii() or LATIN.fullmatch(text) else text
+            # The library looks for special tokens before, so none may come or go by it.
+            if any(low.count(t) != text.count(t) for t in self.special_tokens):
+                low = text
             return low.replace("\n", " ").split(" ")
         if CLOSE.search(text):
             return SAFE.split(text)
