@@ -48,6 +48,17 @@ def test_held_out_rows_are_told_apart_and_not_learned_from(frame):
     assert sorted(str(r[0]) for r in stay.collect()) == sorted(str(r.id) for r in got if r.predicted)
 
 
+def test_labels_without_a_document_take_no_place(frame, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 60)
+    rows, labels = corpus()
+    df = frame(rows, SCHEMA)
+    marks = "doc_id bigint, quality int, toxic int"
+    more = [(i, i % 2, 0) for i in range(10_000, 16_000)]
+    weights = quality.fit(df, frame(labels, marks), "doc_id", "text")
+    assert weights.any()
+    assert np.array_equal(quality.fit(df, frame(labels + more, marks), "doc_id", "text"), weights)
+
+
 def test_training_equals_dense_updates():
     texts, labels = [b"a b a", b"c C! c", b"", b"a c"], [1, 0, 1, 0]
     z, n = np.zeros(quality.INTERCEPT + 1), np.zeros(quality.INTERCEPT + 1)

@@ -111,13 +111,18 @@ def held_out(id_col: str) -> Column:
 def training_sample(
     df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label: str
 ) -> DataFrame:
-    """At most ``SAMPLE`` rows ``text``, ``label`` in one partition, in a fixed order."""
+    """At most ``SAMPLE`` rows ``text``, ``label`` in one partition, in a fixed order.
+
+    Labels without a document do not count.
+    """
+    here = df.select(F.col(id_col).alias("id")).distinct()
     given = (
         labels.select(F.col(label_id).alias("id"), F.col(label).cast("double").alias("label"))
         .where(F.col("id").isNotNull() & F.col("label").isNotNull())
         .where(~held_out("id"))
         .groupBy("id")
         .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+        .join(here, "id", "left_semi")
         .orderBy(F.xxhash64("id"), "id")
         .limit(SAMPLE)
     )
