@@ -6,19 +6,13 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_secrets import brute as brute_spans
-from tests.llm.test_simhash import brute_groups
-from wardflow.llm import quality, secrets, simhash
+from tests.llm.test_simhash import brute_groups, brute_print, within_two
+from wardflow.llm import quality, secrets
 from wardflow.llm.tokens import WORD_BPE, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.01"
 
 
-def similar(a, b):
-    bits = np.bitwise_count(a[0] ^ b[0])
-    sizes = sorted((a[1], b[1]))
-    return bits[0] <= 13 and bits.sum() <= 44 and sizes[0] >= 0.8 * sizes[1]
-
-
 def by_stage(spark, folder):
     """Documents kept by each stage, found row by row on the driver."""
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
@@ -36,8 +30,7 @@ def by_stage(spark, folder):
         best[d[1] or ""] = max(best.get(d[1] or "", d), d, key=lambda r: r[0])
     kept = list(best.values())
     yield kept
-    prints, words = simhash.fingerprints([d[1].encode() for d in kept], 5, 4)
-    groups = brute_groups([(d[0], (p, w)) for d, p, w in zip(kept, prints, words)], similar)
+    groups = brute_groups([(d[0], brute_print(d[1])) for d in kept], within_two)
     kept = [d for d, g in zip(kept, groups) if d[0] == g]
     yield kept
     out = []

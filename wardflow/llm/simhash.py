@@ -2,31 +2,23 @@
 
 Words are runs of anything but space and the control characters 9 to 13, after
 lower-casing A-Z. A document's shingles are hashed with XXH64; a fingerprint bit is
-set where over half of the hashes, repeats included, have it. ``lanes`` fingerprints
-of 64 bits come from one hash by mixing. Where texts of a similarity are wanted, each
-distinct shingle counts once, and a text's size is the number of them.
+set where over half of the hashes, repeats included, have it.
 
 Fingerprints are compared exactly, in tiles, with numpy's exclusive-or and bit
 counts. Two levels keep the number of tiles down, neither of which loses a link:
 
-* Spark deals distinct fingerprints into cells outside which no link is possible.
-  With a small radius r a cell is one value of one of r + 1 segments (of r + 1
-  segments at least one is equal); otherwise it is a band of set sizes, since
-  sets of similarity s differ in size by a factor 1 / s at most. A cell with over
-  ``BLOCK`` fingerprints is cut into blocks and every pair of blocks is a unit of its
-  own, so no task needs more than two blocks.
+* Spark deals distinct fingerprints into cells outside which no link is possible:
+  a cell is one value of one of radius + 1 segments, as two fingerprints within the
+  radius have one of these segments equal. A cell with over ``BLOCK`` fingerprints is
+  cut into blocks and every pair of blocks is a unit of its own, so no task needs more
+  than two blocks.
 * Within a unit both sides are sorted by population count and cut into tiles;
   pairs of tiles whose population counts differ by more than the radius are skipped.
+  Units of up to ``SMALL`` fingerprints are compared together, without tiles.
 
 A unit returns a spanning forest of its links, not all of them: components are the
 same and a group of n near copies gives n - 1 rows.
 
-Where texts of a similarity are wanted, fingerprints only find candidates, with a
-radius several deviations wide. The shingle sets of texts that have a candidate are
-then dealt out by candidate component, and a pair is a link if the Jaccard similarity
-of its sets says so. Pairs that links connect already are not looked at, so a group
-of near copies is not expanded either.
-
 Defined results: null text is empty; without words the fingerprint is zero and
 linked like any other. Null ids take no part as smallest ids, so a group of
 null ids only has a null component. Repeated rows, equal ids and extra columns do
@@ -35,9 +27,7 @@ no harm. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
-from fractions import Fraction
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,29 +37,17 @@ from wardflow.llm.common import pieces, ship, stored, unused
 from wardflow.llm.components import components
 from wardflow.llm.words import LOWERED, words_of, xxh64_spans
 
-# Fingerprints in a block: small where a cell is small unless it is hot, large where every
-# row of a cell meets every other, as it is copied once for each block of its cell.
-BLOCK, BAND_BLOCK = 2048, 1 << 16
+BLOCK = 2048
 TILE = 512
-# Shingles of candidates in a block, and the most candidates that are broadcast.
-VOLUME, BROADCAST = 1 << 22, 1 << 18
-
-
-def _mix(h: np.ndarray, lane: int) -> np.ndarray:
-    """Further hashes from a hash (the finaliser of SplitMix64)."""
-    with np.errstate(over="ignore"):
-        z = h + np.uint64(lane) * np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
+SMALL = 16
 
 
-def shingles_of(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all shingles in order, the text of each, and numbers of words."""
+def shingles_of(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles in order, and the text of each."""
     words = words_of(texts, LOWERED)
     owner, counts = words.owner, words.counts
     if not len(owner):
-        return np.zeros(0, np.uint64), owner, counts
+        return np.zeros(0, np.uint64), owner
     # A shingle starts at each word that has width - 1 more of its text behind it;
     # a shorter text is one shingle.
     order = np.arange(len(owner)) - words.first[owner]
@@ -77,242 +55,110 @@ def shingles_of(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray,
     span = np.minimum(width, counts[owner[shingle]])
     starts = words.starts[shingle]
     hashes = xxh64_spans(words.data, starts, words.ends[shingle + span - 1] - starts)
-    return hashes, owner[shingle], counts
-
+    return hashes, owner[shingle]
 
-def distinct_shingles(hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every shingle of a text once, in the order of texts and hashes."""
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    new = np.ones(len(of), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-    return hashes[new], of[new]
 
-
-def _majority(hashes: np.ndarray, of: np.ndarray, texts: int, lanes: int) -> np.ndarray:
-    """Fingerprints (texts x lanes) from the hashes of each text."""
-    out = np.zeros((texts, lanes), np.uint64)
+def fingerprints(texts: list[bytes], width: int) -> np.ndarray:
+    """Fingerprint of each of a list of texts."""
+    hashes, of = shingles_of(texts, width)
+    out = np.zeros(len(texts), np.uint64)
     if not len(of):
         return out
     cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     sizes = np.diff(np.concatenate((cuts, [len(of)])))
-    for lane in range(lanes):
-        h = hashes if lane == 0 else _mix(hashes, lane)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
-        packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
-        out[of[cuts], lane] = packed.view("<u8")[:, 0]
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
+    packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
+    out[of[cuts]] = packed.view("<u8")[:, 0]
     return out
 
 
-def fingerprints(texts: list[bytes], width: int, lanes: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints (texts x lanes) and numbers of words of a list of texts."""
-    hashes, of, counts = shingles_of(texts, width)
-    return _majority(hashes, of, len(texts), lanes), counts
-
-
-def set_prints(
-    texts: list[bytes], width: int, lanes: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints, sizes and digests of the shingle sets of texts, repeats left out."""
-    hashes, of, _ = shingles_of(texts, width)
-    hashes, of = distinct_shingles(hashes, of)
-    prints, sizes = _majority(hashes, of, len(texts), lanes), np.bincount(of, minlength=len(texts))
-    whole = np.zeros(len(texts), np.uint64)
-    np.add.at(whole, of, _mix(hashes, lanes))
-    return prints, sizes, whole
-
-
-def shingle_sets(texts: list[bytes], width: int) -> list[bytes]:
-    """The sorted hashes of each text's shingles, 8 bytes each."""
-    hashes, of, _ = shingles_of(texts, width)
-    hashes, of = distinct_shingles(hashes, of)
-    ends = np.searchsorted(of, np.arange(len(texts)), "right").tolist()
-    return [hashes[a:b].tobytes() for a, b in zip([0, *ends], ends)]
-
-
-def _fingerprint_batches(width: int, lanes: int, sets: bool):
+def _fingerprint_batches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
-                prints, words, *whole = (set_prints if sets else fingerprints)(texts, width, lanes)
                 yield pa.record_batch(
-                    [part.column("id"), part.column("mark"), pa.array(words, pa.int64())]
-                    + [pa.array(prints[:, i].view(np.int64)) for i in range(lanes)]
-                    + [pa.array(w.view(np.int64)) for w in whole],
-                    names=["id", "mark", "words", *lane_names(lanes), *["whole"] * sets],
-                )
+                    [part.column("id"), part.column("mark"),
+                     pa.array(fingerprints(texts, width).view(np.int64))],
+                    names=["id", "mark", "f0"])
 
     return run
 
 
-def _set_batches(width: int):
-    """Replace the last column, a text, by its shingles."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
-                yield pa.record_batch(
-                    [*part.columns[:-1], pa.array(shingle_sets(texts, width), pa.binary())],
-                    names=[*part.schema.names[:-1], "shingles"],
-                )
-
-    return run
-
-
-def lane_names(lanes: int) -> list[str]:
-    return [f"f{i}" for i in range(lanes)]
-
-
 def text_mark(text: str) -> Column:
     """Tells apart rows that share an id but not a text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def marked_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(
+def fingerprint_table(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Columns id, mark and f0 (the fingerprint) of every row."""
+    ship(df.sparkSession)
+    rows = df.select(
         F.col(id_col).cast("bigint").alias("id"), text_mark(text_col).alias("mark"),
         F.col(text_col).cast("string").alias("text"),
     )
-
-
-def fingerprint_table(
-    df: DataFrame, id_col: str, text_col: str, width: int, lanes: int, sets: bool = False
-) -> DataFrame:
-    """Columns id, mark, words and f0, f1, … of every row.
-
-    With ``sets`` they are of the shingle set: words is its size, and whole its digest.
-    """
-    ship(df.sparkSession)
-    fields = "".join(f", {n} bigint" for n in [*lane_names(lanes), *["whole"] * sets])
-    return marked_texts(df, id_col, text_col).mapInArrow(
-        _fingerprint_batches(width, lanes, sets), "id bigint, mark bigint, words bigint" + fields)
+    return rows.mapInArrow(_fingerprint_batches(width), "id bigint, mark bigint, f0 bigint")
 
 
 # --- Links --------------------------------------------------------------------
 
 
 class Links:
-    """Spanning forest of the links found so far in one unit.
+    """Spanning forest of the links found so far in one unit."""
 
-    With ``confirm`` the rows given are candidates, and a link is what it agrees to.
-    """
-
-    def __init__(self, size: int, confirm: Callable[[int, int], bool] | None = None):
+    def __init__(self, size: int):
         self.label = np.arange(size)
         self.edges: list[tuple[int, int]] = []
-        self.confirm = confirm
 
     def add(self, i: int, others: np.ndarray) -> None:
         labels = self.label[others]
         fresh = labels != self.label[i]
         if not fresh.any():
             return
-        if self.confirm:
-            for j in others[fresh].tolist():
-                if self.label[j] != self.label[i] and self.confirm(i, j):
-                    self.edges.append((i, j))
-                    old, new = sorted((self.label[i], self.label[j]), reverse=True)
-                    self.label[self.label == old] = new
-            return
         found, where = np.unique(labels[fresh], return_index=True)
         self.edges.extend((i, int(j)) for j in others[fresh][where])
         merged = np.append(found, self.label[i])
         self.label[np.isin(self.label, merged)] = merged.min()
 
 
-class Rule:
-    """When two rows are linked.
-
-    The first lane may differ in ``radius`` bits, the first two in ``pair`` and all lanes
-    in ``total``; the smaller text has at least ``ratio`` times the size of the larger one.
-    """
-
-    def __init__(self, radius: int, total: int, ratio: float, pair: int | None = None):
-        self.radius, self.total, self.ratio, self.pair = radius, total, ratio, pair
-
-    def holds(self, prints: np.ndarray, words: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether the rows i and j, near in the first lane, are linked."""
-        bits = np.zeros(len(i), np.int64)
-        for lane in range(prints.shape[1]):
-            bits += np.bitwise_count(prints[i, lane] ^ prints[j, lane])
-        small, large = np.minimum(words[i], words[j]), np.maximum(words[i], words[j])
-        return (bits <= self.total) & (small >= self.ratio * large)
-
-
-def compare(prints: np.ndarray, words: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool,
-            rule: Rule, links: Links) -> None:
+def compare(
+    prints: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, radius: int, links: Links
+) -> None:
     """Link the rows ``left`` with the rows ``right``, tile by tile."""
-    weight = np.bitwise_count(prints[:, 0]).astype(np.int64)
+    weight = np.bitwise_count(prints).astype(np.int64)
     left = left[np.argsort(weight[left], kind="stable")]
     right = left if same else right[np.argsort(weight[right], kind="stable")]
     for a in range(0, len(left), TILE):
         rows = left[a:a + TILE]
         for b in range(a if same else 0, len(right), 2 * TILE):
             columns = right[b:b + 2 * TILE]
-            if weight[columns[0]] - weight[rows[-1]] > rule.radius:
+            if weight[columns[0]] - weight[rows[-1]] > radius:
                 break
-            if weight[rows[0]] - weight[columns[-1]] > rule.radius:
+            if weight[rows[0]] - weight[columns[-1]] > radius:
                 continue
-            bits = np.bitwise_count(prints[rows, 0][:, None] ^ prints[columns, 0][None, :])
-            near = bits <= rule.radius
-            if rule.pair is not None:
-                bits += np.bitwise_count(prints[rows, 1][:, None] ^ prints[columns, 1][None, :])
-                near &= bits <= rule.pair
+            near = np.bitwise_count(prints[rows][:, None] ^ prints[columns][None, :]) <= radius
             if not near.any():
                 continue
             # Rows that are connected already need not be looked at again.
             near &= links.label[rows][:, None] != links.label[columns][None, :]
-            if prints.shape[1] > 1 or rule.ratio > 0:
-                i, j = np.nonzero(near)
-                far = ~rule.holds(prints, words, rows[i], columns[j])
-                near[i[far], j[far]] = False
             for i in np.flatnonzero(near.any(axis=1)):
                 links.add(int(rows[i]), columns[near[i]])
 
 
-def jaccard_of(sets: list[np.ndarray], similarity: float) -> Callable[[int, int], bool]:
-    """Whether two of the sets, sorted and without repeats, are as similar as that."""
-    least = Fraction(str(similarity))
-
-    def confirm(i: int, j: int) -> bool:
-        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        either = len(sets[i]) + len(sets[j]) - both
-        return both * least.denominator >= either * least.numerator
-
-    return confirm
-
-
-def _unit_links(nodes, prints, words, home, block, rule: Rule, confirm=None) -> list[tuple[int, int]]:
+def _unit_links(nodes, prints, block, radius: int) -> list[tuple[int, int]]:
     """Links of one unit: a cell, or two blocks of a large one."""
-    links = Links(len(nodes), confirm)
+    links = Links(len(nodes))
     sides = [np.flatnonzero(block == b) for b in np.unique(block)]
-    # The rows of a cell's neighbour are visitors: they are compared with its own rows
-    # only, as they meet each other at home.
-    at_home = [s[home[s]] for s in sides]
-    visiting = [s[~home[s]] for s in sides]
-    if len(sides) == 1:
-        compare(prints, words, at_home[0], at_home[0], True, rule, links)
-        compare(prints, words, at_home[0], visiting[0], False, rule, links)
-    else:
-        compare(prints, words, at_home[0], at_home[1], False, rule, links)
-        compare(prints, words, at_home[0], visiting[1], False, rule, links)
-        compare(prints, words, at_home[1], visiting[0], False, rule, links)
+    compare(prints, sides[0], sides[-1], len(sides) == 1, radius, links)
     return [(int(nodes[i]), int(nodes[j])) for i, j in links.edges]
 
 
-def _small_links(
-    unit, nodes, prints, words, home, rule: Rule, confirm=None
-) -> tuple[np.ndarray, np.ndarray]:
+def _small_links(unit, nodes, prints, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within small units, all units of a batch together."""
     a, b, step = [], [], 1
     while len(unit) > step and len(same := np.flatnonzero(unit[step:] == unit[:-step])):
-        bits = np.bitwise_count(prints[same, 0] ^ prints[same + step, 0])
-        hit = same[(bits <= rule.radius) & (home[same] | home[same + step])]
-        hit = hit[rule.holds(prints, words, hit, hit + step)]
-        if confirm:
-            hit = np.array([i for i in hit.tolist() if confirm(i, i + step)], np.int64)
+        hit = same[np.bitwise_count(prints[same] ^ prints[same + step]) <= radius]
         a.append(nodes[hit])
         b.append(nodes[hit + step])
         step += 1
@@ -320,20 +166,8 @@ def _small_links(
     return np.concatenate(a or empty), np.concatenate(b or empty)
 
 
-SMALL = 16
-
-
-def _link_batches(rule: Rule, lanes: int, similarity: float | None = None):
-    """Compare units that arrive sorted, of which only the last may be unfinished.
-
-    With ``similarity`` the rows have their shingles, which decide.
-    """
-
-    def judge(rows: pa.Table, which) -> Callable[[int, int], bool] | None:
-        if similarity is None:
-            return None
-        some = rows.column("shingles").take(pa.array(which))
-        return jaccard_of([np.frombuffer(x.as_buffer(), np.uint64) for x in some], similarity)
+def _link_batches(radius: int):
+    """Compare units that arrive sorted, of which only the last may be unfinished."""
 
     def finish(rows: pa.Table) -> pa.RecordBatch:
         get = lambda name: rows.column(name).to_numpy()
@@ -342,21 +176,16 @@ def _link_batches(rule: Rule, lanes: int, similarity: float | None = None):
             ([True], (cell[1:] != cell[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
         unit = np.cumsum(new) - 1
         size = np.bincount(unit)
-        nodes, block, home, words = get("node"), get("block"), get("home"), get("words")
-        prints = np.stack([get(n) for n in lane_names(lanes)], axis=1).view(np.uint64)
+        nodes, block, prints = get("node"), get("block"), get("f0").view(np.uint64)
         small = (size[unit] <= SMALL) & (lo == hi)
-        a, b = _small_links(
-            unit[small], nodes[small], prints[small], words[small], home[small], rule,
-            judge(rows, np.flatnonzero(small)))
+        a, b = _small_links(unit[small], nodes[small], prints[small], radius)
         edges = []
         first = np.flatnonzero(new)
         for u in np.flatnonzero(~small[first]):
             part = slice(first[u], first[u] + size[u])
             if lo[first[u]] != hi[first[u]] and len(np.unique(block[part])) < 2:
                 continue
-            edges += _unit_links(
-                nodes[part], prints[part], words[part], home[part], block[part], rule,
-                judge(rows, np.arange(part.start, part.stop)))
+            edges += _unit_links(nodes[part], prints[part], block[part], radius)
         more = np.array(edges, np.int64).reshape(-1, 2)
         return pa.record_batch(
             [pa.array(np.concatenate((a, more[:, 0]))), pa.array(np.concatenate((b, more[:, 1])))],
@@ -388,87 +217,47 @@ def _link_batches(rule: Rule, lanes: int, similarity: float | None = None):
 
 
 def segment_cells(radius: int) -> Column:
-    """Array of (cell, home): a value of each of radius + 1 segments of f0."""
+    """Array of cells: a value of each of radius + 1 segments of f0."""
     cuts = [64 * i // (radius + 1) for i in range(radius + 2)]
     cells = []
     for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
         mask = (1 << (high - low)) - 1 if high - low < 64 else -1
         value = F.shiftrightunsigned(F.col("f0"), low).bitwiseAND(F.lit(mask))
-        cells.append(F.struct((value * (radius + 1) + i).alias("cell"), F.lit(True).alias("home")))
+        cells.append(value * (radius + 1) + i)
     return F.array(*cells)
 
 
-def size_cells(similarity: float) -> Column:
-    """Array of (cell, home): the band of set sizes a text is in, and the next one.
-
-    Two sizes within a factor of 1 / similarity are in the same band or in adjacent
-    ones.
-    """
-    step = -math.log(similarity) * (1 + 1e-9)  # rounding may not put two bands between
-    band = F.floor(F.log(F.greatest("words", F.lit(1)).cast("double")) / step)
-    return F.array(
-        F.struct(band.alias("cell"), F.lit(True).alias("home")),
-        F.struct((band + 1).alias("cell"), F.lit(False).alias("home")),
-    )
-
-
-def find_links(
-    prints: DataFrame, cells: Column, rule: Rule, lanes: int, block: int
-) -> DataFrame:
-    """Links a, b between the nodes of ``prints`` (node, words, f0, …)."""
-    fields = ["node", "words", *lane_names(lanes)]
-    rows = prints.select(*fields, F.explode(cells).alias("c")).select(*fields, "c.cell", "c.home")
-    sizes = rows.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("home").alias("own"))
-    sizes = stored(sizes.where("n > 1 and own > 0").select("cell", "n"), "cells")
-    dealt = rows.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    return _units(dealt, fields).mapInArrow(_link_batches(rule, lanes), "a bigint, b bigint")
-
-
-def _units(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of cells cut into ``blocks``, once for each pair of blocks they are in, sorted."""
+def find_links(prints: DataFrame, radius: int) -> DataFrame:
+    """Links a, b between the nodes of ``prints`` (node, f0)."""
+    rows = prints.select("node", "f0", F.explode(segment_cells(radius)).alias("cell"))
+    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(sizes.where("n > 1"), "cells")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     keys = ["cell", "lo", "hi"]
     return (
-        rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows.join(sizes, "cell").withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-            "block", "home", *fields,
+            "block", "node", "f0",
         )
         .repartition(*keys).sortWithinPartitions(*keys)
+        .mapInArrow(_link_batches(radius), "a bigint, b bigint")
     )
 
 
-def confirmed_links(
-    df: DataFrame, id_col: str, text_col: str, prints: DataFrame, near: DataFrame, width: int,
-    rule: Rule, lanes: int, similarity: float,
+def near_groups(
+    df: DataFrame, id_col: str, text_col: str, width: int = 3, radius: int = 2
 ) -> DataFrame:
-    """Links a, b of the similarity among the candidates, whose components are ``near``."""
-    fields = ["node", "words", *lane_names(lanes)]
-    some = stored(
-        prints.join(near, "node").select(
-            *fields, F.col("root").alias("cell"), F.col("sample.id").alias("sample_id"),
-            F.col("sample.mark").alias("sample_mark")),
-        "candidates",
+    """Columns id, mark, f0, component: the smallest id of each row's group."""
+    rows = stored(fingerprint_table(df, id_col, text_col, width), "fingerprints")
+    prints = stored(
+        rows.groupBy("f0").agg(F.min("id").alias("least"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "distinct",
     )
-    # At most one cell for each VOLUME shingles.
-    large = some.groupBy("cell").agg(F.sum("words").alias("n")).where(F.col("n") > VOLUME)
-    wanted = some.join(F.broadcast(large), "cell", "left").withColumn(
-        "blocks", F.coalesce(F.ceil(F.col("n") / VOLUME), F.lit(1)).cast("int"))
-    if some.count() <= BROADCAST:
-        wanted = F.broadcast(wanted)
-    here = F.col("id").eqNullSafe(F.col("sample_id")) & (F.col("mark") == F.col("sample_mark"))
-    sets = marked_texts(df, id_col, text_col).join(wanted, here).select(
-        "cell", "blocks", F.lit(True).alias("home"), *fields, "text")
-    kinds = "".join(f", {n} bigint" for n in fields)
-    rows = sets.mapInArrow(
-        _set_batches(width), f"cell bigint, blocks int, home boolean{kinds}, shingles binary")
-    return _units(rows, [*fields, "shingles"]).mapInArrow(
-        _link_batches(rule, lanes, similarity), "a bigint, b bigint")
-
-
-def _labelled(rows: DataFrame, prints: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with component, the smallest id of the group of their node."""
+    found = components(find_links(prints, radius), "a", "b")
     rooted = prints.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = rooted.where(F.col("root") != F.col("node"))
     smallest = linked.select("root", "least").unionByName(
@@ -477,64 +266,21 @@ def _labelled(rows: DataFrame, prints: DataFrame, found: DataFrame, keys: list[s
     ).groupBy("root").agg(F.min("least").alias("component"))
     labelled = stored(
         rooted.join(smallest, "root", "left")
-        .select(*keys, F.coalesce("component", "least").alias("component")),
+        .select("f0", F.coalesce("component", "least").alias("component")),
         "labelled",
     )
-    return rows.join(labelled, keys)
-
-
-def near_groups(
-    df: DataFrame, id_col: str, text_col: str, width: int = 3, radius: int = 2, lanes: int = 1
-) -> DataFrame:
-    """Columns id, mark, f0, …, component: the smallest id of each row's group."""
-    names = lane_names(lanes)
-    rows = stored(fingerprint_table(df, id_col, text_col, width, lanes), "fingerprints")
-    prints = stored(
-        rows.groupBy(*names).agg(F.min("id").alias("least"), F.max("words").alias("words"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "distinct",
-    )
-    links = find_links(prints, segment_cells(radius), Rule(radius, radius, 0.0), lanes, BLOCK)
-    found = components(links, "a", "b")
-    return _labelled(rows, prints, found, names).select("id", "mark", *names, "component")
-
-
-def similar_groups(
-    df: DataFrame, id_col: str, text_col: str, width: int, similarity: float, radius: int,
-    pair: int, total: int, lanes: int,
-) -> DataFrame:
-    """Columns id, mark, component: groups linked by texts of that similarity."""
-    rows = stored(fingerprint_table(df, id_col, text_col, width, lanes, True), "fingerprints")
-    keys = [*lane_names(lanes), "words", "whole"]
-    prints = stored(
-        rows.groupBy(*keys).agg(
-            F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("sample"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "distinct",
-    )
-    rule = Rule(radius, total, similarity * (1 - 1e-9), pair)
-    near = components(
-        find_links(prints, size_cells(similarity), rule, lanes, BAND_BLOCK), "a", "b")
-    links = confirmed_links(
-        df, id_col, text_col, prints, near, width, rule, lanes, similarity)
-    found = components(links, "a", "b")
-    return _labelled(rows, prints, found, keys).select("id", "mark", "component")
+    return rows.join(labelled, "f0").select("id", "mark", "f0", "component")
 
 
 def near_dedup(
-    df: DataFrame, id_col: str, text_col: str, width: int = 5, similarity: float = 0.8,
-    radius: int = 28, pair: int = 47, total: int = 80, lanes: int = 4,
+    df: DataFrame, id_col: str, text_col: str, width: int = 3, radius: int = 2
 ) -> DataFrame:
-    """The rows of ``df`` that stay: of each group the one with the smallest id.
+    """The rows of ``df`` that stay: of each group of :func:`near_groups` the smallest id.
 
-    Two texts are linked if the Jaccard similarity of their shingle sets is at least
-    ``similarity``. The radii are for candidates only and for 0.8: a bit differs with a
-    probability of 0.15, or 0.19 between sets of four and five shingles, the worst case.
-    There 48 of 256 bits are expected to differ, and the radii take in five deviations in
-    one lane, two and all. Rows without an id stay.
+    Rows without an id stay. A row that is there several times, with one id and text, is
+    one document; such rows stay or go together, and so do near texts of one id.
     """
-    groups = similar_groups(
-        df, id_col, text_col, width, similarity, radius, pair, total, lanes)
+    groups = near_groups(df, id_col, text_col, width, radius)
     mark, gone_id, gone_mark = (unused(df, c) for c in ("_mark", "_gone_id", "_gone_mark"))
     gone = groups.where(F.col("id") > F.col("component")).select(
         F.col("id").alias(gone_id), F.col("mark").alias(gone_mark)).distinct()

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wardflow.llm.common import pieces, ship
+from wardflow.llm.common import pieces, ship, stored
 from wardflow.llm.tokens import encoder, share, strings
 
 RANGE = 1024
@@ -48,8 +48,12 @@ def histogram(lengths: DataFrame) -> DataFrame:
     length or longer), docs_total, tokens_total, truncated_total (tokens left when all
     documents are cut at this length) and quantile (share of documents up to it).
     """
-    counts = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")).withColumn(
-        "span", F.floor(F.col("length") / RANGE))
+    # Read twice below, and encoding must not run twice: one short row per length that occurs.
+    counts = stored(
+        lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")).withColumn(
+            "span", F.floor(F.col("length") / RANGE)),
+        "lengths",
+    )
     tokens = F.col("docs") * F.col("length")
     spans = counts.groupBy("span").agg(
         F.sum("docs").alias("span_docs"), F.sum(tokens).alias("span_tokens"))
