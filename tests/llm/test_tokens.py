@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tests.conftest import plan_text
 from wardflow.llm import bpe, joins, packing, token_counts
 from wardflow.llm.tokens import Encoder
 
@@ -46,8 +47,20 @@ def test_special_tokens_in_another_case_are_text(path):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_ids_of_many_new_chunks_equal_the_library(path):
+    library, own = Tokenizer.from_file(path), Encoder(open(path).read())
+    rng = random.Random(8)
+    letters = "aeZÉß漢́1!.,'’\t\x1c\x85\u00a0\u3000\u1100\u1161\u0345Σ😀" + "st"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(300)) for _ in range(60)]
+    texts += [t.replace(" ", "\n") for t in texts[:20]]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_tree_of_halves_equals_the_whole():
     own = Encoder(open(BYTE).read())
+    assert joins.encode_long("", own.model) == []
     rng = random.Random(3)
     for letters in ("ab", "etaoin", "a", "!?-=", "0123"):
         text = "".join(rng.choices(letters, k=1500))
@@ -91,6 +104,7 @@ def test_histogram_answers_every_limit(frame, monkeypatch):
         assert tuple(token_counts.at_limit(found, limit).first()) == (
             (sizes > limit).sum(), np.minimum(sizes, limit).sum(), sizes.sum())
     assert token_counts.quantile(found, 0.5).first()[0] == np.sort(sizes)[-(-len(sizes) // 2) - 1]
+    assert "MapInArrow" not in plan_text(found)  # encoded once, when the counts were stored
     empty = token_counts.histogram(token_counts.encoded_lengths(frame([], SCHEMA), "text", BYTE))
     assert empty.count() == 0
 

@@ -38,7 +38,9 @@ def join(left: list[Token], right: list[Token], encode: Encode) -> list[Token]:
 
 
 def encode_long(symbols: str, encode: Encode, leaf: int = LEAF) -> list[Token]:
-    """Encoding of a long piece; ``encode`` takes a short one."""
+    """Encoding of a long piece; ``encode`` takes a short one. An empty piece has no tokens."""
+    if not symbols:
+        return []
     leaves = [symbols[i:i + leaf] for i in range(0, len(symbols), leaf)]
     with ThreadPoolExecutor(WORKERS) as pool:
         level = list(pool.map(encode, leaves))

@@ -2,8 +2,10 @@
 
 A text is cut where the tokenizer never joins, and each distinct chunk is encoded
 once per worker: chunks come back from a bounded table, so most words cost one
-lookup. New chunks go to the library's own batch call; of chunks above ``LONG``
-characters each piece above ``LONG`` symbols goes through ``joins.encode_long``.
+lookup. New chunks are normalised and split into pieces by the library as one text, and
+each new piece goes to its model; chunks where that could differ go to its batch call.
+Of chunks above ``LONG`` characters each piece above ``LONG`` symbols goes through
+``joins.encode_long``.
 Nothing is trained here.
 
 Cuts are at a space or line feed. Where white space is kept (byte-level BPE) it must
@@ -27,8 +29,11 @@ from tokenizers import Tokenizer
 
 from wardflow.llm.joins import LONG, encode_long
 
-# About 150 MB per worker when full.
+# About 150 MB per worker when full; pieces share most of their ids with the chunks.
 CHUNKS = 800_000
+PIECES = 200_000
+# Chunks that are split into pieces as one text.
+RUN = 4096
 CLOSE = re.compile(r"\s\s|\A\s|\s\Z")
 LATIN = re.compile(r"[\x00-\xff]*")
 MARKS = frozenset(".,;:!?")
@@ -53,11 +58,13 @@ class Encoder:
         self.special_tokens = special
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def fresh(self) -> None:
         """Begin a task: a full table is emptied, so that it follows the data."""
         if len(self.chunks) >= CHUNKS:
             self.chunks.clear()
+            self.pieces.clear()
 
     def model(self, symbols: str) -> list[tuple[int, str]]:
         return [(t.id, t.value) for t in self.library.model.tokenize(symbols)]
@@ -96,18 +103,71 @@ class Encoder:
         return [first, *[p if p[0] == "\n" else " " + p for p in rest]]
 
     def library_ids(self, chunks: list[str]) -> dict[str, bytes]:
-        found = {}
-        short = [c for c in chunks if len(c) <= LONG]
-        for at in range(0, len(short), 4096):
-            some = short[at:at + 4096]
-            encodings = self.library.encode_batch_fast(some, add_special_tokens=False)
-            for chunk, encoding in zip(some, encodings):
-                found[chunk] = array("I", encoding.ids).tobytes()
+        found, runs, alone = {}, [], []
         for chunk in chunks:
             if len(chunk) > LONG:
                 found[chunk] = array("I", self.long_chunk(chunk)).tobytes()
+            elif self.joinable(chunk):
+                runs.append(chunk)
+            else:
+                alone.append(chunk)
+        for at in range(0, len(runs), RUN):
+            self.add_run(runs[at:at + RUN], alone, found)
+        for at in range(0, len(alone), 4096):
+            some = alone[at:at + 4096]
+            encodings = self.library.encode_batch_fast(some, add_special_tokens=False)
+            for chunk, encoding in zip(some, encodings):
+                found[chunk] = array("I", encoding.ids).tobytes()
         return found
 
+    def joinable(self, chunk: str) -> bool:
+        """Whether a chunk's pieces are the same when it stands among others in one text."""
+        if not chunk or self.special.search(chunk):
+            return False
+        if not self.keeps_space:
+            return len(chunk.split()) == 1 and not (chunk[0].isspace() or chunk[-1].isspace())
+        inner = chunk[1:] if chunk[0] in " \n" else chunk
+        return bool(inner) and not (inner[0].isspace() or inner[-1].isspace())
+
+    def add_run(self, chunks: list[str], alone: list[str], found: dict[str, bytes]) -> None:
+        """Ids of chunks that are split into pieces as one text, so each piece costs one call.
+
+        Where white space is kept, a line feed parts chunks that begin with a letter: between
+        two letters it is a piece of its own, which is left out. Should normalising change
+        the number of chunks, they go to the library one by one.
+        """
+        if self.keeps_space:
+            parts = [c if c[0] in " \n" else "\n" + c for c in chunks]
+            skip = [p is not c for p, c in zip(parts, chunks)]
+            text = "".join(parts)
+        else:
+            text = " ".join(chunks)
+            if self.library.normalizer is not None:
+                text = self.library.normalizer.normalize_str(text)
+            parts = [p + " " for p in text.split(" ")]
+            skip = [False] * len(parts)
+            if len(parts) != len(chunks):
+                alone += chunks
+                return
+        starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1]))
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(text)
+        places = np.array([a for _, (a, _) in pieces])
+        owners = (np.searchsorted(starts, places, "right") - 1).tolist()
+        first = (places == starts[owners]).tolist()
+        out: list[list[bytes]] = [[] for _ in chunks]
+        known, model = self.pieces, self.library.model
+        for (symbols, _), owner, begins in zip(pieces, owners, first):
+            if begins and skip[owner]:
+                continue
+            ids = known.get(symbols)
+            if ids is None:
+                ids = array("I", [t.id for t in model.tokenize(symbols)]).tobytes()
+                if len(known) < PIECES:
+                    known[symbols] = ids
+            out[owner].append(ids)
+        for chunk, ids in zip(chunks, out):
+            found[chunk] = ids[0] if len(ids) == 1 else b"".join(ids)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts, as the library's encode without special tokens added."""
         known = self.chunks
