@@ -18,15 +18,23 @@ A task holds one block of queries and one range, both of fixed size; the head is
 broadcast, and its size is fixed too. Rotated sums are floats and only ever used
 with a margin for their rounding; scores are integers throughout.
 
-Defined results: vectors that are null, empty, of another dimension than most, or
-hold a component that is null, not finite or at least 2 ** 20 take no part. Candidates are all rows whose id
-differs from the query's; repeated rows are candidates each, and repeated query
-rows are answered each. Rows without an id take no part. Ties go to the smaller id.
+Vectors of each dimension are searched by themselves. Those of squared length below
+``PLAIN`` have scores of 64 bits with each other (Cauchy-Schwarz). Scores with a longer
+vector are taken from Python's integers, such queries and candidates meeting in blocks.
+
+Defined results: vectors that are null, empty, or hold a component that is null or not
+finite take no part. Vectors of different dimensions have no score with each other. A
+score beyond 64 bits is shown as the nearest number of 64 bits but ranked as what it is.
+Candidates are all rows whose id differs from the query's; repeated rows are candidates
+each, and repeated query rows are answered each. Rows without an id take no part. Ties
+go to the smaller id.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +49,29 @@ QUERY_ROWS = 1024
 TILE = 1024
 STEPS = (0.25, 0.5)
 EMPTY_SCORE = -(1 << 62)
+PLAIN = float(1 << 61)
+LONG_QUERIES, LONG_ROWS = 64, 4096
+# Twice the bits of a double's largest whole part, and room for the scale and the sum.
+KEY_BYTES = 288
 
 
 def scaled(vector: str, scale: int) -> Column:
     """floor(scale * x) of each component, as whole numbers."""
-    return F.transform(
-        F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))
+    return F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x).cast("bigint"))
+
+
+def squared(vector: str, scale: int) -> Column:
+    """Squared length of a scaled vector, rounded; infinite if it is beyond all numbers."""
+    return F.aggregate(
+        F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x).cast("double")),
+        F.lit(0.0), lambda a, v: a + v * v)
 
 
 def usable(vector: str) -> Column:
-    """No component is null or not finite, and no product can leave 64 bits."""
+    """No component is null or not finite."""
     return F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(
         F.col(vector),
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float(1 << 20))),
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(math.inf)),
     )
 
 
@@ -203,22 +221,116 @@ def top_k(
     """Columns query_id, rank, vec_id, score: the k best of every query."""
     spark = df.sparkSession
     ship(spark)
-    context = spark.sparkContext
     rows = df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), scaled(vector_col, scale).alias("x"),
-        is_query.alias("query"),
+        F.col(id_col).cast("bigint").alias("id"),
+        F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("query"),
     )
-    common = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.col("count").desc(), "n").first()
-    empty = "query_id bigint, rank int, vec_id bigint, score bigint"
-    if common is None:
-        return spark.createDataFrame([], empty)
-    squared = F.aggregate("x", F.lit(0).cast("bigint"), lambda a, v: a + v * v)
+    # Components of 2^55 and more saturate here, far above the limit.
     vectors = stored(
-        rows.where(F.size("x") == common["n"]).withColumn("length", squared)
+        rows.withColumn("size", F.size("v"))
+        .withColumn("plain", squared("v", scale) < PLAIN)
         .withColumn("row", F.monotonically_increasing_id()),
         "vectors",
     )
-    turn = context.broadcast(rotation(vectors, common["n"]))
+    # One row per dimension that occurs, and one more for those with long vectors.
+    sizes = vectors.groupBy("size", "plain").agg(F.count_if("query").alias("asked")).collect()
+    found = spark.createDataFrame([], f"q bigint, query_id bigint, score bigint, vec_id bigint, {BEYOND}")
+    for size, plain, asked in sorted(map(tuple, sizes)):
+        same = vectors.where(F.col("size") == size)
+        if not plain:
+            found = found.unionByName(among_long(same, k, scale))
+        elif asked:
+            best = among_plain(same.where("plain"), size, k, scale)
+            found = found.unionByName(best, allowMissingColumns=True)
+    order = Window.partitionBy("q").orderBy(
+        F.coalesce("beyond", F.lit(0)).desc(), F.col("score").desc(), F.col("key").desc(), "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(order).cast("int"))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+# Sign of a score that 64 bits cannot hold, and its value as bytes in the order of numbers.
+BEYOND = "beyond int, key binary"
+
+
+def whole(vector: list[float], scale: int) -> list[int]:
+    """floor(scale * x) of each component, the product rounded as a double where it is one."""
+    products = [scale * x for x in vector]
+    return [math.floor(p if math.isfinite(p) else Fraction(x) * scale)
+            for p, x in zip(products, vector)]
+
+
+def _long_pair(k: int, scale: int):
+    """One block of queries against one of candidates, in Python's integers."""
+
+    def run(_key, left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+        names = ["q", "query_id", "vec_id", "score", "beyond", "key"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        queries = [whole(v, scale) for v in left.column("v").to_pylist()]
+        others = [whole(v, scale) for v in right.column("other_v").to_pylist()]
+        ids, either = right.column("other").to_pylist(), right.column("other_plain").to_pylist()
+        out = []
+        for q, own, plain, x in zip(
+            left.column("q").to_pylist(), left.column("id").to_pylist(),
+            left.column("plain").to_pylist(), queries,
+        ):
+            scores = [
+                (-sum(map(int.__mul__, x, y)), i) for y, i, p in zip(others, ids, either)
+                if i != own and not (plain and p)
+            ]
+            for score, i in sorted(scores)[:k]:
+                out.append((q, own, i, *shown(-score)))
+        columns = list(zip(*out)) or [()] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    return run
+
+
+def shown(score: int) -> tuple[int, int, bytes | None]:
+    """A score as 64 bits, the side on which it is beyond them, and then its sorted bytes."""
+    near = max(-(1 << 63), min((1 << 63) - 1, score))
+    if near == score:
+        return score, 0, None
+    shifted = score + (1 << (8 * KEY_BYTES - 1))
+    return near, 1 if score > 0 else -1, shifted.to_bytes(KEY_BYTES, "big")
+
+
+def among_long(vectors: DataFrame, k: int, scale: int) -> DataFrame:
+    """The k best scores of which the query or the candidate is a long vector."""
+    parts = []
+    for asked, others in (("query and not plain", "true"), ("query and plain", "not plain")):
+        queries = vectors.where(asked).select(F.col("row").alias("q"), "id", "plain", "v")
+        # Columns of their own names: both sides come from one table.
+        rows = vectors.where(others).select(
+            "row", F.col("id").alias("other"), F.col("plain").alias("other_plain"),
+            F.col("v").alias("other_v"))
+        number = [max(1, -(-n // size)) for n, size in (
+            (queries.count(), LONG_QUERIES), (rows.count(), LONG_ROWS))]
+        every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in number]
+        own = [F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in zip(("q", "row"), number)]
+        left = queries.withColumn("block", own[0]).withColumn("part", every[1])
+        right = rows.withColumn("part", own[1]).withColumn("block", every[0])
+        parts.append(
+            left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(
+                _long_pair(k, scale),
+                f"q bigint, query_id bigint, vec_id bigint, score bigint, {BEYOND}"))
+    return parts[0].unionByName(parts[1])
+
+
+def among_plain(plain: DataFrame, size: int, k: int, scale: int) -> DataFrame:
+    """Columns q, query_id, score, vec_id: the k best among vectors of one dimension, or more."""
+    spark = plain.sparkSession
+    context = spark.sparkContext
+    length = F.aggregate("x", F.lit(0).cast("bigint"), lambda a, v: a + v * v)
+    vectors = stored(
+        plain.select("id", "row", "query", scaled("v", scale).alias("x")).withColumn("length", length),
+        "plain",
+    )
+    turn = context.broadcast(rotation(vectors, size))
     by_length = [F.col("length").desc(), F.col("row")]
     head = vectors.orderBy(*by_length).limit(HEAD).select("id", "x", "length", "row").toArrow()
     shared = context.broadcast((head.column("id").to_numpy(), matrix(head.column("x"))))
@@ -268,10 +380,4 @@ def top_k(
         "q", F.col("id").alias("query_id"), F.col("s.scores").alias("score"),
         F.col("s.ids").alias("vec_id"),
     ).where(F.col("score") != EMPTY_SCORE)
-    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        first.unionByName(found)
-        .withColumn("rank", F.row_number().over(order).cast("int"))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return first.unionByName(found)
