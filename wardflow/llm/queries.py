@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from wardflow.llm import (
-    bpe, exact_dedup, packing, quality, secrets, simhash, substring,
+    bpe, exact_dedup, packing, quality, repair, secrets, simhash, substring,
     token_counts, topk, warc,
 )
 from wardflow.llm.common import table
@@ -125,6 +125,12 @@ def op10_bpe(spark, folder):
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_repair(spark, folder):
+    rows = repair.damage(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    return repair.repair_report(rows).withColumnRenamed("conv", "conv_id")
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
