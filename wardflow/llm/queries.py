@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from wardflow.llm import (
-    bpe, exact_dedup, packing, quality, repair, secrets, simhash, substring,
+    bpe, exact_dedup, packing, quality, repair, search, secrets, simhash, substring,
     token_counts, topk, warc,
 )
 from wardflow.llm.common import table
@@ -131,6 +131,46 @@ def op11_repair(spark, folder):
     return repair.repair_report(rows).withColumnRenamed("conv", "conv_id")
 
 
+@query
+def op12_search(spark, folder):
+    return search.ranked(
+        table(spark, folder, "documents"), "doc_id", "text",
+        table(spark, folder, "benchmark"), "item_id", "text")
+
+
+ORACLES["op12_search"] = r"""
+with words as (
+    select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+), counts as (
+    select doc_id, term, count(*) as tf from words group by all
+), sizes as (
+    select doc_id, sum(tf)::bigint as n from counts group by doc_id
+), totals as (
+    select count(*) as docs, sum(n)::bigint as length from sizes
+), asked as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+    from counts, totals where term in (select term from asked) group by term, docs
+), scored as (
+    select item_id, doc_id, sum(w * ((1000000000 * tf)
+        // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))))::bigint as score
+    from asked join weights using (term) join counts using (term) join sizes using (doc_id), totals
+    group by item_id, doc_id
+), ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as place
+    from scored where score > 0
+)
+select item_id, place::int as rank, doc_id, score from ranked where place <= 50
+"""
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
