@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from wardflow.llm import (
-    bpe, exact_dedup, packing, quality, repair, search, secrets, simhash, substring,
-    token_counts, topk, warc,
+    bpe, exact_dedup, extract, packing, quality, repair, search, secrets, simhash,
+    substring, token_counts, topk, warc,
 )
 from wardflow.llm.common import table
 from wardflow.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
@@ -171,6 +171,13 @@ select item_id, place::int as rank, doc_id, score from ranked where place <= 50
 """
 
 
+@query
+def op13_extract(spark, folder):
+    pages = table(spark, folder, "pages")
+    model = extract.fit(pages, "page_id", "html")
+    return extract.extract(pages, model, "page_id", "url", "html").withColumnRenamed("id", "page_id")
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
