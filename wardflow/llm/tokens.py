@@ -59,12 +59,15 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.marked: dict[str, bytes] = {}
+        self.shown = dict(enumerate(byte_alphabet()))
 
     def fresh(self) -> None:
         """Begin a task: a full table is emptied, so that it follows the data."""
         if len(self.chunks) >= CHUNKS:
             self.chunks.clear()
             self.pieces.clear()
+            self.marked.clear()
 
     def model(self, symbols: str) -> list[tuple[int, str]]:
         return [(t.id, t.value) for t in self.library.model.tokenize(symbols)]
@@ -104,9 +107,17 @@ class Encoder:
 
     def library_ids(self, chunks: list[str]) -> dict[str, bytes]:
         found, runs, alone = {}, [], []
+        keeps_space, model, shown = self.keeps_space, self.library.model, self.shown
         for chunk in chunks:
+            # Latin letters, here with the space before them, are one piece.
+            inner = chunk[1:] if keeps_space and chunk[:1] == " " else chunk
             if len(chunk) > LONG:
                 found[chunk] = array("I", self.long_chunk(chunk)).tobytes()
+            elif inner.isalpha() and (inner.isascii() or LATIN.fullmatch(inner)):
+                symbols = chunk if keeps_space else chunk.lower()
+                if keeps_space or not inner.isascii():
+                    symbols = symbols.encode().decode("latin-1").translate(shown)
+                found[chunk] = array("I", [t.id for t in model.tokenize(symbols)]).tobytes()
             elif self.joinable(chunk):
                 runs.append(chunk)
             else:
@@ -173,21 +184,32 @@ class Encoder:
         known = self.chunks
         cuts = [self.cut(t) for t in texts]
         found = [list(map(known.get, parts)) for parts in cuts]
-        missing = set()
+        missing, extra = set(), {}
         for parts, ids in zip(cuts, found):
             if None in ids:
                 missing.update([p for p, f in zip(parts, ids) if f is None])
         # A closing mark behind a letter is a piece of its own: only the rest is new.
-        marked = {p for p in missing if p[-1:] in MARKS and p[-2:-1] in LETTERS}
-        wanted = missing - marked
-        for part in marked:
-            wanted.update((part[:-1], part[-1]))
-        new = self.library_ids([p for p in wanted if p not in known])
-        extra = dict(new)
-        for part in marked:
-            core, mark = part[:-1], part[-1]
-            extra[part] = (known[core] if core in known else new[core]) + (
-                known[mark] if mark in known else new[mark])
+        wanted, marked, remembered = set(), [], self.marked
+        for part in missing:
+            ids = remembered.get(part)
+            if ids is not None:
+                extra[part] = ids
+            elif part[-1:] in MARKS and part[-2:-1] in LETTERS:
+                core = part[:-1]
+                marked.append((part, core, part[-1]))
+                if core not in known:
+                    wanted.add(core)
+                if part[-1] not in known:
+                    wanted.add(part[-1])
+            else:
+                wanted.add(part)
+        new = self.library_ids(list(wanted))
+        extra.update(new)
+        for part, core, mark in marked:
+            ids = (known.get(core) or new[core]) + (known.get(mark) or new[mark])
+            extra[part] = ids
+            if len(remembered) < PIECES:
+                remembered[part] = ids
         out = [
             b"".join(ids if None not in ids else
                      [extra[p] if f is None else f for p, f in zip(parts, ids)])
