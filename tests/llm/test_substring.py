@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -48,9 +49,10 @@ def corpus(seed, vocabulary, n=70):
 
 
 @pytest.mark.parametrize("vocabulary", [3, 40, 4000])
-@pytest.mark.parametrize("hot,limit", [(2000, 10**6), (2, 10**6), (2, 0)])
-def test_equals_brute_force(frame, monkeypatch, vocabulary, hot, limit):
+@pytest.mark.parametrize("hot,limit,busy", [(2000, 10**6, 10), (2, 10**6, 10**5), (2, 10**6, 3), (2, 0, 50)])
+def test_equals_brute_force(frame, monkeypatch, vocabulary, hot, limit, busy):
     monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "BUSY", busy)
     monkeypatch.setattr(substring, "BROADCAST_ANCHORS", limit)
     rows = corpus(vocabulary, vocabulary)
     got = substring.remove_repeats(frame(rows, SCHEMA), "doc_id", "text", with_text=True).collect()
@@ -72,5 +74,37 @@ def test_automaton_covers_what_occurs(references, words, least):
     assert set().union(*got) == expected and sum(map(len, got)) == len(expected)
 
 
+def test_windows_the_references_do_not_know_are_told():
+    """A window that only shares its hash with a busy one must go to a shard."""
+    words = [b"w%d" % x for x in range(16)]
+    passages = substring.passages_of([(5, 0, j, b" ".join(words[j:j + 13])) for j in range(4)])
+    assert passages == [(5, b" ".join(words))]
+    references = substring.References(np.zeros(0, np.int64), passages)
+    assert references.covers(words + [b"no"] * 3, 9) == ([(0, 16)], [4, 5, 6])
+    assert references.covers(words, 5) == ([], [])
+
+
+def test_every_state_knows_its_document():
+    rng = random.Random(3)
+    passages = [(n, b" ".join(rng.choices([b"a", b"b"], k=30))) for n in range(6)]
+    kept = []
+    seen = set()
+    for n, words in passages:  # every window once, by its first document
+        parts = words.split(b" ")
+        for j in range(len(parts) - 12):
+            key = tuple(parts[j:j + 13])
+            if key not in seen:
+                kept.append((n, 0, j, b" ".join(key)))
+            seen.add(key)
+    first = {}
+    for n, _, j, words in kept:
+        first[words] = n
+    references = substring.References(np.zeros(0, np.int64), substring.passages_of(kept))
+    for words, n in first.items():
+        parts = words.split(b" ")
+        assert references.covers(parts, n + 1) == ([(0, 13)], [])
+        assert references.covers(parts, n) == ([], [])
+
+
 def test_empty_table(frame):
     assert substring.remove_repeats(frame([], SCHEMA), "doc_id", "text").count() == 0

@@ -10,19 +10,23 @@ the corpus, so documents and shards are brought together instead:
    hash. Equal windows have equal anchors, and neighbouring windows mostly share one.
    Anchors that occur in two documents at least are the shared ones; no other window
    can repeat.
-2. The windows around each shared anchor, joined into one stretch of words, go to that
-   anchor's shard. Anchors in over ``HOT`` documents are split by whole windows, and the
-   documents of a window in over ``HOT`` places over ``SALTS`` shards that share its first
-   document.
-3. In a shard stretches arrive in the order of document ids. Each one is streamed
-   through the suffix automaton of the stretches of smaller ids; where its matching
-   statistic reaches ``WINDOW`` words, the matched words are covered. Then it is added to
-   the automaton itself, unless it is there already. Words are compared as they are:
-   hashes only decide who meets whom.
-4. Covers go back to their documents, which are read once more.
+2. Anchors in over ``HOT`` documents are hot. Their windows are counted, equal ones of a
+   batch together; those in over ``HOT`` places are busy. The documents that have
+   busy windows first are the references that all others meet: their passages of busy
+   windows are broadcast as one suffix automaton, at most ``BUSY`` windows, the most
+   frequent ones. Any other window is in few places, or in a share of 1 / ``BUSY`` at most.
+3. Documents are streamed. Busy windows go through the broadcast automaton: where its
+   matching statistic reaches ``WINDOW`` words of an earlier document, they are covered.
+   Other windows of hot anchors go to a shard each; the windows around each cold anchor,
+   joined into one stretch of words, go to that anchor's shard.
+4. In a shard stretches arrive in the order of document ids. Each one is streamed
+   through the suffix automaton of the stretches of smaller ids, and then added to it,
+   unless it is there already. Words are compared as they are: hashes only decide who
+   meets whom.
+5. Covers go back to their documents, which are read once more.
 
 Up to ``BROADCAST_ANCHORS`` shared anchors are sent to the readers as one sorted array;
-above that each document gets its own from a join. Both give the same stretches.
+above that each document gets its own from a join. Both give the same covers.
 
 Defined results: null text has no words. Rows without an id lose nothing and are no
 reference. Rows of equal id and text share their covers; an id with several texts
@@ -45,7 +49,7 @@ from wardflow.operators.attach import attach
 WINDOW = 13
 GRAM = 5
 HOT = 2000
-SALTS = 64
+BUSY = 100_000
 BROADCAST_ANCHORS = 4_000_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xBF58476D1CE4E5B9)
@@ -108,63 +112,141 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.record_batch([pa.array(anchors[new]), *columns], names=["anchor", *names])
 
 
-def _stretch_batches(shared, whole: bool):
-    """Stretches of windows with shared anchors, with the shard each goes to."""
+def among(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the sorted ones."""
+    if not len(sorted_values):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return sorted_values[at] == values
+
+
+class Wanted:
+    """Which anchors are shared: two sorted arrays, or lists beside each text."""
+
+    def __init__(self, sent):
+        self.cold, self.hot = sent.value if sent is not None else (None, None)
+
+    def find(self, part: pa.RecordBatch, owners: np.ndarray, anchors: np.ndarray, name: str) -> np.ndarray:
+        known = getattr(self, name)
+        if known is not None:
+            return among(known, anchors)
+        own = [set(row or ()) for row in part.column(name).to_pylist()]
+        return np.array([a in own[t] for t, a in zip(owners.tolist(), anchors.tolist())], bool)
+
+
+class Runs:
+    """Runs of windows with one anchor, in all texts of a batch."""
+
+    def __init__(self, part: pa.RecordBatch):
+        self.part = part
+        self.words, self.hashes = read_words(part)
+        starts, anchors, places = anchors_of(self.words, self.hashes)
+        new = runs(places) if len(starts) else starts
+        self.first, self.anchor = starts[new], anchors[new]
+        self.last = starts[np.concatenate((new[1:], [len(places)])) - 1] if len(starts) else starts
+        self.text = self.words.owner[self.first] if len(starts) else starts
+
+    def of(self, wanted: Wanted, name: str) -> np.ndarray:
+        return np.flatnonzero(wanted.find(self.part, self.text, self.anchor, name))
+
+    def windows(self, some: np.ndarray) -> np.ndarray:
+        """First words of all windows of some runs."""
+        if not len(some):
+            return some
+        count = self.last[some] - self.first[some] + 1
+        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(self.first[some], count) + offset
+
+    def names(self) -> np.ndarray:
+        """Hash of the window that begins at each word."""
+        return rolling(self.hashes, WINDOW).view(np.int64)
+
+
+def _window_batches(sent):
+    """Windows of hot anchors, equal ones of a batch in one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = Wanted(sent)
         for batch in batches:
             for part in pieces(batch, "text"):
-                words, hashes = read_words(part)
-                known = shared.value if shared is not None else None
-                rows = stretches(words, hashes, part, known, whole)
-                text, shard, start, found = list(zip(*rows)) or [()] * 4
-                at = pa.array(text, pa.int64())
+                found = Runs(part)
+                at = found.windows(found.of(wanted, "hot"))
+                if not len(at):
+                    continue
+                name = found.names()[at]
+                # Two hashes together tell windows of a batch apart.
+                other = rolling(found.hashes ^ SPREAD, WINDOW)[at]
+                text = found.words.owner[at]
+                ids = part.column("id").to_numpy(zero_copy_only=False)[text]
+                order = np.lexsort((at, ids, other, name))
+                at, name, other, text, ids = (x[order] for x in (at, name, other, text, ids))
+                new = np.flatnonzero(np.concatenate((
+                    [True], (name[1:] != name[:-1]) | (other[1:] != other[:-1]))))
+                words = [found.words.run(a, a + WINDOW) for a in at[new].tolist()]
                 yield pa.record_batch(
-                    [pa.array(shard, pa.int64()), part.column("id").take(at),
-                     part.column("mark").take(at), pa.array(start, pa.int64()),
-                     pa.array(found, pa.binary())],
-                    names=["shard", "id", "mark", "start", "words"])
+                    [pa.array(name[new]), pa.array(words, pa.binary()), pa.array(ids[new]),
+                     part.column("mark").take(pa.array(text[new])),
+                     pa.array(at[new] - found.words.first[text[new]]),
+                     pa.array(np.maximum.reduceat(ids, new)),
+                     pa.array(np.diff(np.concatenate((new, [len(at)]))))],
+                    names=["window", "words", "id", "mark", "start", "high", "n"])
 
     return run
 
 
-def wanted(part: pa.RecordBatch, owners: np.ndarray, anchors: np.ndarray, shared) -> np.ndarray:
-    """Whether each anchor is one of the wanted ones."""
-    if shared is not None:
-        if not len(shared):
-            return np.zeros(len(anchors), bool)
-        at = np.minimum(np.searchsorted(shared, anchors), len(shared) - 1)
-        return shared[at] == anchors
-    own = [set(row) for row in part.column("wanted").to_pylist()]
-    return np.array([a in own[t] for t, a in zip(owners.tolist(), anchors.tolist())], bool)
+def _stretch_batches(sent, busy_sent):
+    """What goes to shards, and the covers that the broadcast automaton finds (no words)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, busy = Wanted(sent), references(busy_sent)
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                rows = stretches(Runs(part), wanted, busy)
+                text, shard, start, stop, found = list(zip(*rows)) or [()] * 5
+                at = pa.array(text, pa.int64())
+                yield pa.record_batch(
+                    [pa.array(shard, pa.int64()), part.column("id").take(at),
+                     part.column("mark").take(at), pa.array(start, pa.int64()),
+                     pa.array(stop, pa.int64()), pa.array(found, pa.binary())],
+                    names=["shard", "id", "mark", "start", "stop", "words"])
 
-def stretches(
-    words: Words, hashes: np.ndarray, part: pa.RecordBatch, shared, whole: bool
-) -> list[tuple]:
-    """(text, shard, first word, words) of every run of windows with one shared anchor.
+    return run
 
-    With ``whole`` each window is a stretch of its own, and its shard its own hash.
-    """
-    starts, anchors, places = anchors_of(words, hashes)
-    if not len(starts):
-        return []
-    new = runs(places)
-    last = starts[np.concatenate((new[1:], [len(places)])) - 1]
-    first, shard = starts[new], anchors[new]
-    text = words.owner[first]
-    hit = wanted(part, text, shard, shared)
-    text, first, last = text[hit], first[hit], last[hit]
-    begin = words.first[text]
-    if not whole:
-        columns = (c.tolist() for c in (text, shard[hit], first, last, begin))
-        return [(t, s, a - o, words.run(a, b + WINDOW)) for t, s, a, b, o in zip(*columns)]
-    names = rolling(hashes, WINDOW).view(np.int64)
-    columns = (c.tolist() for c in (text, first, last, begin))
-    return [
-        (t, int(names[i]), i - o, words.run(i, i + WINDOW))
-        for t, a, b, o in zip(*columns) for i in range(a, b + 1)
+
+def stretches(found: Runs, wanted: Wanted, busy: References) -> list[tuple]:
+    """(text, shard, first word, end, words) of stretches for shards and of covers."""
+    words = found.words
+    cold = found.of(wanted, "cold")
+    text, first, last = found.text[cold], found.first[cold], found.last[cold]
+    columns = (c.tolist() for c in (text, found.anchor[cold], first, last, words.first[text]))
+    out = [
+        (t, s, a - o, b + WINDOW - o, words.run(a, b + WINDOW)) for t, s, a, b, o in zip(*columns)
     ]
+    at = found.windows(found.of(wanted, "hot"))
+    if not len(at):
+        return out
+    names = found.names()
+    is_busy = among(busy.names, names[at])
+    alone = at[~is_busy].tolist()
+    at = at[is_busy]
+    if len(at):
+        # Neighbouring windows of one text are streamed as one passage.
+        owner = words.owner[at]
+        cuts = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner) != 0)) + 1
+        ids = found.part.column("id").to_numpy(zero_copy_only=False)
+        for some in np.split(at, cuts):
+            a, b = int(some[0]), int(some[-1])
+            t = int(words.owner[a])
+            o = int(words.first[t])
+            covers, unknown = busy.covers(words.run(a, b + WINDOW).split(b" "), int(ids[t]))
+            # A shard of their own keeps covers of one text together on the way.
+            out += [(t, int(names[a]), a - o + x, a - o + y, None) for x, y in covers]
+            alone += [a + x for x in unknown]
+    for a in alone:
+        t = int(words.owner[a])
+        o = int(words.first[t])
+        out.append((t, int(names[a]), a - o, a - o + WINDOW, words.run(a, a + WINDOW)))
+    return out
 
 
 class SuffixAutomaton:
@@ -176,6 +258,7 @@ class SuffixAutomaton:
         self.size = [0]
         self.last = 0
         self.parts = 0
+        self.origin: list[int | None] = [None]
 
     def add(self, words: list[bytes]) -> None:
         for word in words:
@@ -189,6 +272,7 @@ class SuffixAutomaton:
         moves.append({})
         link.append(0)
         size.append(size[self.last] + 1)
+        self.origin.append(None)
         at = self.last
         while at >= 0 and word not in moves[at]:
             moves[at][word] = new
@@ -202,6 +286,7 @@ class SuffixAutomaton:
                 moves.append(dict(moves[to]))
                 link.append(link[to])
                 size.append(size[at] + 1)
+                self.origin.append(to)
                 while at >= 0 and moves[at].get(word) == to:
                     moves[at][word] = copy
                     at = link[at]
@@ -229,6 +314,77 @@ class SuffixAutomaton:
         return out
 
 
+class References:
+    """The automaton of all busy passages; each state knows a document it comes from.
+
+    A busy window has one first document, and all passages it occurs in are that one's.
+    """
+
+    def __init__(self, names: np.ndarray, passages: list[tuple[int, bytes]]):
+        self.names = names
+        self.automaton = SuffixAutomaton()
+        owners: list[int] = [0]
+        for number, words in passages:
+            before = len(self.automaton.moves)
+            self.automaton.add(words.split(b" "))
+            owners += [number] * (len(self.automaton.moves) - before)
+        # A state that was split off has the document of the longer one it came from.
+        for state, longer in enumerate(self.automaton.origin):
+            if longer is not None:
+                owners[state] = owners[longer]
+        self.owners = owners
+
+    def covers(self, words: list[bytes], number: int) -> tuple[list[tuple[int, int]], list[int]]:
+        """Spans covered by documents before ``number``, and starts of unknown windows."""
+        moves, link, size = self.automaton.moves, self.automaton.link, self.automaton.size
+        spans: list[tuple[int, int]] = []
+        unknown = []
+        at = length = 0
+        for i, word in enumerate(words):
+            while at and word not in moves[at]:
+                at = link[at]
+                length = size[at]
+            if word in moves[at]:
+                at = moves[at][word]
+                length += 1
+            start = i + 1 - WINDOW
+            if start < 0:
+                continue
+            if length < WINDOW:
+                unknown.append(start)
+            elif self.owners[at] < number:
+                if spans and start <= spans[-1][1]:
+                    spans[-1] = (spans[-1][0], i + 1)
+                else:
+                    spans.append((start, i + 1))
+        return spans, unknown
+
+
+def passages_of(windows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, bytes]]:
+    """Join windows (id, mark, start, words) that follow one another in a document."""
+    out: list[tuple[int, list[bytes]]] = []
+    before = None
+    for number, mark, start, words in sorted(windows):
+        if before == (number, mark, start - 1):
+            out[-1][1].append(words.rsplit(b" ", 1)[-1])
+        else:
+            out.append((number, [words]))
+        before = (number, mark, start)
+    return [(number, b" ".join(parts)) for number, parts in out]
+
+
+_references: dict[int, References] = {}
+
+
+def references(sent) -> References:
+    """This worker's automaton of the broadcast passages."""
+    names, passages = sent.value
+    if id(passages) not in _references:
+        _references.clear()
+        _references[id(passages)] = References(names, passages)
+    return _references[id(passages)]
+
+
 class Shard:
     """Stretches of one shard so far, in the order of document ids."""
 
@@ -265,9 +421,12 @@ def _cover_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         rows = []
         columns = [c.to_pylist() for c in batch.columns]
-        for name, salt, number, mark, start, words in zip(*columns):
-            if (name, salt) != now:
-                now, shard = (name, salt), Shard()
+        for name, number, mark, start, stop, words in zip(*columns):
+            if words is None:
+                rows.append((number, mark, start, stop))
+                continue
+            if name != now:
+                now, shard = name, Shard()
             rows += [(number, mark, start + a, start + b) for a, b in shard.take(number, words)]
         yield pa.record_batch(
             [pa.array(c, pa.int64()) for c in (list(zip(*rows)) or [()] * 4)],
@@ -334,15 +493,12 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, with_text: bool =
         .select("anchor", (F.col("n") > HOT).alias("hot")),
         "anchors",
     )
-    numbers = {r["hot"]: r["count"] for r in shared.groupBy("hot").count().collect()}
-    dealt = find_stretches(named, shared.where("not hot"), numbers.get(False, 0), False)
-    dealt = dealt.withColumn("salt", F.lit(0))
-    if numbers.get(True):
-        dealt = dealt.unionByName(
-            salted(find_stretches(named, shared.where("hot"), numbers[True], True)))
+    sent, readers = with_shared(named, shared)
+    dealt = readers.mapInArrow(
+        _stretch_batches(sent, busy_passages(readers, shared, sent)),
+        "shard bigint, id bigint, mark bigint, start bigint, stop bigint, words binary")
     covers = (
-        dealt.select("shard", "salt", "id", "mark", "start", "words")
-        .repartition("shard", "salt").sortWithinPartitions("shard", "salt", "id")
+        dealt.repartition("shard").sortWithinPartitions("shard", "id")
         .mapInArrow(_cover_batches, "id bigint, mark bigint, start bigint, stop bigint")
         .groupBy("id", "mark")
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
@@ -355,45 +511,39 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, with_text: bool =
     )
 
 
-def find_stretches(named: DataFrame, shared: DataFrame, count: int, whole: bool) -> DataFrame:
-    """Stretches around ``count`` shared anchors; see :func:`stretches`."""
-    if count <= BROADCAST_ANCHORS:
-        found = shared.select("anchor").orderBy("anchor").toArrow()
-        sent = named.sparkSession.sparkContext.broadcast(found.column("anchor").to_numpy())
-        readers = named
-    else:
-        sent = None
-        own = anchors_by_text(named).join(shared, "anchor").groupBy("id", "mark").agg(
-            F.collect_list("anchor").alias("wanted"))
-        readers = named.join(stored(own, "wanted"), ["id", "mark"])
-    return readers.mapInArrow(
-        _stretch_batches(sent, whole),
-        "shard bigint, id bigint, mark bigint, start bigint, words binary")
-
-
-def salted(windows: DataFrame) -> DataFrame:
-    """Deal the documents of each busy window out over ``SALTS`` shards.
-
-    Every one of them gets the window's first document as its reference. A window is
-    busy above ``HOT`` rows, so there are few; they are counted before a broadcast.
-    """
-    busy = stored(
-        windows.groupBy("shard", "words")
-        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > HOT)
-        .drop("n"),
-        "busy",
-    )
-    here = attach(
-        windows, busy.select("shard", "words", F.lit(True).alias("busy")), ["shard", "words"],
-        computed=True,
+def with_shared(named: DataFrame, shared: DataFrame):
+    """Shared anchors as a broadcast, or beside each text if they are too many."""
+    if shared.limit(BROADCAST_ANCHORS + 1).count() <= BROADCAST_ANCHORS:
+        found = shared.orderBy("anchor").toArrow()
+        anchors = found.column("anchor").to_numpy()
+        hot = found.column("hot").to_numpy(zero_copy_only=False).astype(bool)
+        return named.sparkSession.sparkContext.broadcast((anchors[~hot], anchors[hot])), named
+    own = anchors_by_text(named).join(shared, "anchor").groupBy("id", "mark").agg(
+        F.collect_list(F.expr("case when not hot then anchor end")).alias("cold"),
+        F.collect_list(F.expr("case when hot then anchor end")).alias("hot"))
+    return None, named.join(stored(own, "wanted"), ["id", "mark"])
+
+
+def busy_passages(readers: DataFrame, shared: DataFrame, sent):
+    """Broadcast (window hashes, passages) of busy windows, by their first documents."""
+    context = readers.sparkSession.sparkContext
+    if shared.where("hot").isEmpty():
+        return context.broadcast((np.zeros(0, np.int64), []))
+    windows = readers.mapInArrow(
+        _window_batches(sent),
+        "window bigint, words binary, id bigint, mark bigint, start bigint, high bigint, n bigint")
+    busy = (
+        windows.groupBy("window", "words")
+        .agg(F.min(F.struct("id", "mark", "start")).alias("first"), F.max("high").alias("high"),
+             F.sum("n").alias("n"))
+        .where((F.col("n") > HOT) & (F.col("first.id") < F.col("high")))
+        .orderBy(F.col("n").desc(), "window", "words").limit(BUSY)
+        .select("window", "first.*", "words")
     )
-    salt = F.when(F.col("busy"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(0)
-    reference = busy.select(
-        "shard", "id", F.lit(None).cast("bigint").alias("mark"),
-        F.lit(0).cast("bigint").alias("start"), "words",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return here.withColumn("salt", salt).drop("busy").unionByName(reference)
+    found = busy.collect()  # at most BUSY rows of 13 words
+    names = np.array(sorted({r["window"] for r in found}), np.int64)
+    rows = [(r["id"], r["mark"], r["start"], bytes(r["words"])) for r in found]
+    return context.broadcast((names, passages_of(rows)))
 
 
 def anchors_by_text(named: DataFrame) -> DataFrame:
