@@ -1,4 +1,5 @@
 import csv
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,55 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert [r.a for r in df.collect()] == ["one\ntwo"]
 
 
+def odd_cells(seed, n=400):
+    rng = random.Random(seed)
+    pieces = ["a", '"', "\n", "\r\n", ",", " ", "é", '""', "\n\n", "long text " * 30]
+    return [[f"{i:04d}", "".join(rng.choices(pieces, k=rng.randrange(9))), "x" + rng.choice(pieces)]
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [300, 5000, 1 << 20])
+def test_line_breaks_inside_quotes_in_split_files(spark, tmp_path, size):
+    rows = {"a.csv": odd_cells(1), "b.csv": odd_cells(2, 30) + [["0030", "z\n" * 3000, "end"]], "c.csv": []}
+    for name, cells in rows.items():
+        write(tmp_path / name, cells, ["k", "t", "u"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        df = csvfile.read_raw_csv(spark, str(tmp_path), ["k", "t", "u"], null_tokens=(), multi_line=True)
+        got = [tuple(r)[:3] for r in df.orderBy("_seq").collect()]
+        learnt = csvfile.read_raw_csv(spark, str(tmp_path / "a.csv"), null_tokens=(), multi_line=True)
+        assert learnt.columns == ["k", "t", "u", "_seq"] and learnt.count() == 400
+        lines = spark.read.option("lineSep", "\n").text(str(tmp_path))
+        assert size > 5000 or lines.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = [tuple(v or None for v in row) for name in sorted(rows) for row in rows[name]]
+    assert got == expected
+    one_task = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "a.csv"))
+    # That reader makes one line feed of a carriage return and a line feed.
+    plain = [str(tuple(v and v.replace("\r\n", "\n") for v in row)) for row in got[:400]]
+    assert sorted(plain) == sorted(str(tuple(r)) for r in one_task.collect())
+
+
+def test_split_files_check_header_and_records(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\ufeffx,y\r\n"1\n2",3\r\n\r\n4,5,6\r\n', newline="")
+    path = str(tmp_path / "a.csv")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csvfile.read_raw_csv(spark, path, ["x", "y"], multi_line=True).collect()
+    kept = csvfile.read_raw_csv(spark, path, ["x", "y"], multi_line=True, bad_records="keep").orderBy("_seq").collect()
+    assert [(r.x, r.y, r._invalide) for r in kept] == [("1\n2", "3", None), ("4", "5", "4,5,6")]
+    with pytest.raises(Exception, match="(?i)header"):
+        csvfile.read_raw_csv(spark, path, ["y", "x"], multi_line=True).collect()
+
+
+def test_lines_without_open_quotes_are_not_shuffled(spark, tmp_path):
+    write(tmp_path / "a.csv", [[str(i), 'a "b", c'] for i in range(50)], ["x", "y"])
+    df = csvfile.quoted_records(spark, str(tmp_path / "a.csv"))
+    assert df.count() == 51
+    parts = df.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    assert parts == 1  # all of them come from the branch that reads lines as records
+
+
 def test_a_load_replaces_the_table_or_its_partitions(spark, frame, tmp_path):
     target = str(tmp_path / "t")
     first = frame([(1, 2023), (2, 2024)], "x int, annee int")

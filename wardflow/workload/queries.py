@@ -720,6 +720,18 @@ def csv_long_text_roundtrip(spark, folder):
     return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("md5"))
 
 
+@query
+def csv_long_text_order(spark, folder):
+    """File order of records with line breaks: the last one of each source."""
+    path = work_path(spark, "documents-csv")
+    rows = table(spark, folder, "documents").select("doc_id", "source", "text")
+    write_csv(rows.orderBy("doc_id"), path)
+    back = read_raw_csv(spark, path, rows.columns, null_tokens=(), multi_line=True)
+    last = dedup.keep_last(back, ["source"], "_seq")
+    return last.select(
+        "source", F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("md5"))
+
+
 @query
 def csv_file_order(spark, folder):
     """Duplicates of a file resolved by file order alone."""
