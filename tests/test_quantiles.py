@@ -70,6 +70,24 @@ def test_quantile_and_long_flag(frame):
         ]
 
 
+@pytest.mark.parametrize("slices", [2, 4])
+def test_a_key_with_far_more_values_than_slices_times_the_limit(spark, slices):
+    """Many rounds; what is sorted in the end is below the limit, and the result exact."""
+    n, limit = 30_000, 300
+    df = spark.range(n).select(
+        F.when(F.col("id") % 100 < 98, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("k"),
+        (F.pow(F.col("id") * 7919 % n, F.lit(1.5)) / 7).alias("v"))
+    found = {r.k: r.q for r in quantiles.quantile(df, ["k"], "v", 0.73, "q", limit, slices).collect()}
+    assert found == pytest.approx(by_hand([tuple(r) for r in df.collect()], 0.73), rel=1e-12)
+    counts = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("__n")).where("k = 'hot'")
+    total = counts.count()
+    rows = counts.select("k", F.lit("").alias("__path"), F.lit(0).cast("bigint").alias("__before"),
+                         F.lit((total - 1) * 0.73).alias("__position"), "v", "__n")
+    left = quantiles.narrowed(rows, ["k"], "v", limit, slices)
+    sizes = [r["count"] for r in left.groupBy("k", "__path").count().collect()]
+    assert 1 <= len(sizes) <= 2 and max(sizes) <= limit and total > 256 * slices
+
+
 def test_slice_of_counts_edges(frame):
     df = frame([(v, [1.0, 3.0, 3.0, 8.0]) for v in (0.0, 1.0, 2.0, 3.0, 9.0)],
                "v double, e array<double>")

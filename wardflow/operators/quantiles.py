@@ -2,10 +2,11 @@
 
 Rows are first reduced to value counts, with equal values merging before the
 shuffle, and the rows are not read again. Durations to one decimal leave a few
-hundred counts per group, which are ranked as they are. When the counts are many,
-the wanted ranks are located first and only the slice of the group around them is
-ranked. Both ways end in the same interpolation, so the value does not depend on
-which was taken.
+hundred counts per group, which are ranked as they are. In a group with many, the
+wanted ranks are located first: it is cut into slices whose exact totals tell which one
+holds them, that slice is cut again, and so on until it is small enough to be sorted.
+Both ways end in the same interpolation, so the value does not depend on which was
+taken, and no task sorts more than a set number of counts.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardflow.operators.attach import attach
 from wardflow.session import materialise
 
-# Value counts up to this many, over all groups, fit a task.
+# Value counts of one group, or of one slice, that a task sorts.
 DIRECT_ROWS = 500_000
-# Slices a large group is cut into; each holds about 1/256 of its values.
+# Slices a large group is cut into in one round; each holds about 1/256 of its values.
 SLICES = 256
+# Counts that the cut points of a group are drawn from, for each slice.
+DRAWN_PER_SLICE = 20
 # Rows that the cut points are drawn from.
 CUT_SAMPLE = 500_000
 
@@ -56,18 +59,47 @@ def quantile_of_counts(
     The result is cheap to run again.
     """
     counts = counts.where(F.col(value).isNotNull())
-    limit = DIRECT_ROWS if direct_rows is None else direct_rows
+    # A few values can always be parted, and need not be.
+    limit = max(8, DIRECT_ROWS if direct_rows is None else direct_rows)
     if counts.limit(limit + 1).count() <= limit:
-        up_to, per_key = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys)
-        placed = counts.select(
-            *keys,
-            F.col(value).cast("double").alias("__value"),
-            ((F.sum("__n").over(per_key) - 1) * F.lit(float(p))).alias("__position"),
-            F.sum("__n").over(up_to).alias("__end"),
-            F.col("__n"),
-        )
-        return _interpolated(placed, keys, name)
-    return _sliced(counts, keys, value, p, name, slices)
+        return _direct(counts, keys, value, p, name)
+    sizes = counts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__values"), F.sum("__n").alias("__total"))
+    large = materialise(sizes.where(F.col("__values") > limit))
+    if large.isEmpty():
+        return _direct(counts, keys, value, p, name)
+    marked = attach(counts, large, keys, null_safe=True, computed=True)
+    small = _direct(marked.where(F.col("__total").isNull()), keys, value, p, name)
+    rows = marked.where(F.col("__total").isNotNull()).select(
+        *keys,
+        F.lit("").alias("__path"),
+        F.lit(0).cast("bigint").alias("__before"),
+        ((F.col("__total") - 1) * F.lit(float(p))).alias("__position"),
+        value,
+        "__n",
+    )
+    rows = narrowed(rows, keys, value, limit, slices)
+    running = Window.partitionBy(*keys, "__path").orderBy(value)
+    placed = rows.select(
+        *keys,
+        F.col(value).cast("double").alias("__value"),
+        "__position",
+        (F.col("__before") + F.sum("__n").over(running)).alias("__end"),
+        "__n",
+    )
+    return small.unionByName(materialise(_interpolated(placed, keys, name)))
+
+
+def _direct(counts: DataFrame, keys: list[str], value: str, p: float, name: str) -> DataFrame:
+    up_to, per_key = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys)
+    placed = counts.select(
+        *keys,
+        F.col(value).cast("double").alias("__value"),
+        ((F.sum("__n").over(per_key) - 1) * F.lit(float(p))).alias("__position"),
+        F.sum("__n").over(up_to).alias("__end"),
+        F.col("__n"),
+    )
+    return _interpolated(placed, keys, name)
 
 
 def hash_sample(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
@@ -93,53 +125,60 @@ def slice_of(value: Column, edges: Column, slices: int) -> Column:
     )
 
 
-def _sliced(
-    counts: DataFrame, keys: list[str], value: str, p: float, name: str, slices: int
-) -> DataFrame:
-    """Approximate quantiles cut each group's distinct values into slices of
-    similar size. Slice totals are exact, so they tell which slice holds the
-    wanted ranks, and only that slice is sorted. The cut points decide how even
-    the work is, never the result.
+def _sliced(rows: DataFrame, large: DataFrame, spot: list[str], value: str, slices: int) -> DataFrame:
+    """``rows`` with the slice each is in; spots that are not ``large`` have one only.
+
+    Cut points are approximate quantiles of a sample of each spot. They decide how even
+    the work is, never a result.
     """
     cuts = [i / slices for i in range(1, slices)]
-    edges = hash_sample(counts, [*keys, value], CUT_SAMPLE).groupBy(*keys).agg(
-        F.percentile_approx(value, cuts, 10 * slices).alias("__edges")
-    )
-    sliced = (
-        attach(counts, edges, keys, null_safe=True, cells=slices)
-        .withColumn("__slice", slice_of(F.col(value), F.col("__edges"), slices))
-        .drop("__edges")
-    )
-
-    # One row per key and slice: at most ``slices`` rows for a key.
-    totals = sliced.groupBy(*keys, "__slice").agg(F.sum("__n").alias("__in"))
-    up_to = Window.partitionBy(*keys).orderBy("__slice")
-    per_key = Window.partitionBy(*keys)
-    position = (F.sum("__in").over(per_key) - 1) * F.lit(float(p))
-    ranked = totals.select(
-        *keys,
-        "__slice",
-        (F.sum("__in").over(up_to) - F.col("__in")).alias("__before"),
-        F.col("__in"),
-        position.alias("__position"),
-    )
-    low_rank, high_rank = F.floor("__position"), F.ceil("__position")
-    first, last = F.col("__before"), F.col("__before") + F.col("__in") - 1
-    wanted = ranked.where(
-        low_rank.between(first, last) | high_rank.between(first, last)
-    ).select(*keys, "__slice", "__before", "__position")
-
-    spot = [*keys, "__slice"]
-    in_slice = attach(sliced, wanted, spot, null_safe=True).where(F.col("__before").isNotNull())
-    running = Window.partitionBy(*spot).orderBy(value)
-    placed = in_slice.select(
-        *keys,
-        F.col(value).cast("double").alias("__value"),
-        "__position",
-        (F.col("__before") + F.sum("__n").over(running)).alias("__end"),
-        F.col("__n"),
-    )
-    return materialise(_interpolated(placed, keys, name))
+    share = F.lit(float(slices * DRAWN_PER_SLICE)) / F.col("__values")
+    drawn = attach(rows, large, spot, null_safe=True, computed=True).where(
+        F.pmod(F.xxhash64(*spot, value), F.lit(1 << 30)) < F.least(F.lit(1.0), share) * (1 << 30))
+    edges = drawn.groupBy(*spot).agg(
+        F.percentile_approx(value, cuts, 10 * slices).alias("__edges"))
+    number = F.when(F.col("__edges").isNull(), 0).otherwise(
+        slice_of(F.col(value), F.col("__edges"), slices))
+    return attach(rows, edges, spot, null_safe=True, cells=slices).withColumn(
+        "__slice", number).drop("__edges")
+
+
+def narrowed(rows: DataFrame, keys: list[str], value: str, limit: int, slices: int) -> DataFrame:
+    """What is left of ``rows`` around the wanted ranks, in spots of ``limit`` rows at most.
+
+    A spot is a key and a ``__path`` of slices; ``__before`` is the number of values of the
+    key below it. Every round cuts the larger spots and keeps the slices that hold the
+    ranks around ``__position``, two for a key at most, so each reads a small part
+    of what the one before it read.
+    """
+    spot = [*keys, "__path"]
+    while True:
+        sizes = rows.groupBy(*spot).agg(F.count(F.lit(1)).alias("__values"))
+        large = materialise(sizes.where(F.col("__values") > limit))
+        if large.isEmpty():
+            return rows
+        sliced = _sliced(rows, large, spot, value, slices)
+        # At most ``slices`` rows for a spot.
+        totals = sliced.groupBy(*spot, "__slice", "__before", "__position").agg(
+            F.sum("__n").alias("__in"))
+        end = F.col("__before") + F.sum("__in").over(Window.partitionBy(*spot).orderBy("__slice"))
+        low_rank, high_rank = F.floor("__position"), F.ceil("__position")
+        ranked = totals.withColumn("__end", end).withColumn("__start", F.col("__end") - F.col("__in"))
+        first, last = F.col("__start"), F.col("__end") - 1
+        wanted = ranked.where(
+            low_rank.between(first, last) | high_rank.between(first, last)
+        ).select(*spot, "__slice", "__start")
+        kept = attach(sliced, wanted, [*spot, "__slice"], null_safe=True)
+        rows = materialise(
+            kept.where(F.col("__start").isNotNull()).select(
+                *keys,
+                F.concat_ws(",", "__path", F.col("__slice").cast("string")).alias("__path"),
+                F.col("__start").alias("__before"),
+                "__position",
+                value,
+                "__n",
+            )
+        )
 
 
 def _interpolated(placed: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -149,7 +149,8 @@ def run(
 def load(result: Run, folder: str, blocking: bool = True) -> DataFrame:
     """Load the prepared table, by year, and its audit, if the rules allow.
 
-    The table is replaced as a whole; the audit keeps earlier executions, and a
+    The table is published as a new version, read by ``versions.read_published``; a load
+    that dies leaves the one before. The audit keeps earlier executions, and a
     repeated load of one execution writes it once.
     """
     admissions.verifier_absence_donnees_personnelles(result.prepared)

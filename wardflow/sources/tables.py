@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.operators.quality import enforce
+from wardflow.sources.versions import publish
 
 
 def hand_off(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -36,11 +37,15 @@ def load_partitions(df: DataFrame, path: str, partition: str) -> DataFrame:
 
 
 def load_checked(
-    df: DataFrame, report: DataFrame, path: str, partition: str, blocking: bool = True
+    df: DataFrame, report: DataFrame, path: str, partition: str, blocking: bool = True,
+    load: str | None = None,
 ) -> DataFrame:
-    """Load a table only if no blocking rule of its report failed."""
+    """Publish a table's next version only if no blocking rule of its report failed.
+
+    Readers have the version before until the new one is whole, see ``sources.versions``.
+    """
     enforce(report, blocking)
-    return load_table(df, path, partition)
+    return publish(df, path, partition, load=load)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, batch: int = 10_000) -> None:
