@@ -16,13 +16,16 @@ def drop_exact_duplicates(df: DataFrame, order: str) -> DataFrame:
     return df.groupBy(*content).agg(F.min(order).alias(order)).select(*df.columns)
 
 
-def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def keep_last(df: DataFrame, keys: list[str], order: str, by_digest: bool = False) -> DataFrame:
     """Keep the last row of each key; null keys are one key.
 
     Asking for rank one only lets Spark discard all but the last row of each
-    key inside every map task, so a hot key sends one row per task.
+    key inside every map task, so a hot key sends one row per task. ``by_digest``
+    compares long keys by SHA-256: they then go through the shuffle only if the result
+    is asked for them.
     """
-    newest_first = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+    by = [digest(*keys)] if by_digest else keys
+    newest_first = Window.partitionBy(*by).orderBy(F.col(order).desc())
     return (
         df.withColumn("__rank", F.row_number().over(newest_first))
         .where(F.col("__rank") == 1)
@@ -53,7 +56,7 @@ def deduplicate_counted(
         F.min(order).alias(order), F.count(F.lit(1)).alias(copies)
     )
     # Which position wins is decided on keys and positions alone; the rows at these
-    # positions are then picked by hash, without a sort.
+    # positions are then joined by sorting, which spills where a hash table could not.
     winners = (
         distinct.groupBy(*keys)
         .agg(
@@ -62,7 +65,6 @@ def deduplicate_counted(
             F.count(F.lit(1)).alias("__versions"),
         )
         .select("__winner", "__copies", "__versions")
-        .hint("shuffle_hash")
     )
     return distinct.join(winners, F.col(order) == F.col("__winner")).select(
         *df.columns, F.col("__copies").alias(copies), F.col("__versions").alias(versions)

@@ -85,6 +85,55 @@ def occupancy(
     )
 
 
+def daily_census(df: DataFrame, unit: str, start: str, end: str) -> DataFrame:
+    """Most and fewest beds in use on a day, per unit and month, and the bed-days.
+
+    A stay adds one on its first day and takes it away behind its last (see
+    :func:`bed_days`); such changes are summed up per unit and day, and their running sum
+    holds until the next change. Stays are never turned into days, and a unit has one row
+    per day with a change at most, so its running sum fits a task however many stays it
+    has. Every day counts, of every month from a unit's first to its last.
+    """
+    first = F.to_date(start)
+    last = F.greatest(first, F.date_sub(F.to_date(end), 1))
+    stays = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
+        F.col(unit), first.alias("__first"), F.date_add(last, 1).alias("__after"))
+    changes = F.array(
+        F.struct(F.col("__first").alias("__day"), F.lit(1).alias("__change")),
+        F.struct(F.col("__after").alias("__day"), F.lit(-1).alias("__change")),
+    )
+    events = stays.select(unit, F.inline(changes)).groupBy(unit, "__day").agg(
+        F.sum("__change").alias("__change"))
+    # Days without a stay at both ends belong to their months, too.
+    ends = events.groupBy(unit).agg(
+        F.trunc(F.min("__day"), "month").alias("__low"),
+        F.add_months(F.trunc(F.date_sub(F.max("__day"), 1), "month"), 1).alias("__high"),
+    ).select(unit, F.explode(F.array("__low", "__high")).alias("__day"), F.lit(0).cast("bigint").alias("__change"))
+    in_time = Window.partitionBy(unit).orderBy("__day")
+    spans = (
+        events.unionByName(ends).groupBy(unit, "__day").agg(F.sum("__change").alias("__change"))
+        .select(
+            unit, "__day", F.sum("__change").over(in_time).alias("__beds"),
+            F.date_sub(F.lead("__day").over(in_time), 1).alias("__until"))
+        .where(F.col("__until").isNotNull())
+    )
+    months = F.sequence(
+        F.trunc("__day", "month"), F.trunc("__until", "month"), F.expr("interval 1 month"))
+    days = F.datediff(
+        F.least(F.col("__until"), F.last_day("mois_debut")),
+        F.greatest(F.col("__day"), F.col("mois_debut"))) + 1
+    return (
+        spans.select(unit, "__day", "__until", "__beds", F.explode(months).alias("mois_debut"))
+        .groupBy(unit, "mois_debut")
+        .agg(
+            F.max("__beds").alias("lits_max"), F.min("__beds").alias("lits_min"),
+            F.sum(F.col("__beds") * days).alias("journees_lit"))
+        .select(
+            unit, F.year("mois_debut").alias("annee"), F.month("mois_debut").alias("mois"),
+            "lits_max", "lits_min", "journees_lit")
+    )
+
+
 def burden(
     df: DataFrame,
     label: str,

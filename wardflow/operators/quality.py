@@ -158,6 +158,11 @@ def enforce(report: DataFrame, blocking: bool = True) -> DataFrame:
     return short_table(report.sparkSession, rows, REPORT_COLUMNS)
 
 
+def refusals(report: DataFrame) -> DataFrame:
+    """The blocking rules for which a load is refused, with their faults."""
+    return report.where(F.col("statut") == FAILED).select("regle", "violations", "message")
+
+
 def passed(report: DataFrame) -> DataFrame:
     """Number of rules met, out of how many."""
     return report.agg(

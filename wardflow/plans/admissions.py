@@ -145,7 +145,7 @@ def verifier_absence_donnees_personnelles(df: DataFrame) -> bool:
 def enrichir(
     df: DataFrame, trier: bool = False, lignes_chaudes: int = returns.HOT_ROWS
 ) -> DataFrame:
-    """The derived columns; ``trier`` adds the global sort by admission."""
+    """The derived columns; ``trier`` adds the global sort by admission, then its number."""
     df = enrich.add_band(df, "age", ref.AGE_BANDS, AGE_TOP, ref.AGE_UNKNOWN, "tranche_age")
     df = enrich.add_month_season(df, "date_entree", ref.SEASON_BY_MONTH, "mois", "saison")
     df = enrich.add_group(
@@ -164,7 +164,8 @@ def enrichir(
         "est_readmission_30j",
         hot_rows=lignes_chaudes,
     )
-    return df.orderBy(df["date_entree"].asc_nulls_last()) if trier else df
+    ends = [df[c].asc_nulls_last() for c in ("date_entree", "id_admission")]
+    return df.orderBy(*ends) if trier else df
 
 
 def regles(df: DataFrame) -> list[quality.Rule]:

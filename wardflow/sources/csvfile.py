@@ -156,6 +156,11 @@ def natural(path: str) -> list:
     return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", path)]
 
 
+def plain_path(path: str) -> str:
+    """Local paths are written with one slash or three."""
+    return re.sub("^file:/+", "file:/", path)
+
+
 def _ddl(names: Sequence[str]) -> str:
     return ", ".join("`" + name.replace("`", "``") + "` STRING" for name in names)
 
@@ -185,7 +190,7 @@ def _placed(scan: DataFrame) -> DataFrame:
         # The lower 33 bits number the rows of a task.
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__row"),
     )
-    paths = [re.sub("^file:/+", "file:/", p) for p in sorted(scan.inputFiles(), key=natural)]
+    paths = [plain_path(p) for p in sorted(scan.inputFiles(), key=natural)]
     files = short_table(
         scan.sparkSession, [(p, i) for i, p in enumerate(paths)],
         {"__path": "string", "__file": "bigint"},

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from wardflow.operators.attach import attach
 from wardflow.operators.quality import enforce
+from wardflow.session import short_table
+from wardflow.sources.csvfile import natural, plain_path
 from wardflow.sources.versions import publish
 
 
@@ -14,6 +17,27 @@ def hand_off(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positions(scan: DataFrame, name: str) -> DataFrame:
+    """Add the place of each row, from 1, in the order of a Parquet table's files.
+
+    Straight on a scan. Rows know their number within their file; only the sizes of files,
+    one row each, are summed up.
+    """
+    paths = [plain_path(p) for p in sorted(scan.inputFiles(), key=natural)]
+    files = short_table(
+        scan.sparkSession, [(p, i) for i, p in enumerate(paths)],
+        {"__path": "string", "__file": "bigint"})
+    rows = scan.select(
+        "*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("__path"),
+        F.col("_metadata.row_index").alias("__row"))
+    rows = attach(rows, files, ["__path"], max_rows=len(paths))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return attach(rows, starts, ["__file"]).select(
+        *scan.columns, (F.col("__start") + F.col("__row") + 1).alias(name))
+
+
 def _load(df: DataFrame, path: str, partition: str, replaced: str) -> DataFrame:
     """Write by partition value; rows are dealt out by it, and AQE cuts the large ones."""
     (

@@ -567,12 +567,33 @@ ORACLES: dict[str, str] = {
         orphaned("orders", "o_custkey", "customer", "c_custkey"),
     ]),
     "orphan_check_found": orphaned(
-        "lineitem", "l_orderkey", "(select * from orders where o_orderkey % 2 = 0)", "o_orderkey"),
+        f"(select * replace ({views.LOST_ORDER} as l_orderkey) from lineitem)", "l_orderkey",
+        "orders", "o_orderkey"),
+    "dim_customer_two_loads": "with a as (select distinct o_custkey from orders where "
+        "month(o_orderdate) % 2 = 0), b as (select distinct o_custkey from orders where "
+        "o_custkey not in (select o_custkey from a)) "
+        "select row_number() over (order by o_custkey) as client_id, o_custkey from a union all "
+        "select (select count(*) from a) + row_number() over (order by o_custkey), o_custkey from b",
+    "event_return_rows_two_loads": EVENT_ROWS,
+    "gate_refusals": "select regle, violations, message from "
+        f"({RAW_TYPED} {report(admission_rules(True), 'typed')}) where statut = 'ÉCHEC'",
+    "distinct_of_two_loads": "select unnest(['o_custkey', 'o_orderstatus', "
+        "'o_totalprice', 'o_orderdate', 'o_orderpriority']) as colonne, true as estimation_proche",
+    "csv_long_text_order": "select source, doc_id, md5(text) as md5 from documents qualify "
+        "row_number() over (partition by source order by doc_id desc) = 1",
+    "census_by_month": f"{upto('cleaned', bd=BED_DAYS)}, n as (select service, jour::date as jour, "
+        "count(*) as lits from bd group by 1, 2), "
+        "span as (select service, unnest(generate_series(date_trunc('month', min(jour))::timestamp, "
+        "last_day(max(jour))::timestamp, interval 1 day))::date as jour from n group by service) "
+        "select s.service, year(s.jour)::int as annee, month(s.jour)::int as mois, "
+        "max(coalesce(lits, 0)) as lits_max, min(coalesce(lits, 0)) as lits_min, "
+        "sum(coalesce(lits, 0))::bigint as journees_lit from span s left join n on "
+        "s.service is not distinct from n.service and s.jour = n.jour group by 1, 2, 3",
     "dim_order": "select row_number() over (order by o_orderkey) as commande_id, o_orderkey "
         "from (select distinct o_orderkey from orders)",
     "csv_long_text_roundtrip": "select doc_id, md5(text) as md5 from documents",
-    "sorted_admissions": f"{upto('cleaned')} select date_entree, count(*) as sejours from "
-        "cleaned group by 1",
+    "sorted_admissions": f"{upto('cleaned')} select id_admission, date_entree, row_number() over "
+        "(order by date_entree nulls last, id_admission nulls last) as position from cleaned",
     "warehouse_load_gated": f"{upto('prepared')} select coalesce(year(date_entree), 0)::int as "
         "annee, count(*) as sejours from prepared group by 1",
     "event_returns_by_day": "select event_id, user_id, d as delai_j from ("
@@ -657,6 +678,7 @@ ORACLES["pseudonymise_admissions"] = portable(
 )
 ORACLES["month_season"] = portable(ORACLES["month_season"], integers=["mois"])
 ORACLES["dim_service"] = portable(ORACLES["dim_service"], integers=["lits"])
+ORACLES["census_by_month"] = portable(ORACLES["census_by_month"], integers=["mois"])
 ORACLES["occupancy_by_month"] = portable(
     ORACLES["occupancy_by_month"], integers=["lits", "mois"]
 )

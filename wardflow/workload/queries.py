@@ -17,10 +17,11 @@ from wardflow.operators import (
     dedup, defects, enrich, impute, labels, marts, privacy, profile, quality, quantiles,
     returns, star, values,
 )
-from wardflow.plans import admissions, pipeline, star_schema
+from wardflow.plans import admissions, increments, pipeline, star_schema
 from wardflow.session import configure, work_path
 from wardflow.sources.csvfile import read_raw_csv, write_csv
-from wardflow.sources.tables import hand_off, read_tables
+from wardflow.sources import versions
+from wardflow.sources.tables import hand_off, positions, read_tables
 from wardflow.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +125,23 @@ def event_return_rows_sliced(spark, folder):
     ).select("event_id", "delai_j", "est_retour_1j")
 
 
+@query
+def event_return_rows_two_loads(spark, folder):
+    """Events loaded in two halves of time give the delays of one load."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b"))
+    middle = ends.select(F.floor((F.col("a") + F.col("b")) / 2)).scalar()
+    state = work_path(spark, "state")
+    parts = [
+        increments.delays_of_load(
+            events.where(half), "user_id", "ts", ["event_id"], "delai_j", state, load)
+        for load, half in (("1", seconds < middle), ("2", seconds >= middle))
+    ]
+    flag = returns.returned_within("delai_j", 1).alias("est_retour_1j")
+    return parts[0].unionByName(parts[1]).select("event_id", "delai_j", flag)
+
+
 @query
 def stay_readmission(spark, folder):
     rows = stays(spark, folder).select(SEQ, "o_custkey", "e")
@@ -153,7 +171,7 @@ def dedup_admissions(spark, folder):
 @query
 def dedup_documents(spark, folder):
     documents = table(spark, folder, "documents")
-    return dedup.keep_last(documents, ["text"], "doc_id").drop("text")
+    return dedup.keep_last(documents, ["text"], "doc_id", by_digest=True).drop("text")
 
 
 @query
@@ -435,6 +453,12 @@ def quality_tally(spark, folder):
     return quality.passed(admissions.rapport_qualite(typed(spark, folder)))
 
 
+@query
+def gate_refusals(spark, folder):
+    """The rules for which rows that were not repaired are not loaded."""
+    return quality.refusals(admissions.rapport_qualite(typed(spark, folder)))
+
+
 @query
 def domain_report(spark, folder):
     return quality.quality_report(cleaned(spark, folder), admissions.regles_domaines())
@@ -465,6 +489,22 @@ def column_profile_approx(spark, folder):
     return rough.withColumn("estimation_proche", near).drop("exact", profile.DISTINCT)
 
 
+@query
+def distinct_of_two_loads(spark, folder):
+    """Sketches of two loads, united: near the exact numbers of all rows, in three deviations."""
+    orders = table(spark, folder, "orders")
+    even = F.col("o_orderkey") % 2 == 0
+    store = work_path(spark, "sketches")
+    for load, rows in (("even", orders.where(even)), ("odd", orders.where(~even))):
+        increments.add_sketches(rows, "o_orderkey", store, load)
+    found = profile.united_distinct(versions.read_published(spark, store))
+    exact = profile.column_profile(orders, "o_orderkey").select(
+        "colonne", F.col(profile.DISTINCT).alias("exact"))
+    near = F.abs(F.col(profile.DISTINCT) - F.col("exact")) <= (
+        3 * profile.SKETCH_ERROR * F.col("exact") + 1)
+    return found.join(exact, "colonne").select("colonne", near.alias("estimation_proche"))
+
+
 @query
 def audit_summary(spark, folder):
     return admissions.resumer_audit(raw_admissions(spark, folder), SEQ)
@@ -556,10 +596,10 @@ def orphan_check(spark, folder):
 
 @query
 def orphan_check_found(spark, folder):
-    """A link with orphans: lines against the orders with even keys."""
-    orders = table(spark, folder, "orders").where("o_orderkey % 2 = 0")
-    lines = table(spark, folder, "lineitem")
-    return star.orphan_report(lines, {"l_orderkey": (orders, "o_orderkey")})
+    """A link with orphans: some lines' order keys are changed, all orders are there."""
+    tables = read_tables(spark, folder, "lineitem", "orders")
+    lines = tables["lineitem"].withColumn("l_orderkey", F.expr(views.LOST_ORDER))
+    return star.orphan_report(lines, {"l_orderkey": (tables["orders"], "o_orderkey")})
 
 
 @query
@@ -568,6 +608,17 @@ def dim_order(spark, folder):
     return star.observed_dimension(table(spark, folder, "orders"), "o_orderkey", "commande_id")
 
 
+@query
+def dim_customer_two_loads(spark, folder):
+    """Keys of a first load, of orders of even months, stay in a second load of all orders."""
+    orders = table(spark, folder, "orders")
+    registry = work_path(spark, "registry")
+    first = orders.where(F.month("o_orderdate") % 2 == 0)
+    for load, rows in (("1", first), ("2", orders), ("2", orders)):
+        keys = increments.register_keys(rows, "o_custkey", "client_id", registry, load)
+    return keys
+
+
 @query
 def orphan_check_orders(spark, folder):
     names = ["lineitem", "orders", "customer", "part", "supplier"]
@@ -601,6 +652,12 @@ def occupancy_by_month(spark, folder):
     )
 
 
+@query
+def census_by_month(spark, folder):
+    return marts.daily_census(
+        _closed(cleaned(spark, folder)), "service", "date_entree", "date_sortie")
+
+
 @query
 def burden_by_diagnosis(spark, folder):
     return marts.burden(
@@ -759,11 +816,10 @@ def full_run(spark, folder):
 
 @query
 def sorted_admissions(spark, folder):
-    """The global sort; each row's place shows it."""
+    """The global sort; each row's place in the written files shows it."""
     rows = hand_off(masked(spark, folder), work_path(spark, "cleaned"))
     ordered = admissions.enrichir(rows, trier=True).select("id_admission", "date_entree")
-    back = hand_off(ordered, work_path(spark, "sorted"))
-    return back.groupBy("date_entree").agg(F.count(F.lit(1)).alias("sejours"))
+    return positions(hand_off(ordered, work_path(spark, "sorted")), "position")
 
 
 @query
