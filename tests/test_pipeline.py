@@ -40,7 +40,7 @@ def test_audit_and_report(result):
 def test_counts_are_taken_after_the_last_shuffle(raw, spark):
     """A task before a shuffle may run twice when an executor is lost."""
     journal = Journal(ref.JOURNAL)
-    plan = plan_text(pipeline._stage(raw, "seq", journal, ""), "simple")
+    plan = plan_text(pipeline._stage(raw, "seq", journal), "simple")
     assert plan.count("CollectMetrics") == 1
     assert plan.index("CollectMetrics") < plan.index("Exchange")
 
@@ -112,3 +112,54 @@ def test_native_types_of_a_run(result):
         "date_entree": "timestamp_ntz", "annee_naissance": "int", "mois": "int", "age": "double",
         "duree_imputee": "boolean",
     }
+
+
+def test_a_run_that_died_goes_on_without_its_input(spark, result, tmp_path, monkeypatch):
+    raw = queries.raw_admissions(spark, DATA)
+    settings = {"order": "seq", "source": "admissions.csv", "folder": str(tmp_path / "run"), "resume": True}
+    stage, impute_step = pipeline._stage, pipeline._impute
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(pipeline, "_impute", die)
+    with pytest.raises(RuntimeError, match="killed"):
+        pipeline.run(raw, "sel", **settings)
+    # From here on the raw rows cannot be read.
+    monkeypatch.setattr(pipeline, "_stage", die)
+    monkeypatch.setattr(pipeline, "_impute", impute_step)
+    again = pipeline.run(raw, "sel", **settings)
+    assert again.journal.collect() == result.journal.collect()
+    assert again.report.collect() == result.report.collect()
+    assert again.prepared.schema == result.prepared.schema
+    assert again.prepared.exceptAll(result.prepared).isEmpty()
+    # All steps are done now; the journal is the same without any of them.
+    monkeypatch.setattr(pipeline, "_impute", die)
+    assert pipeline.run(raw, "sel", **settings).journal.collect() == result.journal.collect()
+    # Another salt is another run.
+    with pytest.raises(RuntimeError, match="killed"):
+        pipeline.run(raw, "other", **settings)
+    monkeypatch.setattr(pipeline, "_stage", stage)
+
+
+def test_a_table_without_its_record_is_written_again(spark, tmp_path):
+    raw = queries.raw_admissions(spark, DATA)
+    settings = {"order": "seq", "folder": str(tmp_path / "run"), "resume": True}
+    first = pipeline.run(raw, "sel", **settings).journal.collect()
+    record = tmp_path / "run" / "_ledger" / "cleaned.json"
+    record.write_text(record.read_text()[:40])
+    assert pipeline.run(raw, "sel", **settings).journal.collect() == first
+    assert record.read_text().endswith("}")
+    with pytest.raises(ValueError, match="files"):
+        pipeline.run(spark.createDataFrame(raw.limit(5).collect(), raw.schema), "sel", **settings)
+
+
+def test_a_fingerprint_follows_files_and_parameters(spark, tmp_path):
+    from wardflow.plans.ledger import fingerprint
+
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    one = fingerprint(spark.read.parquet(path), salt="a")
+    assert one == fingerprint(spark.read.parquet(path), salt="a") != fingerprint(spark.read.parquet(path), salt="b")
+    spark.range(5).write.mode("append").parquet(path)
+    assert one != fingerprint(spark.read.parquet(path), salt="a")

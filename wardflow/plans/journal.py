@@ -29,6 +29,7 @@ class Journal:
         """``wording`` gives each step's name and the pattern of its detail."""
         self._wording = wording
         self._observations: list[Observation] = []
+        self._recalled: dict = {}
         self._steps: list[tuple[str, str, str, Callable[[dict], dict | list]]] = []
 
     def watch(self, df: DataFrame, **measures: Column) -> DataFrame:
@@ -50,9 +51,22 @@ class Journal:
         """
         self._steps.append((step, before, after, parts))
 
+    @property
+    def watches(self) -> int:
+        """Number of tables watched so far."""
+        return len(self._observations)
+
+    def latest(self) -> dict:
+        """Measures of the table watched last; waits for its job."""
+        return dict(self._observations[-1].get)
+
+    def recall(self, measures: Mapping[str, int]) -> None:
+        """Take in measures of a table that an earlier run wrote."""
+        self._recalled.update(measures)
+
     def measures(self) -> dict:
         """All measures by name; waits for the observed jobs."""
-        return {
+        return self._recalled | {
             name: value
             for observation in self._observations
             for name, value in observation.get.items()

@@ -15,9 +15,10 @@ from wardflow import reference as ref
 from wardflow.operators import dedup, impute, labels, privacy, quality, returns, values
 from wardflow.plans import admissions
 from wardflow.plans.journal import Journal
+from wardflow.plans.ledger import Ledger, fingerprint
 from wardflow.session import work_path
 from wardflow.sources.csvfile import ORDER
-from wardflow.sources.tables import hand_off, load_checked, load_partitions
+from wardflow.sources.tables import load_checked, load_partitions
 
 DURATION, AGE = "duree_sejour_j", "age"
 
@@ -32,51 +33,55 @@ class Run:
     report: DataFrame
 
 
-def _stage(raw: DataFrame, order: str, journal: Journal, source: str) -> DataFrame:
-    """Duplicates out, labels and types in, implausible values nulled.
+OUT = {c: f"out_{c}" for c in ref.BOUNDS}
 
-    Each repair leaves a mark, and one observation at the end, where the rows
-    are written, counts them all.
-    """
-    journal.step("read", "read", "read", lambda m: {"source": source})
 
-    df = dedup.deduplicate_counted(raw, ["id_admission"], order, "__read", "__distinct")
-    df = df.drop(order)
-    columns = [c for c in raw.columns if c != order]
+def _steps(journal: Journal, source: str) -> None:
+    """The steps of the journal, in order."""
+    journal.step("read", "read", "read", lambda m: {"source": source})
     journal.step(
         "duplicates",
         "read",
         "staged",
         lambda m: {"exact": m["read"] - m["distinct"], "keys": m["distinct"] - m["staged"]},
     )
-
-    diagnosis = next(rule for rule in admissions.LABEL_RULES if rule.column == "pathologie")
-    df = df.withColumn("__unmatched", labels.unmatched(diagnosis))
-    df = df.transform(admissions.normaliser_textes)
     journal.step("labels", "staged", "staged")
-
-    df = df.transform(admissions.corriger_types)
     journal.step("types", "staged", "staged")
-
-    out = {c: f"out_{c}" for c in ref.BOUNDS}
-    df = df.withColumns(
-        {f"__{name}": values.outside(c, *ref.BOUNDS[c]) for c, name in out.items()}
-    ).transform(admissions.traiter_aberrations)
     journal.step(
         "outliers",
         "staged",
         "staged",
-        lambda m: [{"column": c, "n": m[name]} for c, name in out.items() if m[name]],
+        lambda m: [{"column": c, "n": m[name]} for c, name in OUT.items() if m[name]],
     )
+    journal.step("dates", "staged", "staged")
+    journal.step("imputation", "staged", "filled")
+
+
+def _stage(raw: DataFrame, order: str, journal: Journal) -> DataFrame:
+    """Duplicates out, labels and types in, implausible values nulled.
+
+    Each repair leaves a mark, and one observation at the end, where the rows
+    are written, counts them all.
+    """
+    df = dedup.deduplicate_counted(raw, ["id_admission"], order, "__read", "__distinct")
+    df = df.drop(order)
+    columns = [c for c in raw.columns if c != order]
+
+    diagnosis = next(rule for rule in admissions.LABEL_RULES if rule.column == "pathologie")
+    df = df.withColumn("__unmatched", labels.unmatched(diagnosis))
+    df = df.transform(admissions.normaliser_textes)
+    df = df.transform(admissions.corriger_types)
+    df = df.withColumns(
+        {f"__{name}": values.outside(c, *ref.BOUNDS[c]) for c, name in OUT.items()}
+    ).transform(admissions.traiter_aberrations)
 
     start, end, duration = admissions.STAY
     df = df.withColumn("__inverted", values.inverted(start, end))
     df = values.null_inverted_end(df, start, end)
     df = df.withColumn("__dated", values.datable(start, end, duration))
     df = values.duration_from_dates(df, start, end, duration)
-    journal.step("dates", "staged", "staged")
 
-    marks = ["unmatched", *out.values(), "inverted", "dated"]
+    marks = ["unmatched", *OUT.values(), "inverted", "dated"]
     return journal.watch(
         df,
         read=F.coalesce(F.sum("__read"), F.lit(0)),
@@ -96,7 +101,6 @@ def _impute(staged: DataFrame, journal: Journal) -> DataFrame:
     filled = impute.age_from_birth(
         filled.withColumn("__aged", dated), AGE, ref.BIRTH_DATE, "date_entree"
     )
-    journal.step("imputation", "staged", "filled")
     return journal.watch(
         filled,
         filled=F.count(F.lit(1)),
@@ -113,22 +117,34 @@ def run(
     source: str = "",
     missing_text: str | None = None,
     hot_rows: int = returns.HOT_ROWS,
+    resume: bool = False,
 ) -> Run:
     """Clean, pseudonymise, check, enrich and report on raw admissions.
 
     ``folder`` must be reachable by every executor; by default it is a new one
-    in the cluster's shared folder. The report is evaluated, not enforced: see
-    :func:`load`.
+    in the cluster's shared folder. With ``resume`` a run goes on from the last step that
+    one with the same input files and parameters has finished in the same folder, see
+    ``plans.ledger``. The report is evaluated, not enforced: see :func:`load`.
     """
     spark = raw.sparkSession
     salt = admissions.sel_requis(salt)
     folder = folder or work_path(spark, "run")
     journal = Journal(ref.JOURNAL)
+    _steps(journal, source)
+    run_id = fingerprint(raw, salt=salt, order=order, missing=missing_text) if resume else None
+    ledger = Ledger(spark, folder, run_id, journal)
+
+    def clean() -> DataFrame:
+        masked = admissions.masquer(_impute(staged, journal), salt, missing_text)
+        admissions.verifier_absence_donnees_personnelles(masked)
+        return masked
 
-    staged = hand_off(_stage(raw, order, journal, source), f"{folder}/staged")
-    masked = admissions.masquer(_impute(staged, journal), salt, missing_text)
-    admissions.verifier_absence_donnees_personnelles(masked)
-    cleaned = hand_off(masked, f"{folder}/cleaned")
+    def prepare() -> DataFrame:
+        enriched = admissions.enrichir(cleaned, lignes_chaudes=hot_rows)
+        return enriched.select(*ref.PREPARED_COLUMNS)
+
+    staged = ledger.step("staged", lambda: _stage(raw, order, journal))
+    cleaned = ledger.step("cleaned", clean)
 
     entries = journal.table(spark)
     audit = privacy.treatment_audit(
@@ -138,10 +154,7 @@ def run(
         ref.BIRTH_DATE,
         journal.measures()["filled"],
     )
-    prepared = hand_off(
-        admissions.enrichir(cleaned, lignes_chaudes=hot_rows).select(*ref.PREPARED_COLUMNS),
-        f"{folder}/prepared",
-    )
+    prepared = ledger.step("prepared", prepare)
     report = quality.enforce(admissions.rapport_qualite(prepared), blocking=False)
     return Run(prepared, entries, audit, report)
 

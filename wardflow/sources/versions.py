@@ -19,6 +19,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MANIFESTS = "_manifests"
@@ -44,9 +45,14 @@ class Folder:
         return [status.getPath().getName() for status in self.files.listStatus(self.at(name))]
 
     def read(self, name: str) -> str:
+        """Text of a small file; a ValueError if its bytes are not what was written."""
         stream = self.files.open(self.at(name))
         try:
             return bytes(stream.readAllBytes()).decode()
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "ChecksumException":
+                raise
+            raise ValueError(f"{name} is damaged") from error
         finally:
             stream.close()
 

@@ -668,6 +668,7 @@ ORACLES: dict[str, str] = {
         "group by 1",
 }
 
+ORACLES["resumed_journal"] = ORACLES["cleaning_journal"]
 for _name in ("coerce_types", "clean_admissions"):
     ORACLES[_name] = portable(ORACLES[_name], dates=["date_naissance"])
 for _name in ("enrich_admissions", "full_run", "full_run_from_csv"):
