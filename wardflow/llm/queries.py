@@ -40,6 +40,23 @@ def op1_warc(spark, folder):
     )
 
 
+ORACLES["op1_warc"] = """
+with rows as (
+    select page_id, coalesce(html, '') as body, max(page_id) over (partition by coalesce(html, ''))
+        as last, sha1(coalesce(html, '')) as hex
+    from pages
+)
+select page_id, strlen(body)::bigint as payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex, (1 + 5 * (k // 4))::int, 5))::bigint >> (15 - 5 * (k % 4))::int) & 31)
+            + 1)::int, 1)), '') as payload_digest,
+       case when page_id = last then 'response' else 'revisit' end as record_type,
+       case when page_id <> last then last end as refers_to
+from rows
+"""
+
+
 @query
 def op2_simhash(spark, folder):
     groups = simhash.near_groups(table(spark, folder, "documents"), "doc_id", "text")
@@ -91,6 +108,31 @@ def op6_substring_dedup(spark, folder):
     return found.withColumnRenamed("id", "doc_id")
 
 
+ORACLES["op6_substring_dedup"] = r"""
+with texts as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), windows as (
+    select doc_id, i, array_to_string(words[i:i + 12], ' ') as run
+    from (select doc_id, words, unnest(range(1, len(words) - 11)) as i from texts)
+), firsts as (
+    select run, min(doc_id) as low from windows group by run
+), gone as (
+    select distinct doc_id, unnest(range(i, i + 13)) as place
+    from windows join firsts using (run) where low < doc_id
+), listed as (
+    select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from texts
+), kept as (
+    select doc_id, string_agg(word, ' ' order by place) as text
+    from listed anti join gone using (doc_id, place) group by doc_id
+), counted as (
+    select doc_id, count(*) as n from gone group by doc_id
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n, 0) as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from texts left join counted using (doc_id) left join kept using (doc_id)
+"""
+
+
 @query
 def op7_token_counts(spark, folder):
     lengths = token_counts.encoded_lengths(
