@@ -91,3 +91,16 @@ def test_file_order_takes_hash_aggregation(spark, tmp_path):
     for df in (dedup.drop_exact_duplicates(raw, "_seq"), counted):
         assert "SortAggregate" not in plan_text(df, "simple")
     assert {(r.k, r.v, r.n, r.m) for r in counted.collect()} == {(str(j), "2", 24, 3) for j in range(5)}
+
+
+def test_digests_tell_cells_apart(frame):
+    schema = "a string, b string, c array<string>, d double, e binary"
+    rows = [
+        ("x", None, ["p, q"], 1.0, b"a"), ("x", None, ["p", "q"], 1.0, b"a"), (None, "x", ["p, q"], 1.0, b"a"),
+        ("x1:y", "", None, None, None), ("x", "1:y", None, None, None), ("", "", [], None, b""), (None, None, None, None, None),
+        ("-", None, None, None, None), (None, None, [None], None, None), (None, None, ["null"], None, None),
+    ]
+    df = frame(rows + rows, schema)
+    keyed = df.select(dedup.digest(df, *df.columns).alias("k"), "*")
+    assert keyed.select("k").distinct().count() == len(rows)
+    assert keyed.where("k is null").isEmpty()

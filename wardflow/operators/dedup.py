@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def drop_exact_duplicates(df: DataFrame, order: str) -> DataFrame:
@@ -24,7 +24,7 @@ def keep_last(df: DataFrame, keys: list[str], order: str, by_digest: bool = Fals
     compares long keys by SHA-256: they then go through the shuffle only if the result
     is asked for them.
     """
-    by = [digest(*keys)] if by_digest else keys
+    by = [digest(df, *keys)] if by_digest else keys
     newest_first = Window.partitionBy(*by).orderBy(F.col(order).desc())
     return (
         df.withColumn("__rank", F.row_number().over(newest_first))
@@ -85,7 +85,7 @@ def duplicate_counts(df: DataFrame, keys: list[str], order: str | None = None) -
     content = [c for c in df.columns if c != order]
     # Rows are compared by digest, so the shuffles carry two of them and a count.
     distinct_rows = (
-        df.groupBy(digest(*keys).alias("__key"), digest(*content).alias("__whole"))
+        df.groupBy(digest(df, *keys).alias("__key"), digest(df, *content).alias("__whole"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     per_key = distinct_rows.groupBy("__key").agg(
@@ -98,7 +98,17 @@ def duplicate_counts(df: DataFrame, keys: list[str], order: str | None = None) -
     )
 
 
-def digest(*columns: str):
-    """SHA-256 of some columns; nulls equal each other and nothing else."""
-    return F.unhex(F.sha2(F.to_binary(F.to_json(F.struct(
-        *[F.struct(F.col(c).alias("v")) for c in columns])), F.lit("utf-8")), 256))
+def digest(df: DataFrame, *columns: str) -> Column:
+    """SHA-256 of some columns of ``df``; nulls equal each other and nothing else.
+
+    Every cell is its text behind its length, so cells cannot run into one another; of
+    nested cells the text is their JSON.
+    """
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+
+    def cell(name: str) -> Column:
+        nested = isinstance(kinds[name], (T.ArrayType, T.MapType, T.StructType))
+        text = F.to_json(F.col(name)) if nested else F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.sha2(F.concat(*[cell(name) for name in columns]), 256))

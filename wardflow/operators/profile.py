@@ -101,7 +101,7 @@ def audit_summary(df: DataFrame, key: str, order: str | None = None) -> DataFram
     """
     names = [field.name for field in _content(df, order)]
     gaps = sum((F.col(name).isNull().cast("int") for name in names), F.lit(0))
-    distinct_rows = df.groupBy(digest(key).alias("__key"), digest(*names).alias("__whole")).agg(
+    distinct_rows = df.groupBy(digest(df, key).alias("__key"), digest(df, *names).alias("__whole")).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(gaps).alias("__gaps"))
     per_key = distinct_rows.groupBy("__key").agg(
         F.sum("__n").alias("__n"),
