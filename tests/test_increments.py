@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text
-from wardflow.operators import dedup, marts, profile, returns
+from wardflow.operators import dedup, marts, profile, returns, star
 from wardflow.plans import increments
 from wardflow.sources import tables, versions
 
@@ -139,3 +139,43 @@ def test_winners_are_joined_without_a_hash_table_that_cannot_spill(frame):
     assert sorted(tuple(r) for r in found.collect()) == [("a", 2, 2, 2, 2), ("b", 1, 3, 1, 1)]
 
 
+
+
+@pytest.mark.parametrize("limit", [100_000, 2])
+def test_orphans_by_words_equal_orphans(spark, frame, monkeypatch, limit):
+    monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+    rng = random.Random(5)
+    known = [(rng.randrange(-300, 300),) for _ in range(200)] + [(None,), (2**63 - 1,), (-2**63,), (63,), (64,)]
+    used = [(rng.randrange(-400, 400),) for _ in range(900)] + [(None,), (None,), (2**63 - 1,), (-2**63,), (2**62,)]
+    dimension, fact = frame(known, "id bigint"), frame(used, "ref bigint")
+    got = star.orphans_by_words(fact, "ref", dimension, "id")
+    assert sorted(map(str, got.collect())) == sorted(map(str, star.orphans(fact, "ref", dimension, "id").collect()))
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of an executed plan wrote."""
+    df._jdf.queryExecution().toRdd().count()
+    total, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        if name == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_only_orphans_are_shuffled(spark, tmp_path):
+    spark.range(10_000).write.parquet(str(tmp_path / "d"))
+    spark.range(20_000).select((F.col("id") % 10_100).alias("ref")).write.parquet(str(tmp_path / "f"))
+    dimension, fact = spark.read.parquet(str(tmp_path / "d")), spark.read.parquet(str(tmp_path / "f"))
+    found = star.orphans_by_words(fact, "ref", dimension, "id")
+    assert found.count() == 100
+    assert 0 < shuffled_rows(found) <= 200
+    assert shuffled_rows(star.orphans(fact, "ref", dimension, "id")) >= 10_000

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardflow.functions.text import lookup
-from wardflow.operators.attach import attach
+from wardflow.operators.attach import BROADCAST_ROWS, attach
 from wardflow.session import materialise, short_table
 
 UNKNOWN_DATE_KEY = 0
@@ -127,13 +127,43 @@ def orphans(fact: DataFrame, foreign: str, dimension: DataFrame, key: str) -> Da
     )
 
 
-def orphan_report(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+def orphans_by_words(fact: DataFrame, foreign: str, dimension: DataFrame, key: str) -> DataFrame:
+    """As :func:`orphans`, for whole-number keys, shuffling orphans only.
+
+    The dimension's keys are kept as the bits of numbers, 64 neighbouring keys in one row.
+    These rows are counted and then broadcast, so a fact's key is looked up exactly where
+    it is read, and sound facts go no further. Dimensions with too many such rows
+    take the way of :func:`orphans`.
+    """
+    keys = F.col(key).cast("bigint")
+    words = materialise(
+        dimension.where(F.col(key).isNotNull())
+        .groupBy(F.shiftright(keys, 6).alias("__word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(cast(`{key}` as bigint) & 63 as int))")).alias("__bits"))
+    )
+    if words.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return orphans(fact, foreign, dimension, key)
+    cle = F.col("cle").cast("bigint")
+    place = cle.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+    known = F.coalesce(F.getbit(F.col("__bits"), place) == 1, F.lit(False))
+    return (
+        fact.select(F.col(foreign).alias("cle"))
+        .join(F.broadcast(words), F.shiftright(cle, 6) == F.col("__word"), "left")
+        .where(~known)
+        .groupBy("cle").agg(F.count(F.lit(1)).alias("lignes"))
+    )
+
+
+def orphan_report(
+    fact: DataFrame, links: Mapping[str, tuple[DataFrame, str]], find=orphans
+) -> DataFrame:
     """Orphaned keys and rows per foreign key; all zero when sound.
 
-    Rows with a null key are orphaned, but null is not counted as a key.
+    Rows with a null key are orphaned, but null is not counted as a key. ``find`` is
+    :func:`orphans` or :func:`orphans_by_words`.
     """
     reports = [
-        orphans(fact, foreign, dimension, key).agg(
+        find(fact, foreign, dimension, key).agg(
             F.lit(foreign).alias("cle_etrangere"),
             F.count("cle").alias("cles_orphelines"),
             F.coalesce(F.sum("lignes"), F.lit(0)).alias("lignes_orphelines"),

@@ -575,6 +575,8 @@ ORACLES: dict[str, str] = {
         "select row_number() over (order by o_custkey) as client_id, o_custkey from a union all "
         "select (select count(*) from a) + row_number() over (order by o_custkey), o_custkey from b",
     "event_return_rows_two_loads": EVENT_ROWS,
+    "normalise_long_list": "select c_custkey, case when c_custkey % 3 = 0 and c_custkey < 3000 "
+        f"then 'Client ' || c_custkey else {quoted(ref.UNKNOWN_M)} end as client from customer",
     "gate_refusals": "select regle, violations, message from "
         f"({RAW_TYPED} {report(admission_rules(True), 'typed')}) where statut = 'ÉCHEC'",
     "distinct_of_two_loads": "select unnest(['o_custkey', 'o_orderstatus', "
@@ -668,6 +670,7 @@ ORACLES: dict[str, str] = {
         "group by 1",
 }
 
+ORACLES["orphan_check_by_words"] = ORACLES["orphan_check_found"]
 ORACLES["resumed_journal"] = ORACLES["cleaning_journal"]
 for _name in ("coerce_types", "clean_admissions"):
     ORACLES[_name] = portable(ORACLES[_name], dates=["date_naissance"])

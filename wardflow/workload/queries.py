@@ -201,6 +201,15 @@ def normalise_segments(spark, folder):
     return labels.normalise_labels(stays(spark, folder), [rule]).select(SEQ, "pathologie")
 
 
+@query
+def normalise_long_list(spark, folder):
+    """A list too long for an expression is joined; the case of the names varies."""
+    names = F.when(F.col("c_custkey") % 2 == 0, F.upper("c_name")).otherwise(F.concat(F.lit(" "), "c_name"))
+    rows = table(spark, folder, "customer").select("c_custkey", names.alias("client"))
+    listed = {f"customer#{i:09d}": f"Client {i}" for i in range(0, 3000, 3)}
+    return labels.normalise_labels(rows, [labels.LabelRule("client", listed, ref.UNKNOWN_M)])
+
+
 @query
 def unmatched_labels(spark, folder):
     """Raw cells that match no label of their list, per column."""
@@ -611,6 +620,15 @@ def orphan_check_found(spark, folder):
     return star.orphan_report(lines, {"l_orderkey": (tables["orders"], "o_orderkey")})
 
 
+@query
+def orphan_check_by_words(spark, folder):
+    """As above, with the orders' keys as bits that are looked up where lines are read."""
+    tables = read_tables(spark, folder, "lineitem", "orders")
+    lines = tables["lineitem"].withColumn("l_orderkey", F.expr(views.LOST_ORDER))
+    return star.orphan_report(
+        lines, {"l_orderkey": (tables["orders"], "o_orderkey")}, star.orphans_by_words)
+
+
 @query
 def dim_order(spark, folder):
     """A dimension of many values, numbered in their order."""
