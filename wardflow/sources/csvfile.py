@@ -58,6 +58,8 @@ def read_raw_csv(
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of CSV files with line breaks inside quotes: ``__record`` and its place.
 
+    ``__top`` tells the first record of a file.
+
     Files are read as lines, by byte ranges. A line lies inside quotes if the quotes before
     it in its file are odd in number (a doubled quote counts twice), so:
 
@@ -79,6 +81,7 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         (F.sum(odd) % 2).alias("__parity"),
         F.min(F.when(odd == 1, F.col("__row"))).alias("__first"),
         F.max("__row").alias("__last"),
+        F.min("__row").alias("__begin"),
     ))
     before = Window.partitionBy("__file").orderBy("__offset").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -87,11 +90,16 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     ranges = ranges.withColumn("__inside", inside).select(
         *here, "__inside",
         ((F.col("__inside") == 1) | F.col("__first").isNotNull()).alias("__open"),
-        F.last(F.when(begins, F.col("__offset")), ignorenulls=True).over(before).alias("__head"),
+        F.coalesce(
+            F.last(F.when(begins, F.col("__offset")), ignorenulls=True).over(before),
+            F.col("__offset")).alias("__head"),
+        F.when(F.col("__offset") == 0, F.col("__begin")).otherwise(-1).alias("__begin"),
     )
     known = F.coalesce("__open", F.raise_error(F.lit("a file has changed while it was read")))
     marked = attach(lines, ranges, here).withColumn("__open", known)
-    plain = marked.where(~F.col("__open")).select(*here, "__row", F.col("value").alias("__record"))
+    plain = marked.where(~F.col("__open")).select(
+        *here, "__row", (F.col("__row") == F.col("__begin")).alias("__top"),
+        F.col("value").alias("__record"))
 
     in_range = Window.partitionBy(*here).orderBy("__row")
     earlier = in_range.rowsBetween(Window.unboundedPreceding, -1)
@@ -102,20 +110,27 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         marked.where("__open").withColumn("__odd", odd).withColumn("__state", state)
         .withColumn("__number", F.count_if(F.col("__state") == 0).over(in_range))
         .groupBy(*here, "__number")
-        .agg(F.min("__row").alias("__row"), joined.alias("__record"),
-             (F.sum("__odd") % 2).alias("__odd"), F.first("__head").alias("__head"))
+        .agg(F.min("__row").alias("__row"), F.max("__begin").alias("__begin"),
+             joined.alias("__record"), (F.sum("__odd") % 2).alias("__odd"),
+             F.max("__head").alias("__head"))
+        .select(
+            *here, "__number", "__row", (F.col("__row") == F.col("__begin")).alias("__top"),
+            "__record",
+            # Without a start, or without an end.
+            ((F.col("__number") == 0) | (F.col("__odd") == 1)).alias("__piece"),
+            F.when(F.col("__number") == 0, F.col("__head")).otherwise(F.col("__offset")).alias("__head"),
+        )
     )
-    # Without a start, or without an end.
-    continued = F.col("__number") == 0
-    piece = continued | (F.col("__odd") == 1)
-    whole = records.where(~piece).select(*plain.columns)
-    parts = F.sort_array(F.collect_list(F.struct("__offset", "__number", "__record", "__row")))
+    # Both read all columns, so that the lines are dealt out once for the two of them.
+    whole = records.where(~F.col("__piece") & F.col("__head").isNotNull()).select(*plain.columns)
+    parts = F.sort_array(
+        F.collect_list(F.struct("__offset", "__number", "__record", "__row", "__top")))
     across = (
-        records.where(piece)
-        .withColumn("__head", F.when(continued, F.col("__head")).otherwise(F.col("__offset")))
+        records.where("__piece")
         .groupBy("__file", "__head").agg(parts.alias("__parts"))
         .select(
             "__file", F.col("__head").alias("__offset"), F.col("__parts")[0]["__row"].alias("__row"),
+            F.col("__parts")[0]["__top"].alias("__top"),
             F.concat_ws("\n", F.transform("__parts", lambda part: part["__record"])).alias("__record"),
         )
     )
@@ -127,16 +142,13 @@ def _parsed(
 ) -> DataFrame:
     """Cells of records; the first record of each file must be the header."""
     text = F.regexp_replace("__record", "\\r$", "")
-    # Only the range at a file's start can hold its header.
-    heads = records.where("__offset = 0").groupBy("__file").agg(F.min("__row").alias("__top"))
-    rows = attach(records, heads, ["__file"]).withColumn("__record", text)
-    first = (F.col("__offset") == 0) & (F.col("__row") == F.col("__top"))
+    rows = records.withColumn("__record", text)
     header = F.from_csv(
         F.regexp_replace("__record", "^\ufeff", ""), _ddl(columns), options | {"mode": "PERMISSIVE"})
     agrees = F.lit(True)
     for i, column in enumerate(columns):
         agrees = agrees & header.getField(column).eqNullSafe(F.lit(column))
-    checked = F.when(first, F.when(agrees, F.lit(False)).otherwise(
+    checked = F.when(F.col("__top"), F.when(agrees, F.lit(False)).otherwise(
         F.raise_error(F.concat(F.lit("CSV header does not agree with the columns: "), "__record")).cast("boolean")))
     body = rows.where(F.coalesce(checked, F.trim("__record") != ""))
     cells = body.select(

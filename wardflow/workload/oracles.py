@@ -579,8 +579,9 @@ ORACLES: dict[str, str] = {
         f"then 'Client ' || c_custkey else {quoted(ref.UNKNOWN_M)} end as client from customer",
     "gate_refusals": "select regle, violations, message from "
         f"({RAW_TYPED} {report(admission_rules(True), 'typed')}) where statut = 'ÉCHEC'",
-    "distinct_of_two_loads": "select unnest(['o_custkey', 'o_orderstatus', "
-        "'o_totalprice', 'o_orderdate', 'o_orderpriority']) as colonne, true as estimation_proche",
+    "distinct_of_two_loads": "select colonne, n > 0 as estimation_proche from (select count(*) as n "
+        "from orders), (select unnest(['o_custkey', 'o_orderstatus', "
+        "'o_totalprice', 'o_orderdate', 'o_orderpriority']) as colonne)",
     "csv_long_text_order": "select source, doc_id, md5(text) as md5 from documents qualify "
         "row_number() over (partition by source order by doc_id desc) = 1",
     "census_by_month": f"{upto('cleaned', bd=BED_DAYS)}, n as (select service, jour::date as jour, "
