@@ -234,13 +234,16 @@ def stretches(found: Runs, wanted: Wanted, busy: References) -> list[tuple]:
         owner = words.owner[at]
         cuts = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner) != 0)) + 1
         ids = found.part.column("id").to_numpy(zero_copy_only=False)
+        # Covers only pass through on their way; by document, so that no task has those of
+        # a passage that very many documents share.
+        with np.errstate(over="ignore"):
+            lanes = (ids.astype(np.uint64) * STEP).view(np.int64)
         for some in np.split(at, cuts):
             a, b = int(some[0]), int(some[-1])
             t = int(words.owner[a])
             o = int(words.first[t])
             covers, unknown = busy.covers(words.run(a, b + WINDOW).split(b" "), int(ids[t]))
-            # A shard of their own keeps covers of one text together on the way.
-            out += [(t, int(names[a]), a - o + x, a - o + y, None) for x, y in covers]
+            out += [(t, int(lanes[t]), a - o + x, a - o + y, None) for x, y in covers]
             alone += [a + x for x in unknown]
     for a in alone:
         t = int(words.owner[a])
