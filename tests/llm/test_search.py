@@ -98,3 +98,11 @@ def test_bounds_hold_for_every_node_and_skip_work(monkeypatch):
     for i, heap in enumerate(best.heaps):
         expected = sorted((-s, d) for s, d in zip(scores[:, i], tree.ids) if s > 0)[:5]
         assert sorted((-s, -d) for s, d in heap) == expected
+
+
+def test_m_of_very_long_documents_in_very_large_tables():
+    n = np.array([0, 1, 10**6, 10**8])
+    for documents, length in ((3, 10**9), (10**12, 3 * 10**14)):
+        expected = [50 + 50 * int(x) * documents // length for x in n]
+        assert search.lengths_to_m(n, documents, length).tolist() == expected
+    assert search.lengths_to_m(n[:0], 10**12, 1).tolist() == []

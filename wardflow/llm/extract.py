@@ -282,15 +282,19 @@ class Extractor:
         return [block.text for block, label in zip(page, labels) if label]
 
 
-_extractors: dict[int, Extractor] = {}
+_extractors: list[Extractor] = []
+
+
+def extractor_of(model: crf.Model) -> Extractor:
+    """This worker's extractor, if the model is the one it has seen last."""
+    if not _extractors or _extractors[0].model is not model:
+        _extractors[:] = [Extractor(model)]
+    return _extractors[0]
 
 
 def _extract_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _extractors:
-            _extractors.clear()
-            _extractors[id(shared.value)] = Extractor(shared.value)
-        extractor = _extractors[id(shared.value)]
+        extractor = extractor_of(shared.value)
         for batch in batches:
             for part in pieces(batch, "html"):
                 texts = [" ".join(extractor.main_blocks(h or "")) for h in part.column("html").to_pylist()]

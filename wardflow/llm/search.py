@@ -66,6 +66,13 @@ def gain(tf: np.ndarray, m) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
 
 
+def lengths_to_m(n: np.ndarray, documents: int, length: int) -> np.ndarray:
+    """The m of documents of ``n`` terms; in Python's integers where 64 bits may not do."""
+    if 50 * int(n.max(initial=0)) * documents < 1 << 63:
+        return 50 + (50 * n * documents) // length
+    return np.array([50 + (50 * x * documents) // length for x in n.tolist()], np.int64)
+
+
 # --- Vectors ------------------------------------------------------------------
 
 
@@ -237,7 +244,7 @@ def _search_batches(shared, k: int, documents: int, length: int):
                 some = np.flatnonzero(kept)
                 if not len(some):
                     continue
-                m = 50 + (50 * part.column("n").to_numpy() * documents) // length
+                m = lengths_to_m(part.column("n").to_numpy(), documents, length)
                 ids = part.column("id").to_numpy()
                 ends = np.concatenate(([0], np.cumsum(kept[some])))
                 Tree(ids[some], m[some], ends, terms[order], tfs[order]).search(items, best)

@@ -376,16 +376,15 @@ def passages_of(windows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, b
     return [(number, b" ".join(parts)) for number, parts in out]
 
 
-_references: dict[int, References] = {}
+_references: list[tuple[list, References]] = []
 
 
 def references(sent) -> References:
-    """This worker's automaton of the broadcast passages."""
+    """This worker's automaton of the broadcast passages, the last ones it has seen."""
     names, passages = sent.value
-    if id(passages) not in _references:
-        _references.clear()
-        _references[id(passages)] = References(names, passages)
-    return _references[id(passages)]
+    if not _references or _references[0][0] is not passages:
+        _references[:] = [(passages, References(names, passages))]
+    return _references[0][1]
 
 
 class Shard:
