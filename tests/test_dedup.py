@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text
+from tests.test_increments import shuffled_rows
 from wardflow.operators import dedup
 
 
@@ -104,3 +105,26 @@ def test_digests_tell_cells_apart(frame):
     keyed = df.select(dedup.digest(df, *df.columns).alias("k"), "*")
     assert keyed.select("k").distinct().count() == len(rows)
     assert keyed.where("k is null").isEmpty()
+
+
+def test_rows_alone_with_their_key_are_not_shuffled(frame):
+    rows = [(i, f"k{i}", "v" * 50) for i in range(2000)] + [(5000, "k7", "w"), (5001, "k7", "w")]
+    df = frame(rows, "seq long, k string, v string")
+    for found in (dedup.deduplicate(df, ["k"], "seq"), dedup.deduplicate_counted(df, ["k"], "seq", "n", "m")):
+        assert shuffled_rows(found) < 100
+        assert {(r.seq, r.v) for r in found.where("k = 'k7'").collect()} == {(5000, "w")}
+
+
+def test_keys_that_share_a_mark_change_no_result(frame, monkeypatch):
+    monkeypatch.setattr(dedup, "MARK_WORDS", 1)
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, f"k{rng.randrange(400)}"]), rng.randrange(5)) for i in range(600)]
+    df = frame(rows, "seq long, k string, v int").repartition(5)
+    alone, others = dedup.parted(df, ["k"])
+    several = {key for _, key, _ in rows if sum(key == other for _, other, _ in rows) > 1}
+    assert alone.count() + others.count() == len(rows)
+    assert not several & {r.k for r in alone.collect()}
+    assert collected(dedup.deduplicate(df, ["k"], "seq")) == last_by_hand(rows)
+    counted = dedup.deduplicate_counted(df, ["k"], "seq", "n", "m")
+    assert collected(counted) == last_by_hand(rows)
+    assert counted.agg(F.sum("n")).first()[0] == len(rows)

@@ -4,6 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from wardflow.session import materialise
+
+# Numbers of 64 bits that mark the keys with several rows: 64 million bits, which are
+# some 50 MB on each executor however many rows there are.
+MARK_WORDS = 1 << 20
+
+
+def parted(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that are alone with their key, and all others; null keys are one key.
+
+    Hashes of the keys are counted first, and those that came several times become bits
+    of a table of bounded size, which is broadcast. A row whose bit is not set is alone with its
+    key and needs no shuffle. Of keys that share a bit, all rows are among the others,
+    so the fuller the table is, the more rows take the longer way to the same result.
+
+    The rows are read three times, so they are written first.
+    """
+    df = materialise(df)
+    spot = F.xxhash64(*keys).bitwiseAND(F.lit(MARK_WORDS * 64 - 1))
+    several = (
+        df.groupBy(F.xxhash64(*keys).alias("__hash"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > 1)
+        .select(F.col("__hash").bitwiseAND(F.lit(MARK_WORDS * 64 - 1)).alias("__spot"))
+    )
+    marks = F.broadcast(materialise(
+        several.groupBy(F.shiftright("__spot", 6).alias("__word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(__spot & 63 as int))")).alias("__bits"))
+    ))
+    place = spot.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+    marked = (F.shiftright(spot, 6) == F.col("__word")) & (F.getbit("__bits", place) == 1)
+    return df.join(marks, marked, "left_anti"), df.join(marks, marked, "left_semi")
+
 
 def drop_exact_duplicates(df: DataFrame, order: str) -> DataFrame:
     """Keep one of the rows that agree on everything but ``order``.
@@ -37,9 +70,10 @@ def deduplicate(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Exact copies first, then the last remaining row of each key.
 
     The two passes are not one: with rows A, B, A under a key, A collapses to
-    its first position and B is the last.
+    its first position and B is the last. Only rows that share their key are shuffled.
     """
-    return keep_last(drop_exact_duplicates(df, order), keys, order)
+    alone, others = parted(df, keys)
+    return alone.unionByName(keep_last(drop_exact_duplicates(others, order), keys, order))
 
 
 def deduplicate_counted(
@@ -51,24 +85,29 @@ def deduplicate_counted(
     its distinct ones, so the totals before each pass can be read off the
     result. Both passes combine before their shuffle.
     """
+    alone, others = parted(df, keys)
     content = [c for c in df.columns if c != order]
-    distinct = df.groupBy(*content).agg(
-        F.min(order).alias(order), F.count(F.lit(1)).alias(copies)
+    distinct = others.groupBy(*content).agg(
+        F.min(order).alias(order), F.count(F.lit(1)).alias("__n")
     )
     # Which position wins is decided on keys and positions alone; the rows at these
     # positions are then joined by sorting, which spills where a hash table could not.
+    # Both sides name the same columns of the distinct rows, so these are dealt out once.
     winners = (
         distinct.groupBy(*keys)
         .agg(
             F.max(order).alias("__winner"),
-            F.sum(copies).alias("__copies"),
+            F.max_by("__n", order).alias("__winner_n"),
+            F.sum("__n").alias("__copies"),
             F.count(F.lit(1)).alias("__versions"),
         )
-        .select("__winner", "__copies", "__versions")
-    )
-    return distinct.join(winners, F.col(order) == F.col("__winner")).select(
-        *df.columns, F.col("__copies").alias(copies), F.col("__versions").alias(versions)
+        .select("__winner", "__winner_n", "__copies", "__versions")
     )
+    won = distinct.join(
+        winners, (F.col(order) == F.col("__winner")) & (F.col("__n") == F.col("__winner_n"))
+    ).select(*df.columns, F.col("__copies").alias(copies), F.col("__versions").alias(versions))
+    one = F.lit(1).cast("bigint")
+    return alone.select(*df.columns, one.alias(copies), one.alias(versions)).unionByName(won)
 
 
 def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
