@@ -163,3 +163,33 @@ def test_a_fingerprint_follows_files_and_parameters(spark, tmp_path):
     assert one == fingerprint(spark.read.parquet(path), salt="a") != fingerprint(spark.read.parquet(path), salt="b")
     spark.range(5).write.mode("append").parquet(path)
     assert one != fingerprint(spark.read.parquet(path), salt="a")
+
+
+def exchanged(df):
+    """Column names of each exchange of a plan that was not run."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append({node.output().apply(i).name() for i in range(node.output().size())})
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_columns_of_a_row_alone_are_not_shuffled(raw):
+    masked = admissions.masquer(admissions.nettoyer(raw, "seq"), "sel")
+    (dealt,) = [d for d in exchanged(admissions.enrichir(masked)) if "id_patient_pseudo" in d]
+    assert {"id_patient_pseudo", "pathologie", "sejour_prolonge"} <= dealt
+    assert not dealt & {"tranche_age", "mois", "saison", "categorie_pathologie", "cout_journalier_fcfa"}
+
+
+def test_admissions_are_sorted_before_their_texts_are_made(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "write_csv", lambda df, path: written.append(df))
+    queries._as_csv(spark, DATA)
+    assert all("telephone" not in dealt for dealt in exchanged(written[0]))
+    whole = queries.raw_admissions(spark, DATA).orderBy("seq").drop("seq")
+    assert written[0].columns == whole.columns and written[0].collect() == whole.collect()

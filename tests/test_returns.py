@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text
+from tests.test_increments import shuffled_rows
 from wardflow.operators import attach, returns
 
 START = dt.datetime(2024, 1, 1)
@@ -82,3 +83,13 @@ def test_columns_are_kept_in_order(frame, rows):
     df = frame(rows, SCHEMA).withColumn("extra", F.lit(1))
     got = returns.flag_returns(df, "k", "at", ["id"], "d", "early", hot_rows=50)
     assert got.columns == ["id", "k", "at", "extra", "d", "early"]
+
+
+def test_keys_are_counted_only_where_a_lane_is_busy(spark, monkeypatch):
+    monkeypatch.setattr(returns, "LANES", 4)
+    df = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"))
+    found = returns.hot_keys(df, "k", 10**6)
+    assert shuffled_rows(found) <= 4 * df.rdd.getNumPartitions()
+    assert found.isEmpty()
+    busy = df.unionByName(spark.range(900).select(F.lit("hot").alias("k")))
+    assert [tuple(r) for r in returns.hot_keys(busy, "k", 800).collect()] == [("hot", 900)]

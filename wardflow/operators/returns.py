@@ -12,12 +12,25 @@ from wardflow.session import materialise
 # Rows of one key that a single task sorts without trouble. Keys above it are
 # cut along time.
 HOT_ROWS = 2_000_000
+# Lanes that keys are dealt into to see whether any of them can be hot.
+LANES = 1 << 16
 
 
 def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows; counts merge before the shuffle."""
+    """Keys with more than ``limit`` rows; counts merge before the shuffle.
+
+    Rows are counted by lane first, which shuffles a bounded table: only keys in a lane with
+    more rows than that can be hot, and where there is none keys are not counted at all.
+    """
+    rows = df.where(F.col(key).isNotNull()).select(key)
+    lane = F.pmod(F.xxhash64(key), F.lit(LANES))
+    busy = (
+        rows.groupBy(lane.alias("__lane")).agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > limit)
+        .select("__lane")
+    )
     return (
-        df.where(F.col(key).isNotNull())
+        rows.join(F.broadcast(busy), lane == F.col("__lane"), "left_semi")
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > limit)

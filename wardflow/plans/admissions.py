@@ -145,15 +145,12 @@ def verifier_absence_donnees_personnelles(df: DataFrame) -> bool:
 def enrichir(
     df: DataFrame, trier: bool = False, lignes_chaudes: int = returns.HOT_ROWS
 ) -> DataFrame:
-    """The derived columns; ``trier`` adds the global sort by admission, then its number."""
-    df = enrich.add_band(df, "age", ref.AGE_BANDS, AGE_TOP, ref.AGE_UNKNOWN, "tranche_age")
-    df = enrich.add_month_season(df, "date_entree", ref.SEASON_BY_MONTH, "mois", "saison")
-    df = enrich.add_group(
-        df, "pathologie", ref.DIAGNOSIS_GROUPS, ref.OTHER_GROUP, "categorie_pathologie"
-    )
-    df = enrich.add_unit_cost(
-        df, "cout_hospitalisation_fcfa", "duree_sejour_j", "cout_journalier_fcfa"
-    )
+    """The derived columns; ``trier`` adds the global sort by admission, then its number.
+
+    Return delays deal all rows out by patient, so what is computed from a row alone
+    follows them and is not shuffled.
+    """
+    columns = df.columns
     df = enrich.add_long_flag(df, "service", "duree_sejour_j", "sejour_prolonge")
     df = returns.flag_returns(
         df,
@@ -164,6 +161,18 @@ def enrichir(
         "est_readmission_30j",
         hot_rows=lignes_chaudes,
     )
+    df = enrich.add_band(df, "age", ref.AGE_BANDS, AGE_TOP, ref.AGE_UNKNOWN, "tranche_age")
+    df = enrich.add_month_season(df, "date_entree", ref.SEASON_BY_MONTH, "mois", "saison")
+    df = enrich.add_group(
+        df, "pathologie", ref.DIAGNOSIS_GROUPS, ref.OTHER_GROUP, "categorie_pathologie"
+    )
+    df = enrich.add_unit_cost(
+        df, "cout_hospitalisation_fcfa", "duree_sejour_j", "cout_journalier_fcfa"
+    )
+    df = df.select(
+        *columns, "tranche_age", "mois", "saison", "categorie_pathologie", "cout_journalier_fcfa",
+        "sejour_prolonge", "delai_readmission_j", "est_readmission_30j",
+    )
     ends = [df[c].asc_nulls_last() for c in ("date_entree", "id_admission")]
     return df.orderBy(*ends) if trier else df
 
