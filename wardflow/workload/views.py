@@ -72,21 +72,18 @@ RAW_INSURANCES = ["CMU", "Aucune", "  aucune ", "MUTUELLE  EMPLOYEUR", "Assuranc
 
 # Orders seen as raw hospital admissions: the 21 text columns of the file, with
 # each defect of the cleaning's list, and the row order in ``seq``.
-ADMISSIONS = f"""
-with b as (
+ADMISSION_ORDERS = """
   select o_orderkey k, o_custkey cu, c_name nm, o_totalprice tp, o_orderkey % 130 + 1 as m,
     o_orderdate + (o_orderkey*37 % 1440) * interval '1' minute as e
-  from {{orders}} join {{customer}} on o_custkey = c_custkey),
-d as (
-  select *,
+  from {orders} join {customer} on o_custkey = c_custkey"""
+ADMISSION_CELLS = f"""
     case when k % 501 = 0 then e + interval '60' minute
          else e + m*144 * interval '1' minute
               - (case when k % 125 = 0 then 30 else 0 end) * interval '1' day end as s,
     {_one_of('k*7 % 32', RAW_DIAGNOSES, 'Mal inconnu')} as patho,
     {_one_of('k*5 % 18', RAW_TOWNS, 'Ailleurs')} as town,
-    {_one_of('k*5 % 9', RAW_SERVICES, 'Accueil')} as unit,
-    {{copies}} as copy
-  from b),
+    {_one_of('k*5 % 9', RAW_SERVICES, 'Accueil')} as unit"""
+ADMISSION_TEXTS = f"""
 f as (
   select
     case when k % 977 = 0 then null
@@ -149,6 +146,24 @@ f as (
   from d)
 select * from f
 """
+ADMISSIONS = f"""
+with b as ({ADMISSION_ORDERS}),
+d as (
+  select *,{ADMISSION_CELLS},
+    {{copies}} as copy
+  from b),{ADMISSION_TEXTS}"""
+
+# The same in two steps: copies of orders with their row order, and the 21 columns of
+# ``{rows}``, which hold the former.
+ADMISSION_COPIES = f"""
+with b as ({ADMISSION_ORDERS}),
+c as (select *, {{copies}} as copy from b)
+select *, k + copy*{REISSUE} as seq from c
+"""
+ADMISSIONS_OF = f"""
+with d as (
+  select *,{ADMISSION_CELLS}
+  from {{rows}}),{ADMISSION_TEXTS}"""
 
 
 def on_spark(text: str) -> str:
